@@ -1 +1,9 @@
 """Corpus analytics on Spark: clean, index, chunk and check document collections."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with the task, so executors need no copy
+# of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -30,7 +30,7 @@ def matched_keywords(title: Column, description: Column, words: Sequence[str] =
 
 def clean_cues(cues: Column) -> Column:
     """Spoken text of a WebVTT file: each line once, in first-seen order."""
-    lines = F.transform(F.split(cues, "\n"), strip_space)
+    lines = F.transform(F.split(cues, "\n"), lambda line: strip_space(line))
     spoken = F.filter(lines, lambda line: ~line.rlike(SKIPPED_CUE_LINE))
     plain = F.transform(spoken, lambda line: strip_space(F.regexp_replace(line, "<[^>]+>", "")))
     return F.array_join(F.array_distinct(F.filter(plain, lambda line: line != "")), " ")

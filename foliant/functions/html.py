@@ -11,6 +11,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .patterns import TEXT_SPACE
 from .text import rewrite, strip_space
@@ -56,7 +57,7 @@ POST_BODY_SELECTORS = (".post-body", ".entry-content")
 POST_DATE_SELECTORS = (".date-header", ".published", "time")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape(text: pd.Series) -> pd.Series:
     """Character references as characters."""
     import html
@@ -101,7 +102,7 @@ def area_udf(selectors: tuple[str, ...], by_priority: bool, fallback: bool):
         best = found[0] if by_priority else min(found, key=lambda h: h.start())
         return balanced(html, best)
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def area(html: pd.Series) -> pd.Series:
         return html.map(find, na_action="ignore").astype("object")
 

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .names import site_name
 from .patterns import TEXT_SPACE, WORD, on_line
@@ -109,7 +110,7 @@ COPY_SAMPLE = 500
 COPY_RATIO = 0.8
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def _look_alike(first: pd.Series, second: pd.Series) -> pd.Series:
     from difflib import SequenceMatcher
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .patterns import TEXT_SPACE, WORD
 from .text import let, rewrite, strip_space, title_case
@@ -103,7 +104,7 @@ def site_name(url: Column, sites: Mapping[str, str]) -> Column:
     return name
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _joined_urls(base: pd.Series, href: pd.Series) -> pd.Series:
     from urllib.parse import urljoin
 

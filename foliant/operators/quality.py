@@ -111,7 +111,7 @@ def missing_chunks(articles: DataFrame, chunks: DataFrame) -> DataFrame:
 def first_missing(missing: DataFrame, shown: int = LISTED_ARTICLES) -> DataFrame:
     """The first ids and, beside each, how many more there are than are shown."""
     total = missing.agg(F.greatest(F.count("*") - shown, F.lit(0)).alias("more"))
-    return missing.orderBy("id").limit(shown).join(F.broadcast(total), F.lit(True), "left")
+    return missing.select("id").orderBy("id").limit(shown).withColumn("more", total.scalar())
 
 
 def sample_vectors(chunks: DataFrame, dimensions: int, n: int = SAMPLED_VECTORS) -> DataFrame:

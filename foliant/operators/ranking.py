@@ -20,8 +20,9 @@ def numbered(
     name: str = "position",
     plain_rows: int = PLAIN_ROWS,
     buckets: int = BUCKETS,
+    descending: bool = False,
 ) -> DataFrame:
-    """Add the 1-based position of each row in its group, in ascending order.
+    """Add the 1-based position of each row in its group, in the given order.
 
     A window over a key puts a whole group into one task, and one over no key the
     whole table.  Large inputs are therefore cut into ranges of (keys, order):
@@ -35,7 +36,8 @@ def numbered(
     narrow = df.select(*keys, *order)
     total = narrow.count()
     if total <= plain_rows:
-        window = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
+        sides = [F.desc(c) if descending else F.asc(c) for c in order]
+        window = (Window.partitionBy(*keys) if keys else Window).orderBy(*sides)
         return df.withColumn(name, F.row_number().over(window).cast("bigint"))
 
     point = F.struct(*[F.col(c) for c in [*keys, *order]])
@@ -50,7 +52,7 @@ def numbered(
     step = max(1, len(sample) // buckets)
     limits = [tuple(row) for row in sample[step - 1 :: step]]
     if not limits:
-        return numbered(df, keys, order, name, plain_rows=total)
+        return numbered(df, keys, order, name, plain_rows=total, descending=descending)
 
     ranged = df.withColumn("_range", _range_of(point, limits, narrow))
     inside = Window.partitionBy("_range", *keys).orderBy(*order)
@@ -71,11 +73,24 @@ def numbered(
     same = local["_range"] == offsets["_range"]
     for key in keys:
         same = same & local[key].eqNullSafe(offsets[f"_key_{key}"])
-    return (
+    placed = (
         local.join(F.broadcast(offsets), same, "left")
         .withColumn(name, F.col("_local") + F.coalesce(F.col("_before"), F.lit(0)))
         .select(*df.columns, name)
     )
+    if not descending:
+        return placed
+    # Counted from the other end: group size minus position plus one.
+    sizes = narrow.groupBy(*keys).agg(F.count("*").alias("_size"))
+    if not keys:
+        return placed.withColumn(name, total - F.col(name) + 1)
+    named = sizes.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_size")
+    match = F.lit(True)
+    for key in keys:
+        match = match & placed[key].eqNullSafe(named[f"_key_{key}"])
+    return placed.join(named, match).withColumn(name, F.col("_size") - F.col(name) + 1).select(
+        *df.columns, name
+    )
 
 
 def _range_of(point: Column, limits: list[tuple], like: DataFrame) -> Column:

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schemas
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType, lines: bool = True) -> DataFrame:
+def read_json(spark: SparkSession, path: str, schema: str, lines: bool = True) -> DataFrame:
     try:
         return spark.read.schema(schema).option("multiLine", not lines).json(path)
     except AnalysisException as error:

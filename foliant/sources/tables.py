@@ -9,7 +9,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def read_table(
@@ -17,7 +16,7 @@ def read_table(
     path: str,
     columns: Sequence[str] = (),
     where: Column | None = None,
-    schema: T.StructType | None = None,
+    schema: str | None = None,
 ) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     table = reader.parquet(path)
