@@ -93,8 +93,6 @@ AYAHS = 300
 # Canonical name under which Quran citations are listed.
 QURAN = "S."
 
-_NUMBERS = r"(\d{1,3}):(\d{1,3})(?:-(\d{1,3}))?"
-
 
 def _names(block: str) -> list[str]:
     return [name.strip() for name in block.replace("\n", " ").split(",")]
@@ -187,14 +185,11 @@ def token_of(citation: Column) -> Column:
     return F.regexp_replace(citation, rf"\.*[{WEB_SPACE}]*\d{{1,3}}:[\d-]+\z", "")
 
 
-def _number(citation: Column, group: int) -> Column:
-    digits = F.regexp_extract(citation, _NUMBERS + r"\z", group)
-    return F.nullif(digits, F.lit("")).cast("int")
-
-
 def numbers_of(citation: Column) -> tuple[Column, Column, Column]:
     """Chapter (or surah), first verse and last verse, the last NULL if absent."""
-    return _number(citation, 1), _number(citation, 2), _number(citation, 3)
+    digits = F.regexp_extract(citation, r"\d{1,3}:[\d-]+\z", 0)
+    parts = F.split(F.translate(digits, "-", ":"), ":")
+    return tuple(F.get(parts, i).cast("int") for i in range(3))
 
 
 def reference(book: Column, chapter: Column, start: Column, end: Column) -> Column:

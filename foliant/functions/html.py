@@ -204,17 +204,18 @@ _HTML_ESCAPES = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")]
 
 # Block and inline rules for a small, safe subset of markdown.
 MARKDOWN_RULES = [
-    *[(rf"(?md)^{'#' * n} +(.+?) *$", f"<h{n}>$1</h{n}>") for n in range(1, 7)],
+    *[(rf"(?md)^{'#' * n} ++([^\n]*[^ \n]) *+$", f"<h{n}>$1</h{n}>") for n in range(1, 7)],
     (r"(?md)^(?:---|\*\*\*|___)$", "<hr>"),
     (r"(?md)^[*-] +(.+)$", "<li>$1</li>"),
-    (r"(?s)((?:<li>[^\n]*</li>\n?)+)", "<ul>\n$1</ul>\n"),
+    (r"(?<!</li>\n)<li>", "<ul>\n<li>"),
+    (r"</li>(?!\n<li>)", "</li>\n</ul>"),
     (r"\*\*([^*\n]+)\*\*", "<strong>$1</strong>"),
     (r"\*([^*\n]+)\*", "<em>$1</em>"),
     (r"(?<![\w])_([^_\n]+)_(?![\w])", "<em>$1</em>"),
     (r"~~([^~\n]+)~~", "<del>$1</del>"),
     (r"`([^`\n]+)`", "<code>$1</code>"),
     (r"\[([^\]\n]+)\]\(((?:https?://|mailto:|/|#)[^)\s]*)\)", '<a href="$2">$1</a>'),
-    (r"(?:\A|(?<=\n\n))(?!<(?:h[1-6]|hr|ul))([^\n]+(?:\n[^\n]+)*)", "<p>$1</p>"),
+    (r"(?s)(?:\A|(?<=\n\n))(?!\n|<(?:h[1-6]|hr|ul)>|\z)(.+?)(?=\n\n|\z)", "<p>$1</p>"),
 ]
 
 

@@ -5,11 +5,12 @@ notions of white space, so every function names the one it needs.  The classes
 are written without brackets and go inside ``[...]``.
 """
 
-# Unicode white space as ECMAScript's \s defines it.
-WEB_SPACE = r"\s\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+# White space as ECMAScript's \s defines it: controls, separators and the byte
+# order mark.  One category test is many times faster than a list of ranges.
+WEB_SPACE = r"\s\p{Z}\ufeff"
 
-# Unicode white space as Python's str.isspace defines it.
-TEXT_SPACE = r"\s\u001c-\u001f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# White space as Python's str.isspace defines it.
+TEXT_SPACE = r"\s\u001c-\u001f\u0085\p{Z}"
 
 # Letters, numbers and underscore in any script.
 WORD = r"\p{L}\p{N}_"

@@ -18,6 +18,9 @@ EXCERPT_CHARS = 150
 STUB_WORDS = 50
 TOKENS_PER_WORD = 1.3
 
+# Rules a generated method may hold.
+LONG_CHAIN = 4
+
 # What plain text drops from markdown, in order.
 MARKDOWN_TO_PLAIN = [
     (rf"#{{1,6}}[{WEB_SPACE}]+", ""),
@@ -35,14 +38,23 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def rewrite(text: Column, rules: list[tuple[str, str]]) -> Column:
-    """Apply (pattern, replacement) rules one after another."""
-    for pattern, replacement in rules:
-        text = F.regexp_replace(text, pattern, replacement)
-    return text
+    """Apply (pattern, replacement) rules one after another.
+
+    A long chain would become one generated method too large for the JVM to
+    compile, and run many times slower; inside a binding it is evaluated rule by
+    rule.
+    """
+
+    def chain(value: Column) -> Column:
+        for pattern, replacement in rules:
+            value = F.regexp_replace(value, pattern, replacement)
+        return value
+
+    return let(text, chain) if len(rules) > LONG_CHAIN else chain(text)
 
 
 def strip_space(text: Column, space: str = TEXT_SPACE) -> Column:
-    return F.regexp_replace(text, rf"^[{space}]+|[{space}]+\z", "")
+    return F.regexp_replace(text, rf"\A[{space}]++|[{space}]++\z", "")
 
 
 def is_blank(text: Column, space: str = WEB_SPACE) -> Column:

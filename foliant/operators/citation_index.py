@@ -25,7 +25,7 @@ def extract_citations(articles: DataFrame, article_id: str = "id", text: str = "
     return (
         matches.select(
             "article_id",
-            F.regexp_replace(cite.token_of(F.col("_m")), r"\.+\z", "").alias("token"),
+            cite.token_of(F.col("_m")).alias("token"),
             chapter.alias("chapter"),
             start.alias("verse_start"),
             end.alias("verse_end"),

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -55,6 +57,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, for costly work on their texts."""
+    return spread(documents(spark, sf_dir), "doc_id")
+
+
 def say(*parts: Column | str) -> Column:
     """Concatenate columns and literal text."""
     return F.concat(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors
 from ..operators import chunking, quality
-from .base import SOURCE_NUMBER, documents, query, say, source_number, table
+from .base import SOURCE_NUMBER, query, say, source_number, table, texts
 
 # Vectors of the embeddings table.
 TABLE_DIMENSIONS = 64
@@ -15,7 +15,7 @@ TABLE_DIMENSIONS = 64
 def articles_of(spark, sf_dir):
     """Documents as articles, every line a paragraph of its own."""
     doc = F.col("doc_id")
-    return documents(spark, sf_dir).select(
+    return texts(spark, sf_dir).select(
         doc.cast("string").alias("id"),
         say("doc-", F.format_string("%09d", doc)).alias("slug"),
         say("Document ", doc).alias("title"),
@@ -165,7 +165,7 @@ def _zero(count: str, level: str) -> str:
 )
 def quality_articles(spark, sf_dir):
     """Slugs are hashes of the texts here, so repeated texts show up as repeated slugs."""
-    hashed = documents(spark, sf_dir).select(
+    hashed = texts(spark, sf_dir).select(
         F.sha2("text", 256).alias("slug"),
         say("Document ", F.col("doc_id")).alias("title"),
         F.col("text").alias("content"),

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import citations as cite
 from ..operators import citation_index as index
-from ..operators.keyed import absent_rows
+from ..operators import quality
+from ..sources.tables import spread
 from .base import query, say, table
 
 # Short forms that the order texts rotate through; some are no citations at all.
@@ -22,7 +23,8 @@ def lineitem_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = F.col("l_partkey") % 310
     end = F.when(F.col("l_linenumber") % 3 == 0, say("-", part + 3)).otherwise("")
     text = say("see S. ", F.col("l_orderkey") % 120 + 1, ":", part + 1, end, " and others.")
-    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), text.alias("content"))
+    items = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    return items.select(F.col("l_orderkey").alias("id"), text.alias("content"))
 
 
 LINEITEM_TEXTS = """
@@ -45,7 +47,8 @@ def order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Compare ", name, " ", F.col("o_orderkey") % 50 + 1, ":", verse, end,
         "; Q", F.col("o_custkey") % 130, ":", F.col("o_orderkey") % 20, ".",
     )
-    return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"), text.alias("content"))
+    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    return orders.select(F.col("o_custkey").alias("id"), text.alias("content"))
 
 
 _ROTATION_SQL = ", ".join(f"'{n}'" for n in ROTATION)
@@ -214,10 +217,9 @@ def verse_junction_rejects(spark, sf_dir):
 )
 def orphan_verses(spark, sf_dir):
     junction, verses = _sides(spark, sf_dir)
-    linked, _ = index.link_verses(junction, verses)
-    return absent_rows(verses, linked.select(F.col("verse_id").alias("id")), ["id"]).select(
-        "id", "reference"
-    )
+    # Ids follow from the keys, so the links need no join.
+    links = junction.select(cite.verse_id(F.col("scheme"), F.col("verse_key")).alias("verse_id"))
+    return quality.orphan_verses(verses, links).select("id", "reference")
 
 
 @query(

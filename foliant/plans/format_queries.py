@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import markup, report
 from ..operators import formatting
-from .base import documents, query, say, source_number, sql_rewrite
+from .base import query, say, source_number, sql_rewrite, texts
 
 OWNERS = ("Acme Press", "Example House")
 SITES = {"host.example": "Example Host"}
@@ -14,7 +14,7 @@ SITES = {"host.example": "Example Host"}
 
 def cleaned(spark, sf_dir, markdown, clean):
     """The result of one pass over markdown made from every document."""
-    made = documents(spark, sf_dir).select("doc_id", "source", "lang", markdown.alias("markdown"))
+    made = texts(spark, sf_dir).select("doc_id", "source", "lang", markdown.alias("markdown"))
     return made.select("doc_id", clean(F.col("markdown")).alias("cleaned"))
 
 
@@ -153,7 +153,7 @@ def headings_clean(spark, sf_dir):
 )
 def title_dedup(spark, sf_dir):
     title = say("The ", F.col("source"), " report 2024")
-    made = documents(spark, sf_dir).select(
+    made = texts(spark, sf_dir).select(
         "doc_id",
         title.alias("title"),
         say(
@@ -175,7 +175,7 @@ def title_dedup(spark, sf_dir):
 )
 def metadata_lines(spark, sf_dir):
     doc = F.col("doc_id")
-    made = documents(spark, sf_dir).select(
+    made = texts(spark, sf_dir).select(
         "doc_id",
         say(
             F.col("text"), "\n*Author: Writer ", F.col("source"), "*\n*Date:  2024-01-", doc % 28 + 1, " * \nmore"
@@ -215,7 +215,7 @@ def tables_clean(spark, sf_dir):
 @query("dup_halves")
 def dup_halves(spark, sf_dir):
     """Sequence similarity has no SQL form: checked in the tests instead."""
-    made = documents(spark, sf_dir).select("doc_id", say(_text(), "\n\n", _text()).alias("m"))
+    made = texts(spark, sf_dir).select("doc_id", say(_text(), "\n\n", _text()).alias("m"))
     return made.withColumn("alike", markup.halves_alike(F.col("m"))).select(
         "doc_id",
         "alike",
@@ -236,7 +236,7 @@ def format_detect(spark, sf_dir):
         .when(doc % 3 == 1, "# T\n\n**Source:** x\n\n\n**Category:** y\n")
         .otherwise("# T\n\n**Source:** x\n\n**Category:** y\n\n---\n")
     )
-    made = documents(spark, sf_dir).select("doc_id", say(header, _text()).alias("m"))
+    made = texts(spark, sf_dir).select("doc_id", say(header, _text()).alias("m"))
     return made.select("doc_id", markup.is_formatted(F.col("m")).alias("formatted"))
 
 
@@ -263,7 +263,7 @@ def header_build(spark, sf_dir):
         F.when(doc % 4 == 0, "2024"),
         SITES,
     )
-    return documents(spark, sf_dir).select("doc_id", header.alias("header"))
+    return texts(spark, sf_dir).select("doc_id", header.alias("header"))
 
 
 def dirty_articles(spark, sf_dir):
@@ -274,7 +274,7 @@ def dirty_articles(spark, sf_dir):
         "# **", title, "**\n", _BEFORE, "*Author: Writer*\n",
         F.replace(text, F.lit("\n"), F.lit("  \n\n* * *\n\n\n\n")), _LINKS, "__bold__ _**both**_\n", _AFTER,
     )
-    return documents(spark, sf_dir).select(
+    return texts(spark, sf_dir).select(
         "doc_id",
         title.alias("title"),
         markdown.alias("markdown"),
@@ -332,7 +332,7 @@ REPORT_SQL = r"""
 )
 def format_report(spark, sf_dir):
     header = F.when(F.col("doc_id") % 2 == 0, "# T\n\n**Source:** s\n\n**Category:** c\n\n").otherwise("")
-    made = documents(spark, sf_dir).select(
+    made = texts(spark, sf_dir).select(
         "doc_id",
         say(
             header, _BEFORE, F.replace(_text(), F.lit(" the "), F.lit("\u00a0the**** ")), _LINKS,

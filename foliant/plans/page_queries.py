@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from ..functions import html, names
 from ..operators import sections
 from ..sinks import documents as sink
-from .base import documents, query, say, sql_rewrite, table
+from ..sources.tables import spread
+from .base import query, say, sql_rewrite, table, texts
 
 
 def pages(spark, sf_dir):
-    return table(spark, sf_dir, "pages")
+    return spread(table(spark, sf_dir, "pages"), "page_id")
 
 
 # Character references that occur in the pages.
@@ -100,7 +101,7 @@ def html_links(spark, sf_dir):
 )
 def html_collapse(spark, sf_dir):
     gap = F.repeat(F.lit("\n"), (F.col("doc_id") % 6 + 1).cast("int"))
-    return documents(spark, sf_dir).select(
+    return texts(spark, sf_dir).select(
         "doc_id", html.collapse_newlines(F.replace(F.col("text"), F.lit("\n"), gap)).alias("collapsed")
     )
 
@@ -168,7 +169,7 @@ def section_links(spark, sf_dir):
     FROM (SELECT page_id, row_number() OVER (PARTITION BY folder ORDER BY page_id) + 5 AS number
         FROM (SELECT page_id, regexp_extract(url, '^([a-z]+):', 1) AS folder FROM pages))""",
 )
-def placed_documents(spark, sf_dir):
+def placed_texts(spark, sf_dir):
     links = pages(spark, sf_dir).select(
         "page_id",
         F.regexp_extract("url", "^([a-z]+):", 1).alias("folder"),
@@ -188,7 +189,7 @@ def placed_documents(spark, sf_dir):
 def article_render(spark, sf_dir):
     plain = F.regexp_replace("text", r"[*_~`#\[\]]", "")
     made = say("# Title ", F.col("doc_id"), "\n\n", plain, " **end**")
-    return documents(spark, sf_dir).select("doc_id", html.render_html(made).alias("html"))
+    return texts(spark, sf_dir).select("doc_id", html.render_html(made).alias("html"))
 
 
 @query(

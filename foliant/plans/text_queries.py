@@ -18,6 +18,7 @@ from .base import (
     sql_trim,
     sql_words,
     table,
+    texts,
 )
 
 CONTENT_WORD = r"[^\s#*`_~\[\]()>|]+"
@@ -50,7 +51,7 @@ def sql_excerpt(text: str) -> str:
 )
 def word_count_stub(spark, sf_dir):
     words = text.count_content_words(F.col("text"))
-    return documents(spark, sf_dir).select(
+    return texts(spark, sf_dir).select(
         "doc_id",
         words.alias("word_count"),
         text.count_words(F.col("text")).alias("plain_words"),
@@ -60,7 +61,7 @@ def word_count_stub(spark, sf_dir):
 
 @query("strip_markdown", f"SELECT doc_id, {sql_plain('text')} AS plain FROM documents")
 def strip_markdown(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", text.strip_markdown(F.col("text")).alias("plain"))
+    return texts(spark, sf_dir).select("doc_id", text.strip_markdown(F.col("text")).alias("plain"))
 
 
 @query(
@@ -78,7 +79,7 @@ def strip_markdown_turns(spark, sf_dir):
     FROM (SELECT doc_id, {sql_plain("text")} AS plain FROM documents)""",
 )
 def excerpt_150(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", text.excerpt(F.col("text")).alias("excerpt"))
+    return texts(spark, sf_dir).select("doc_id", text.excerpt(F.col("text")).alias("excerpt"))
 
 
 @query(
@@ -88,7 +89,7 @@ def excerpt_150(spark, sf_dir):
     FROM documents""",
 )
 def read_time(spark, sf_dir):
-    return documents(spark, sf_dir).select(
+    return texts(spark, sf_dir).select(
         "doc_id", text.read_minutes(text.count_words(F.col("text"))).alias("minutes")
     )
 
@@ -99,7 +100,7 @@ def read_time(spark, sf_dir):
 )
 def min_words(spark, sf_dir):
     return (
-        documents(spark, sf_dir)
+        texts(spark, sf_dir)
         .select("doc_id", text.count_words(F.col("text")).alias("words"))
         .where(~text.is_stub(F.col("words")))
     )
@@ -117,7 +118,7 @@ def min_words(spark, sf_dir):
 )
 def paragraph_split(spark, sf_dir):
     spaced = F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n"))
-    return documents(spark, sf_dir).select(
+    return texts(spark, sf_dir).select(
         "doc_id", F.posexplode(chunks.paragraphs(spaced)).alias("position", "paragraph")
     )
 
@@ -131,7 +132,7 @@ def paragraph_split(spark, sf_dir):
 )
 def hard_split(spark, sf_dir):
     pieces = chunks.hard_split(F.col("text"), F.lit(chunks.MEDIUM_TOKENS))
-    return documents(spark, sf_dir).select(
+    return texts(spark, sf_dir).select(
         "doc_id", F.posexplode(pieces).alias("position", "piece")
     )
 
@@ -143,7 +144,7 @@ def hard_split(spark, sf_dir):
     FROM (SELECT doc_id, {sql_words("text")} AS w FROM documents)""",
 )
 def token_budget(spark, sf_dir):
-    counted = documents(spark, sf_dir).select("doc_id", text.count_words(F.col("text")).alias("w"))
+    counted = texts(spark, sf_dir).select("doc_id", text.count_words(F.col("text")).alias("w"))
     return counted.select(
         "doc_id",
         text.estimate_tokens(F.col("w")).alias("tokens"),
@@ -163,7 +164,7 @@ OWN_WORDS = ("the", "nicht", "copyright", "license", "que", "los")
         FROM documents)""",
 )
 def keyword_tags(spark, sf_dir):
-    tagged = documents(spark, sf_dir).select(
+    tagged = texts(spark, sf_dir).select(
         "doc_id", cues.matched_keywords(F.col("lang"), F.col("text"), OWN_WORDS).alias("k")
     )
     return tagged.select(
@@ -188,7 +189,7 @@ def vtt_clean(spark, sf_dir):
         ),
     )
     file = F.concat(F.lit("WEBVTT\nKind: captions\nLanguage: en\n\n"), F.array_join(lines, "\n"))
-    return documents(spark, sf_dir).select("doc_id", cues.clean_cues(file).alias("spoken"))
+    return texts(spark, sf_dir).select("doc_id", cues.clean_cues(file).alias("spoken"))
 
 
 @query(
@@ -205,7 +206,7 @@ def iso_timestamps(spark, sf_dir):
 
 def files_of(spark, sf_dir):
     """Article files written from documents; header parts are missing here and there."""
-    d, doc = documents(spark, sf_dir), F.col("doc_id")
+    d, doc = texts(spark, sf_dir), F.col("doc_id")
     folder = say(F.format_string("%02d_", source_number()), "Topic_of_", F.col("source"))
     filename = say(F.format_string("%03d_", doc % 40), "On ", F.col("lang"), "  n.", doc % 7, ".md")
     title = F.when(doc % 7 == 0, "").otherwise(say("  # Title ", doc, " of ", F.col("source"), "\n\n"))
@@ -348,7 +349,7 @@ def categories_of(spark, sf_dir):
 def local_articles(spark, sf_dir):
     """Documents as the reader's articles."""
     doc = F.col("doc_id")
-    return documents(spark, sf_dir).select(
+    return texts(spark, sf_dir).select(
         doc.cast("string").alias("id"),
         say("doc-", doc).alias("slug"),
         say("Document ", doc).alias("title"),

@@ -25,6 +25,16 @@ def read_table(
     return table.select(*columns) if columns else table
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores when the scan yields fewer splits than there are cores.
+
+    A small file is one task however costly its texts are.  Large inputs have
+    more splits than cores, and then nothing is moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def article_list(articles: DataFrame) -> DataFrame:
     return articles.select("id", "slug", "is_stub")
 
