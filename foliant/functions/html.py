@@ -57,12 +57,16 @@ POST_BODY_SELECTORS = (".post-body", ".entry-content")
 POST_DATE_SELECTORS = (".date-header", ".published", "time")
 
 
-@F.pandas_udf(T.StringType())
-def unescape(text: pd.Series) -> pd.Series:
+def unescape(text: Column) -> Column:
     """Character references as characters."""
-    import html
 
-    return text.map(html.unescape, na_action="ignore").astype("object")
+    @F.pandas_udf(T.StringType())
+    def unescaped(values: pd.Series) -> pd.Series:
+        import html
+
+        return values.map(html.unescape, na_action="ignore").astype("object")
+
+    return unescaped(text)
 
 
 def _opening(selector: str) -> re.Pattern[str]:

@@ -110,31 +110,31 @@ COPY_SAMPLE = 500
 COPY_RATIO = 0.8
 
 
-@F.pandas_udf(T.BooleanType())
-def _look_alike(first: pd.Series, second: pd.Series) -> pd.Series:
-    from difflib import SequenceMatcher
-
-    def alike(a: str | None, b: str | None) -> bool:
-        if a is None or b is None:
-            return False
-        match = SequenceMatcher(None, a, b)
-        # The two quick ratios are upper bounds, so skipping on them is exact.
-        return (
-            match.real_quick_ratio() > COPY_RATIO
-            and match.quick_ratio() > COPY_RATIO
-            and match.ratio() > COPY_RATIO
-        )
+def halves_alike(text: Column) -> Column:
+    """True when both halves of a long text start alike; only the samples travel."""
 
-    return pd.Series([alike(a, b) for a, b in zip(first, second)], dtype="bool")
+    @F.pandas_udf(T.BooleanType())
+    def look_alike(first: pd.Series, second: pd.Series) -> pd.Series:
+        from difflib import SequenceMatcher
 
+        def alike(a: str | None, b: str | None) -> bool:
+            if a is None or b is None:
+                return False
+            match = SequenceMatcher(None, a, b)
+            # The two quick ratios are upper bounds, so skipping on them is exact.
+            return (
+                match.real_quick_ratio() > COPY_RATIO
+                and match.quick_ratio() > COPY_RATIO
+                and match.ratio() > COPY_RATIO
+            )
+
+        return pd.Series([alike(a, b) for a, b in zip(first, second)], dtype="bool")
 
-def halves_alike(text: Column) -> Column:
-    """True when both halves of a long text start alike; only the samples travel."""
     half = F.floor(F.length(text) / 2).cast("int")
     long = F.length(text) >= COPY_MIN_CHARS
     first = F.when(long, F.substr(text, F.lit(1), F.least(half, F.lit(COPY_SAMPLE))))
     second = F.when(long, F.substr(text, half + 1, F.lit(COPY_SAMPLE)))
-    return _look_alike(first, second)
+    return look_alike(first, second)
 
 
 def first_half(text: Column) -> Column:

@@ -104,16 +104,16 @@ def site_name(url: Column, sites: Mapping[str, str]) -> Column:
     return name
 
 
-@F.pandas_udf(T.StringType())
-def _joined_urls(base: pd.Series, href: pd.Series) -> pd.Series:
-    from urllib.parse import urljoin
+def resolve_url(base: Column, href: Column) -> Column:
+    """Resolve a link against its page; relative paths need the standard rules."""
 
-    return pd.Series(
-        [None if b is None or h is None else urljoin(b, h) for b, h in zip(base, href)],
-        dtype="object",
-    )
+    @F.pandas_udf(T.StringType())
+    def joined(bases: pd.Series, hrefs: pd.Series) -> pd.Series:
+        from urllib.parse import urljoin
 
+        return pd.Series(
+            [None if b is None or h is None else urljoin(b, h) for b, h in zip(bases, hrefs)],
+            dtype="object",
+        )
 
-def resolve_url(base: Column, href: Column) -> Column:
-    """Resolve a link against its page; relative paths need the standard rules."""
-    return _joined_urls(base, href)
+    return joined(base, href)

@@ -27,8 +27,7 @@ def read_markdown(spark: SparkSession, root: str) -> DataFrame:
         .load(f"{root}/*")
         .select("path", "content")
     )
-    path = F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
-    files = _parts(scan, path, decode_utf8(F.col("content")))
+    files = _parts(scan, F.col("path"), decode_utf8(F.col("content")))
     return files.where(~F.col("filename").isin(*INDEX_FILES))
 
 

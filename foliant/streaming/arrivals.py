@@ -16,25 +16,30 @@ from ..session import shared_folder
 
 def stream_missing(
     spark: SparkSession,
+    name: str,
     source: str,
     target: str,
-    schema,
+    schema: str,
     keys: list[str],
     order: list[str],
-    checkpoint: str | None = None,
+    fallback: str | None = None,
 ) -> StreamingQuery:
-    """Append rows of new parquet files whose key is not in the target, then stop."""
+    """Append rows of new parquet files whose key is not in the target, then stop.
+
+    The name identifies the load: its progress is kept under this name in the
+    shared folder of the session.
+    """
 
     def load(batch: DataFrame, _: int) -> None:
         stored = batch.sparkSession.read.schema(schema).parquet(target)
         insert_missing(stored, batch, keys, order).write.mode("append").parquet(target)
 
-    folder = shared_folder(spark, checkpoint)
+    folder = shared_folder(spark, fallback)
     return (
         spark.readStream.schema(schema)
         .parquet(source)
         .writeStream.foreachBatch(load)
-        .option("checkpointLocation", f"{folder}/arrivals")
+        .option("checkpointLocation", f"{folder}/{name}")
         .trigger(availableNow=True)
         .start()
     )
