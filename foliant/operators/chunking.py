@@ -17,10 +17,12 @@ from .keyed import absent_rows
 
 Embedder = Callable[[list[str]], list[list[float]]]
 
-# Texts per call, tries, first wait after a refusal in seconds.
+# Texts per call, tries, seconds waited after a first refusal and
+# between two calls.
 TEXTS_PER_CALL = 50
 TRIES = 3
 FIRST_WAIT = 5.0
+CALL_PAUSE = 0.5
 
 
 class RateLimited(Exception):
@@ -64,7 +66,12 @@ def call_embedder(embedder: Embedder, texts: list[str], sleep=time.sleep) -> lis
     raise AssertionError("unreachable")
 
 
-def embed(chunk_rows: DataFrame, embedder: Embedder, per_call: int = TEXTS_PER_CALL) -> DataFrame:
+def embed(
+    chunk_rows: DataFrame,
+    embedder: Embedder,
+    per_call: int = TEXTS_PER_CALL,
+    pause: float = CALL_PAUSE,
+) -> DataFrame:
     """Add a vector to every chunk row, a fixed number of texts per call."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -72,6 +79,8 @@ def embed(chunk_rows: DataFrame, embedder: Embedder, per_call: int = TEXTS_PER_C
             texts = batch["content"].tolist()
             vectors: list[list[float]] = []
             for start in range(0, len(texts), per_call):
+                if start and pause:
+                    time.sleep(pause)
                 vectors += call_embedder(embedder, texts[start : start + per_call])
             yield batch.assign(embedding=vectors)
 

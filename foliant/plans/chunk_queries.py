@@ -88,7 +88,7 @@ def chunk_stats(spark, sf_dir):
 @query("hash_embed")
 def hash_embed(spark, sf_dir):
     """Vectors from a stand-in model have no SQL form: checked in the tests instead."""
-    embedded = chunking.embed(chunks_of(spark, sf_dir), chunking.hash_embedder(32))
+    embedded = chunking.embed(chunks_of(spark, sf_dir), chunking.hash_embedder(32), pause=0)
     return embedded.select(
         "article_id", "chunk_index", "token_count", F.size("embedding").alias("dims"), "embedding"
     )

@@ -20,6 +20,19 @@ def place(links: DataFrame, existing: int = 0, plain_rows: int = PLAIN_ROWS) ->
     )
 
 
+def place_posts(posts: DataFrame, existing: int = 0, plain_rows: int = PLAIN_ROWS) -> DataFrame:
+    """Number blog posts in crawl order after the stored files; nameless ones by number."""
+    placed = numbered(posts, [], ["position"], "number", plain_rows=plain_rows)
+    number = F.col("number") + existing
+    slug = F.coalesce(
+        F.nullif(names.slugify(F.col("title")), F.lit("")),
+        F.concat(F.lit("article_"), number.cast("string")),
+    )
+    return placed.withColumn("filename", names.numbered_filename(number, slug)).withColumn(
+        "number", number
+    )
+
+
 def missing_documents(placed: DataFrame, files: DataFrame) -> DataFrame:
     """Placed links whose file does not exist yet."""
     return absent_rows(placed, files.select("folder", "filename"), ["folder", "filename"])

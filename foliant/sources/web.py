@@ -17,11 +17,14 @@ from pyspark.sql import functions as F
 from ..functions import html
 from ..functions.text import count_words, is_stub, strip_space
 
-# Tries, waits per attempt in seconds, list pages followed.
+# Tries, waits per attempt in seconds, list pages followed, pauses
+# in seconds between pages and between posts.
 TRIES = 3
 STATUS_WAIT = 3
 CONNECTION_WAIT = 5
 LIST_PAGES = 10
+PAGE_PAUSE = 1.5
+POST_PAUSE = 2.0
 
 
 @dataclass
@@ -67,13 +70,23 @@ def decode_page(page: Page) -> str:
         return page.body.decode("utf-8", errors="replace")
 
 
-def fetch_pages(urls: DataFrame, fetch: Fetch, sleep=time.sleep) -> DataFrame:
-    """Add ``html`` to rows with a ``url``; NULL where the page could not be had."""
+def fetch_pages(
+    urls: DataFrame, fetch: Fetch, pause: float = PAGE_PAUSE, sleep=time.sleep
+) -> DataFrame:
+    """Add ``html`` to rows with a ``url``; NULL where the page could not be had.
+
+    Every task pauses between its pages, so the number of partitions sets the
+    total rate; partition by host to bound the rate per host.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            pages = [fetch_with_retries(fetch, url, sleep) for url in batch["url"]]
-            yield batch.assign(html=[None if p is None else decode_page(p) for p in pages])
+            texts = []
+            for url in batch["url"]:
+                page = fetch_with_retries(fetch, url, sleep)
+                texts.append(None if page is None else decode_page(page))
+                sleep(pause)
+            yield batch.assign(html=texts)
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in urls.schema.fields)
     return urls.mapInPandas(run, f"{fields}, html string")

@@ -97,7 +97,7 @@ def test_blog(spark):
     fetch = fetcher()
     assert web.follow_list("http://b/1", fetch) == ["http://b/1", "http://b/2"]
     listed = spark.createDataFrame([("http://b/1",), ("http://b/2",), ("http://b/none",)], "url string")
-    fetched = web.fetch_pages(listed, fetch)
+    fetched = web.fetch_pages(listed, fetch, pause=0)
     assert {r["url"]: r["html"] is None for r in fetched.collect()}["http://b/none"] is True
     posts = web.post_links(fetched)
     assert sorted(map(tuple, posts.collect())) == [("http://b/p1", "Firstpost"), ("http://b/p2", "Second")]
@@ -105,7 +105,7 @@ def test_blog(spark):
     visited = spark.createDataFrame([("http://b/p2",)], "url string")
     fresh = incremental.unvisited(more, visited)
     assert sorted(r["url"] for r in fresh.collect()) == ["http://b/p1", "http://b/p3"]
-    kept = web.extract_posts(web.fetch_pages(fresh.select("url"), fetch)).collect()
+    kept = web.extract_posts(web.fetch_pages(fresh.select("url"), fetch, pause=0)).collect()
     assert [(r["title"], r["publish_date"], r["word_count"]) for r in kept] == [("Title one", "May", 61)]
     assert incremental.visited_after(visited, more).count() == 3
 
@@ -152,7 +152,7 @@ def test_embedding(spark):
     assert chunking.pending(table, stored, force=True).count() == 2
     chunks = chunking.chunk_articles(todo)
     # In a task, so it must not close over the test module.
-    embedded = chunking.embed(chunks, chunking.hash_embedder(8), per_call=1).orderBy("chunk_index").collect()
+    embedded = chunking.embed(chunks, chunking.hash_embedder(8), per_call=1, pause=0).orderBy("chunk_index").collect()
     assert [r["chunk_index"] for r in embedded] == list(range(chunks.count()))
     wanted = chunking.hash_embedder(8)([r["content"] for r in embedded])
     assert [r["embedding"] for r in embedded] == wanted
@@ -276,6 +276,12 @@ def test_documents_are_written_once(spark, tmp_path):
     assert "**External Link:**" in Path(tmp_path, "01_a", "002_two.md").read_text()
 
 
+def test_posts_continue_the_numbering(spark):
+    posts = spark.createDataFrame([(1, "Hello World"), (2, "???")], "position int, title string")
+    placed = documents.place_posts(posts, existing=7)
+    assert sorted(r["filename"] for r in placed.collect()) == ["008_hello_world.md", "009_article_9.md"]
+
+
 def test_stream_appends_new_keys_once(spark, tmp_path):
     schema = "slug string, n int"
     source, target, seen = (str(tmp_path / d) for d in ("in", "out", "seen"))
