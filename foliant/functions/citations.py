@@ -223,7 +223,8 @@ def token_table(spark: SparkSession) -> DataFrame:
     where = testaments()
     rows = [(t, "bible", b, where[b]) for t, b in short_forms().items() if not t.endswith(".")]
     rows += [(b, "bible", b, t) for b, t in where.items()]
-    rows += [(t, "quran", QURAN, None) for t in ("S", "Q")]
-    return spark.createDataFrame(
-        rows, "token string, scheme string, book string, testament string"
+    listed = [f"('{t}', '{s}', '{b}', '{w}')" for t, s, b, w in rows]
+    listed += [f"('{t}', 'quran', '{QURAN}', NULL)" for t in ("S", "Q")]
+    return spark.sql(
+        f"SELECT * FROM VALUES {', '.join(listed)} AS t(token, scheme, book, testament)"
     )

@@ -47,8 +47,12 @@ READ_MORE = (
 # Characters and byte mix-ups to repair.
 UNICODE_REPAIRS = [
     ("\u00a0", " "),
-    ("[\u200b\ufeff\u200e\u200f]", ""),
-    ("[\u2028\u2029]", "\n"),
+    ("\u200b", ""),
+    ("\ufeff", ""),
+    ("\u200e", ""),
+    ("\u200f", ""),
+    ("\u2028", "\n"),
+    ("\u2029", "\n"),
     ("\u00e2\u20ac\u2122", "\u2019"),
     ("\u00e2\u20ac\u0153", "\u201c"),
     ("\u00e2\u20ac\u009d", "\u201d"),
@@ -57,38 +61,38 @@ UNICODE_REPAIRS = [
 
 # Emphasis rewrites, in order.
 EMPHASIS_RULES = [
-    (r"__\*\*([^*\n]+?)\*\*__", "**$1**"),
-    (r"\*\*__([^_\n]+?)__\*\*", "**$1**"),
-    (r"_\*\*([^*\n]+?)\*\*_", "***$1***"),
-    (r"\*\*_([^_\n]+?)_\*\*", "***$1***"),
-    (rf"(?<![{WORD}])__([^_\n]+?)__(?![{WORD}])", "**$1**"),
-    (r"\*{4}([^*\n]+?)\*{4}", "**$1**"),
-    (r"(?<!\*)\*{4,}(?!\*)", ""),
-    (rf"(?<!\*)(\*{{2,3}}){_S}*\1(?!\*)", ""),
-    (rf"(?md)^\*\*{_S}*$", ""),
-    (rf"(?md)^{_S}*\*\*$", ""),
-    (rf"(?md)^__{_S}*$", ""),
-    (rf"(?md)^{_S}*__$", ""),
+    (r"__\*\*([^*\n]+?)\*\*__", "**$1**", "__**"),
+    (r"\*\*__([^_\n]+?)__\*\*", "**$1**", "**__"),
+    (r"_\*\*([^*\n]+?)\*\*_", "***$1***", "_**"),
+    (r"\*\*_([^_\n]+?)_\*\*", "***$1***", "**_"),
+    (rf"(?<![{WORD}])__([^_\n]+?)__(?![{WORD}])", "**$1**", "__"),
+    (r"\*{4}([^*\n]+?)\*{4}", "**$1**", "****"),
+    (r"(?<!\*)\*{4,}(?!\*)", "", "****"),
+    (rf"(?<!\*)(\*{{2,3}}){_S}*\1(?!\*)", "", "**"),
+    (rf"(?md)^\*\*{_S}*$", "", "**"),
+    (rf"(?md)^{_S}*\*\*$", "", "**"),
+    (rf"(?md)^__{_S}*$", "", "__"),
+    (rf"(?md)^{_S}*__$", "", "__"),
 ]
 
 # Link rewrites, in order.
 LINK_RULES = [
-    (rf'\[([^\]]*)\]\(<([^>]+)>{_S}*"[^"]*"\)', "[$1]($2)"),
-    (rf'\[([^\]]*)\]\(([^{TEXT_SPACE})]+){_S}+"[^"]*"\)', "[$1]($2)"),
-    (rf"\[([^\]]*)\]\(<([^>{TEXT_SPACE}]+)>\)", "[$1]($2)"),
-    (r"\[\]\([^)]*\)", ""),
-    (rf"\[([^\]]+)\]\({_S}*\)", "$1"),
-    (r"\[([^\]]*)\]\(([^)]*\([^)]*\)[^)]*)\)", "[$1](<$2>)"),
+    (rf'\[([^\]]*)\]\(<([^>]+)>{_S}*"[^"]*"\)', "[$1]($2)", "](<"),
+    (rf'\[([^\]]*)\]\(([^{TEXT_SPACE})]+){_S}+"[^"]*"\)', "[$1]($2)", '")'),
+    (rf"\[([^\]]*)\]\(<([^>{TEXT_SPACE}]+)>\)", "[$1]($2)", "](<"),
+    (r"\[\]\([^)]*\)", "", "[]("),
+    (rf"\[([^\]]+)\]\({_S}*\)", "$1", "]("),
+    (r"\[([^\]]*)\]\(([^)]*\([^)]*\)[^)]*)\)", "[$1](<$2>)", "]("),
 ]
 
 # Forms of a horizontal rule.
 RULE_FORMS = [
-    (rf"(?md)^\*{_S}*\*{_S}*\*[{TEXT_SPACE}*]*$", "---"),
-    (rf"(?md)^\*{{3,}}{_S}*$", "---"),
-    (rf"(?md)^-{_S}*-{_S}*-[{TEXT_SPACE}-]*$", "---"),
-    (rf"(?md)^_{_S}*_{_S}*_[{TEXT_SPACE}_]*$", "---"),
-    (rf"(?md)^_{{3,}}{_S}*$", "---"),
-    (r"(?:---\n){2,}", "---\n"),
+    (rf"(?md)^\*{_S}*\*{_S}*\*[{TEXT_SPACE}*]*$", "---", "*"),
+    (rf"(?md)^\*{{3,}}{_S}*$", "---", "***"),
+    (rf"(?md)^-{_S}*-{_S}*-[{TEXT_SPACE}-]*$", "---", "-"),
+    (rf"(?md)^_{_S}*_{_S}*_[{TEXT_SPACE}_]*$", "---", "_"),
+    (rf"(?md)^_{{3,}}{_S}*$", "---", "___"),
+    (r"(?:---\n){2,}", "---\n", "---\n---\n"),
 ]
 
 METADATA_FIELDS = ("Published", "Date", "Author", "Keyword")
@@ -154,7 +158,9 @@ def without_metadata(text: Column) -> Column:
 
 
 def normalize_unicode(text: Column) -> Column:
-    return rewrite(text, UNICODE_REPAIRS)
+    for old, new in UNICODE_REPAIRS:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
 
 
 def remove_boilerplate(text: Column, owners: Sequence[str] = ()) -> Column:
@@ -164,20 +170,17 @@ def remove_boilerplate(text: Column, owners: Sequence[str] = ()) -> Column:
         names = "|".join(owners)
         rules.append((rf"(?imdu)^.*Copyright{_S}*©?{_S}*(?:{names}).*$", ""))
     rules += [
-        (pattern, "")
-        for pattern in (
-            SIGN_OFF,
-            NAVIGATION,
-            SHARE_LABEL,
-            SHARE_COUNT,
-            COMMENT_HEADING,
-            COMMENT_LINE,
-            FILED_UNDER,
-            BLOG_IMAGE_LINK,
-            BLOG_IMAGE,
-            LAST_EMPTY_LINK,
-            READ_MORE,
-        )
+        (SIGN_OFF, "", "God bless you all"),
+        (NAVIGATION, ""),
+        (SHARE_LABEL, ""),
+        (SHARE_COUNT, ""),
+        (COMMENT_HEADING, "", "#"),
+        (COMMENT_LINE, ""),
+        (FILED_UNDER, ""),
+        (BLOG_IMAGE_LINK, "", "[](<http"),
+        (BLOG_IMAGE, "", "![](http"),
+        (LAST_EMPTY_LINK, "", "[]("),
+        (READ_MORE, ""),
     ]
     return rewrite(text, rules)
 
@@ -224,10 +227,10 @@ def normalize_headings(text: Column) -> Column:
     return rewrite(
         text,
         [
-            (rf"(?md)^{empty}\n", ""),
-            (rf"(?:\A|\n){empty}\z", ""),
-            (r"(?md)^# (?=[^#\n])", "## "),
-            (rf"(?md)^(#{{1,6}}){_GAP}*\*\*(.+?)\*\*{_GAP}*$", "$1 $2"),
+            (rf"(?md)^{empty}\n", "", "#"),
+            (rf"(?:\A|\n){empty}\z", "", "#"),
+            (r"(?md)^# (?=[^#\n])", "## ", "# "),
+            (rf"(?md)^(#{{1,6}}){_GAP}*\*\*(.+?)\*\*{_GAP}*$", "$1 $2", "#"),
         ],
     )
 
@@ -268,8 +271,8 @@ def normalize_whitespace(text: Column) -> Column:
         text,
         [
             (r"(?md)[ \t]+$", ""),
-            (r"(?md)^  (?! )", ""),
-            (r"\n{4,}", "\n\n\n"),
+            (r"(?md)^  (?! )", "", "  "),
+            (r"\n{4,}", "\n\n\n", "\n\n\n\n"),
             (r"\A\n+", ""),
         ],
     )
@@ -279,8 +282,8 @@ def remove_trailing(text: Column) -> Column:
     return rewrite(
         text,
         [
-            (rf"(?d)\n---{_S}*$", ""),
-            (rf"(?d)\n#{{1,6}}{_S}*\n*$", ""),
+            (rf"(?d)\n---{_S}*$", "", "\n---"),
+            (rf"(?d)\n#{{1,6}}{_S}*\n*$", "", "\n#"),
             (r"\n+\z", ""),
         ],
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,11 +23,11 @@ LONG_CHAIN = 4
 
 # What plain text drops from markdown, in order.
 MARKDOWN_TO_PLAIN = [
-    (rf"#{{1,6}}[{WEB_SPACE}]+", ""),
-    (r"\*{1,3}([^*]+)\*{1,3}", "$1"),
-    (r"\[([^\]]+)\]\([^)]+\)", "$1"),
-    (r"`[^`]+`", ""),
-    (r"\n+", " "),
+    (rf"#{{1,6}}[{WEB_SPACE}]+", "", "#"),
+    (r"\*{1,3}([^*]+)\*{1,3}", "$1", "*"),
+    (r"\[([^\]]+)\]\([^)]+\)", "$1", "]("),
+    (r"`[^`]+`", "", "`"),
+    (r"\n+", " ", "\n"),
     (rf"[{WEB_SPACE}]{{2,}}", " "),
 ]
 
@@ -37,17 +37,30 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def rewrite(text: Column, rules: list[tuple[str, str]]) -> Column:
+def rewrite(text: Column, rules: Sequence[tuple[str, ...]]) -> Column:
     """Apply (pattern, replacement) rules one after another.
 
+    A rule may name a third thing: text that every match contains.  Looking for
+    it is a plain byte search, and most texts then skip the pattern.
+
     A long chain would become one generated method too large for the JVM to
     compile, and run many times slower; inside a binding it is evaluated rule by
     rule.
     """
 
+    def apply(value: Column, pattern: str, replacement: str, needs: str = "") -> Column:
+        if not needs:
+            return F.regexp_replace(value, pattern, replacement)
+        return let(
+            value,
+            lambda v: F.when(
+                F.contains(v, F.lit(needs)), F.regexp_replace(v, pattern, replacement)
+            ).otherwise(v),
+        )
+
     def chain(value: Column) -> Column:
-        for pattern, replacement in rules:
-            value = F.regexp_replace(value, pattern, replacement)
+        for rule in rules:
+            value = apply(value, *rule)
         return value
 
     return let(text, chain) if len(rules) > LONG_CHAIN else chain(text)
