@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+
 # Below this many rows in total a plain window is safe for every group.
 PLAIN_ROWS = 1_000_000
 BUCKETS = 512
@@ -50,7 +53,7 @@ def numbered(
         .collect()
     )
     step = max(1, len(sample) // buckets)
-    limits = [tuple(row) for row in sample[step - 1 :: step]]
+    limits = sample[step - 1 :: step]
     if not limits:
         return numbered(df, keys, order, name, plain_rows=total, descending=descending)
 
@@ -93,23 +96,29 @@ def numbered(
     )
 
 
-def _range_of(point: Column, limits: list[tuple], like: DataFrame) -> Column:
-    """Number of limits at or below the point, searched in two steps."""
-    fields = like.schema.fields
+def _range_of(point: Column, limits: list[Row], like: DataFrame) -> Column:
+    """Number of limits at or below the point, searched in two steps.
+
+    The limits enter the plan as one constant.
+    """
+    fields = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in like.schema.fields)
+    group = math.isqrt(len(limits)) + 1
 
-    def literal(values: tuple) -> Column:
-        return F.struct(
-            *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, fields)]
+    def constant(rows: list[Row]) -> Column:
+        text = json.dumps([row.asDict() for row in rows], default=str)
+        return F.from_json(F.lit(text), f"array<struct<{fields}>>")
+
+    def below(listed: Column, at: Column) -> Column:
+        return F.size(F.filter(listed, lambda limit: limit <= at))
+
+    def search(at: Column) -> Column:
+        return let(
+            below(constant(limits[group - 1 :: group]), at),
+            lambda coarse: coarse * group
+            + below(F.slice(constant(limits), coarse * group + 1, F.lit(group)), at),
         )
 
-    group = math.isqrt(len(limits)) + 1
-    listed = F.array(*[literal(v) for v in limits])
-    coarse_limits = limits[group - 1 :: group]
-    if not coarse_limits:
-        return F.size(F.filter(listed, lambda x: x <= point))
-    coarse = F.size(F.filter(F.array(*[literal(v) for v in coarse_limits]), lambda x: x <= point))
-    fine = F.filter(F.slice(listed, coarse * group + 1, F.lit(group)), lambda x: x <= point)
-    return coarse * group + F.size(fine)
+    return let(point, search)
 
 
 def batches(df: DataFrame, order: Sequence[str], size: int, name: str = "batch", **limits) -> DataFrame:
