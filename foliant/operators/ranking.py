@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -13,7 +12,15 @@ from ..functions.text import let
 
 # Below this many rows in total a plain window is safe for every group.
 PLAIN_ROWS = 1_000_000
-BUCKETS = 512
+
+# Ranges grow in number with the table up to a bound, as their limits are part
+# of the plan and their offsets are broadcast.
+ROWS_PER_RANGE = 2_000_000
+MIN_RANGES = 512
+MAX_RANGES = 20_000
+
+# Limits compared per step of the search.
+FAN_OUT = 16
 
 
 def numbered(
@@ -22,7 +29,7 @@ def numbered(
     order: Sequence[str],
     name: str = "position",
     plain_rows: int = PLAIN_ROWS,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     descending: bool = False,
 ) -> DataFrame:
     """Add the 1-based position of each row in its group, in the given order.
@@ -43,6 +50,7 @@ def numbered(
         window = (Window.partitionBy(*keys) if keys else Window).orderBy(*sides)
         return df.withColumn(name, F.row_number().over(window).cast("bigint"))
 
+    buckets = buckets or min(max(MIN_RANGES, total // ROWS_PER_RANGE), MAX_RANGES)
     point = F.struct(*[F.col(c) for c in [*keys, *order]])
     every = max(1, total // (buckets * 8))
     sample = (
@@ -97,12 +105,12 @@ def numbered(
 
 
 def _range_of(point: Column, limits: list[Row], like: DataFrame) -> Column:
-    """Number of limits at or below the point, searched in two steps.
+    """Number of limits at or below the point.
 
-    The limits enter the plan as one constant.
+    The search looks at every 16th limit of a level, then at the next level in
+    between.  The limits of a level enter the plan as one constant.
     """
     fields = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in like.schema.fields)
-    group = math.isqrt(len(limits)) + 1
 
     def constant(rows: list[Row]) -> Column:
         text = json.dumps([row.asDict() for row in rows], default=str)
@@ -111,14 +119,19 @@ def _range_of(point: Column, limits: list[Row], like: DataFrame) -> Column:
     def below(listed: Column, at: Column) -> Column:
         return F.size(F.filter(listed, lambda limit: limit <= at))
 
-    def search(at: Column) -> Column:
+    def refine(level: int, found: Column, at: Column) -> Column:
+        if level < 0:
+            return found
+        step = FAN_OUT**level
+        between = F.slice(constant(limits[step - 1 :: step]), found * FAN_OUT + 1, F.lit(FAN_OUT))
         return let(
-            below(constant(limits[group - 1 :: group]), at),
-            lambda coarse: coarse * group
-            + below(F.slice(constant(limits), coarse * group + 1, F.lit(group)), at),
+            found * FAN_OUT + below(between, at), lambda closer: refine(level - 1, closer, at)
         )
 
-    return let(point, search)
+    top = 0
+    while FAN_OUT ** (top + 1) < len(limits):
+        top += 1
+    return let(point, lambda at: refine(top, F.lit(0), at))
 
 
 def batches(df: DataFrame, order: Sequence[str], size: int, name: str = "batch", **limits) -> DataFrame:

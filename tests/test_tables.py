@@ -49,6 +49,13 @@ def test_ranges_split_the_hot_group(spark):
     assert "SinglePartition" not in plan.split("== Physical Plan ==")[1].split("BroadcastExchange")[0]
 
 
+def test_many_ranges(spark):
+    """Three levels of limits, one range for every few rows."""
+    rows, df = skewed(spark)
+    placed = ranking.numbered(df, ["k"], ["o", "id"], "n", plain_rows=0, buckets=700)
+    assert {r["id"]: r["n"] for r in placed.collect()} == positions(rows, True)
+
+
 def test_batches(spark):
     df = spark.range(45)
     for limit in (0, 100):
