@@ -15,10 +15,10 @@ def pages(spark, sf_dir):
     return spread(table(spark, sf_dir, "pages"), "page_id")
 
 
-# Character references that occur in the pages.
+# Character references that occur in the pages; a cut one has lost its semicolon.
 def sql_unescape(text: str) -> str:
-    for name, sign in (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
-        text = f"replace({text}, '{name}', '{sign}')"
+    for name, sign in (("quot", '"'), ("middot", "·"), ("copy", "©"), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{name};?', '{sign}', 'g')"
     return text
 
 
