@@ -69,12 +69,10 @@ def load_local(files: DataFrame, categories: DataFrame, plain_rows: int = PLAIN_
         .where(name != "00_MASTER_INDEX.md")
         .withColumn("category_id", names.category_id(F.col("folder")))
         .join(
-            F.broadcast(
-                categories.select(
-                    F.col("id").alias("category_id"),
-                    F.col("name").alias("category_name"),
-                    F.col("slug").alias("category_slug"),
-                )
+            categories.select(
+                F.col("id").alias("category_id"),
+                F.col("name").alias("category_name"),
+                F.col("slug").alias("category_slug"),
             ),
             "category_id",
         )

@@ -284,11 +284,10 @@ def lookup_by_slug(spark, sf_dir):
     """SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey""",
 )
 def known_group(spark, sf_dir):
-    # The nation table has one row per country, whatever the scale.
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     return (
         table(spark, sf_dir, "customer")
-        .join(F.broadcast(nation), "c_nationkey")
+        .join(nation, "c_nationkey")
         .select("c_custkey", "n_name")
     )
 
