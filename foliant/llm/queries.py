@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import repeats, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,3 +43,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("w0"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@query
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated strings of 400 bytes."""
+    done = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
