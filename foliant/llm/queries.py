@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import repeats, simhash
+from . import repeats, simhash, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,13 @@ def query(function: Query) -> Query:
     return function
 
 
+def byte_bpe() -> str:
+    """Path of the byte-level tokenizer the queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; the schema is stated, so no file is opened to infer it."""
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
@@ -53,3 +60,9 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document, read back from token files."""
+    return tokens.checksums(tokens.round_trip(table(spark, sf_dir, "documents"), byte_bpe()))
