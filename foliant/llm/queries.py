@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import repeats, simhash, tokens
+from . import packing, quality, repeats, simhash, tokens
+from .common import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,3 +67,16 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, length and checksum of every document, read back from token files."""
     return tokens.checksums(tokens.round_trip(table(spark, sf_dir, "documents"), byte_bpe()))
+
+
+@query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bucket, batch and slot of every piece of every document, an end id counted in."""
+    counts = tokens.token_counts(table(spark, sf_dir, "documents"), byte_bpe())
+    return packing.pack(staged(counts, "token-counts"))
+
+
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
