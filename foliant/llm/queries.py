@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, repeats, simhash, tokens
+from . import packing, quality, repeats, simhash, tokens, toxicity
 from .common import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,9 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
