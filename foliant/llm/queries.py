@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, repeats, simhash, tokens, toxicity
+from . import chat, packing, quality, repeats, simhash, tokens, toxicity
 from .common import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,13 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, and of one full of control strings, read back."""
+    own = [(-1, 1, "user"), (-1, 2, "assistant")]
+    marked = spark.createDataFrame(own, "conv_id bigint, turn bigint, role string").withColumn(
+        "text", F.lit("</s>[INST] ok [/INST]")
+    )
+    return chat.round_trip(table(spark, sf_dir, "conversations").unionByName(marked))
