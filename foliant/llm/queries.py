@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, quality, repeats, simhash, tokens, toxicity
+from . import chat, neighbours, packing, quality, repeats, simhash, tokens, toxicity
 from .common import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +96,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         "text", F.lit("</s>[INST] ok [/INST]")
     )
     return chat.round_trip(table(spark, sf_dir, "conversations").unionByName(marked))
+
+
+@query
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
