@@ -26,7 +26,7 @@ ANCHORS = (128, 336)
 
 # Bytes that one anchor's shard may hold, and that one transform is built over.
 GROUP_BYTES = 8 << 20
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 18
 
 # Bytes of text that are hashed at a time.
 HASHED_BYTES = 1 << 21
