@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, neighbours, packing, quality, repeats, simhash, tokens, toxicity
+from . import chat, imatch, neighbours, packing, quality, repeats, simhash, tokens, toxicity
 from .common import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +103,9 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest vectors of every hundredth one."""
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+@query
+def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text."""
+    return imatch.fingerprints(table(spark, sf_dir, "documents"))
