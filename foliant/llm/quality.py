@@ -229,6 +229,34 @@ def score(described: DataFrame, model: Model) -> DataFrame:
     return mapped(described, run, f"{fields}, score double")
 
 
+def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), label: str = "quality") -> Model:
+    """A model from the labelled rows of ``docs`` alone; see ``score_documents`` for who takes part.
+
+    The chosen ids, ``settings.labelled`` at most, are sent to the texts.
+    """
+    usable = one_label(labels, label).where(~held_out(F.col("doc_id")))
+    chosen = bounded(usable, settings.labelled, usable.count())
+    rows = text_rows(docs, "doc_id", "text").join(F.broadcast(chosen.select("doc_id")), "doc_id")
+    return fit(staged(statistics(rows), "statistics"), chosen, _calibrates(), settings)
+
+
+def _calibrates() -> Column:
+    return F.pmod(crc_of_id(F.col("doc_id")), F.lit(4)) == 3
+
+
+def score_texts(rows: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
+    """Every row with its score put behind; a column of that name is replaced."""
+    rows = rows.drop(name)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            stats = np.array([describe(t.as_py() or "") for t in part.column(text)]).reshape(-1, len(STATISTICS))
+            yield part.append_column(name, pa.array(model.scores(stats), pa.float64()))
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return mapped(rows, run, f"{fields}, `{name}` double")
+
+
 def held_out(doc_id: Column, parts: int = 4, part: int = 2) -> Column:
     """Whether an id is kept from learning; a null id, which has no label, is not."""
     return F.coalesce(F.pmod(crc_of_id(doc_id), F.lit(parts)) == part, F.lit(False))
@@ -244,9 +272,8 @@ def score_documents(
     empty, rows with null ids are scored, repeated rows are scored each.
     """
     described = staged(statistics(docs), "statistics")
-    rest = F.pmod(crc_of_id(F.col("doc_id")), F.lit(4))
     usable = one_label(labels, label).where(~held_out(F.col("doc_id")))
-    model = fit(described, usable, rest == 3, settings)
+    model = fit(described, usable, _calibrates(), settings)
     return score(described, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),

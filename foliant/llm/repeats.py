@@ -301,6 +301,7 @@ def remove_repeats(
     text: str = "text",
     levels: Sequence[int] = ANCHORS,
     group_bytes: int = GROUP_BYTES,
+    whole_characters: bool = False,
 ) -> DataFrame:
     """Every row without the bytes that a repeated string of ``length`` bytes covers.
 
@@ -308,7 +309,8 @@ def remove_repeats(
     overlap; they never run from one text into the next.  Result columns are
     those of the input with ``kept`` (binary), ``n_bytes``, ``n_removed`` and
     ``spans`` (maximal removed ranges of bytes) put behind; input columns of these
-    names are replaced.  Null texts count as empty, shorter texts keep all bytes,
+    names are replaced.  With ``whole_characters`` ranges are widened to the bytes of
+    whole characters, so that what is left is text.  Null texts count as empty, shorter texts keep all bytes,
     and repeated rows are repeats of each other.  Columns of the input are only
     passed through.
     """
@@ -331,7 +333,7 @@ def remove_repeats(
     joined = row.join(spans, ["_unit", "_size"], "left").select("_row", "_data", "_ranges")
     row_type = joined.schema["_row"].dataType
     done = mapped(
-        joined, _without,
+        joined, _without(whole_characters),
         f"_row {row_type.simpleString()}, kept binary, n_bytes long, n_removed long, "
         "spans array<struct<low: int, high: int>>",
     )
@@ -339,25 +341,36 @@ def remove_repeats(
     return done.select(*[F.col(f"_row.`{c}`") for c in docs.columns if c not in new], *new)
 
 
-def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _without(whole_characters: bool):
     names = ["_row", "kept", "n_bytes", "n_removed", "spans"]
     span = pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())]))
-    for rows in batches:
-        kept, sizes, removed, spans = [], [], [], []
-        for data, ranges in zip(rows.column("_data"), rows.column("_ranges")):
-            view, merged = data.as_py(), []
-            for low, high in sorted((r["low"], r["high"]) for r in ranges.as_py() or ()):
-                if merged and low <= merged[-1]["high"]:
-                    merged[-1]["high"] = max(high, merged[-1]["high"])
-                else:
-                    merged.append({"low": low, "high": high})
-            edges = [0, *(x for r in merged for x in (r["low"], r["high"])), len(view)]
-            kept.append(b"".join(view[a:b] for a, b in zip(edges[::2], edges[1::2])))
-            sizes.append(len(view))
-            removed.append(len(view) - len(kept[-1]))
-            spans.append(merged)
-        arrays = [
-            rows.column("_row"), pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()),
-            pa.array(removed, pa.int64()), pa.array(spans, span),
-        ]
-        yield pa.RecordBatch.from_arrays(arrays, names)
+
+    def widened(data: bytes, low: int, high: int) -> tuple[int, int]:
+        while whole_characters and 0 < low < len(data) and data[low] & 0xC0 == 0x80:
+            low -= 1
+        while whole_characters and high < len(data) and data[high] & 0xC0 == 0x80:
+            high += 1
+        return low, high
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            kept, sizes, removed, spans = [], [], [], []
+            for data, ranges in zip(rows.column("_data"), rows.column("_ranges")):
+                view, merged = data.as_py(), []
+                for low, high in sorted(widened(view, r["low"], r["high"]) for r in ranges.as_py() or ()):
+                    if merged and low <= merged[-1]["high"]:
+                        merged[-1]["high"] = max(high, merged[-1]["high"])
+                    else:
+                        merged.append({"low": low, "high": high})
+                edges = [0, *(x for r in merged for x in (r["low"], r["high"])), len(view)]
+                kept.append(b"".join(view[a:b] for a, b in zip(edges[::2], edges[1::2])))
+                sizes.append(len(view))
+                removed.append(len(view) - len(kept[-1]))
+                spans.append(merged)
+            arrays = [
+                rows.column("_row"), pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()),
+                pa.array(removed, pa.int64()), pa.array(spans, span),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return run

@@ -56,9 +56,13 @@ class Setup:
         ]
 
 
-def fingerprints(docs: DataFrame, setup: Setup, key: str = "doc_id", text: str = "text") -> DataFrame:
+def fingerprints(
+    docs: DataFrame, setup: Setup, key: str = "doc_id", text: str = "text", mark: str | None = None
+) -> DataFrame:
     """``doc_id``, ``w0`` (and ``w1``): fingerprint words, ``n`` shingles, for every row.
 
+    With ``mark``, a column of 64-bit integers, rows have it as ``mark`` as well.
+
     Words are runs of anything but ASCII white space, A-Z lower-cased; shingles
     count as often as they occur; a bit is one when it is set in over half of
     their XXH64 hashes (seed 42, and 43 for the second word).  A text with fewer
@@ -67,8 +71,9 @@ def fingerprints(docs: DataFrame, setup: Setup, key: str = "doc_id", text: str =
     """
     size, seeds = setup.words, [42 + i for i in range(setup.bits // 64)]
     schema = pa.schema(
-        [("doc_id", pa.int64())] + [(f"w{i}", pa.int64()) for i in range(len(seeds))] + [("n", pa.int64())]
+        [(c, pa.int64()) for c in ("doc_id", *(f"w{i}" for i in range(len(seeds))), "n", *(["mark"] if mark else []))]
     )
+    rows = text_rows(docs, key, text, *([F.col(mark).cast("long").alias("mark")] if mark else []))
 
     def bits_of(words: list[bytes]) -> tuple[list[int], int]:
         joined = [b" ".join(words)] if len(words) < size else None
@@ -93,10 +98,11 @@ def fingerprints(docs: DataFrame, setup: Setup, key: str = "doc_id", text: str =
                 found, count = bits_of(words) if words else ([0] * len(seeds), 0)
                 for column, x in zip(out, [*found, count]):
                     column.append(x)
-            yield batch(schema, rows.column("doc_id"), *out)
+            marks = [rows.column("mark")] if mark else []
+            yield batch(schema, rows.column("doc_id"), *out, *marks)
 
     names = ", ".join(f"{f.name} long" for f in schema)
-    return mapped(text_rows(docs, key, text), run, names)
+    return mapped(rows, run, names)
 
 
 def _words(setup: Setup) -> list[str]:
@@ -251,8 +257,10 @@ def _linker(setup: Setup):
     return run
 
 
-def near_duplicates(docs: DataFrame, setup: Setup = Setup(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every row with its fingerprint words and the id of its group.
+def near_duplicates(
+    docs: DataFrame, setup: Setup = Setup(), key: str = "doc_id", text: str = "text", mark: str | None = None
+) -> DataFrame:
+    """Every row with its fingerprint words, the ``root`` and the id of its group.
 
     ``component_id`` is the smallest id among all rows linked to this one over
     any number of links; rows with equal fingerprints are linked.  Rows with a
@@ -260,7 +268,7 @@ def near_duplicates(docs: DataFrame, setup: Setup = Setup(), key: str = "doc_id"
     null ``component_id``.  Repeated rows stay repeated.  Only distinct
     fingerprints are compared, so copies cost nothing.
     """
-    prints = staged(fingerprints(docs, setup, key, text), "fingerprints")
+    prints = staged(fingerprints(docs, setup, key, text, mark), "fingerprints")
     words = _words(setup)
     node = F.col("w0") if len(words) == 1 else F.xxhash64(*words)
     # Equal fingerprints with different counts stay apart only where lengths matter.
@@ -274,5 +282,5 @@ def near_duplicates(docs: DataFrame, setup: Setup = Setup(), key: str = "doc_id"
     roots = components(link(nodes, setup), "fingerprint-links")
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    named = rooted.join(names, "root").select("node", "component_id")
+    named = rooted.join(names, "root").select("node", "root", "component_id")
     return kept.join(named, "node").drop("node")
