@@ -161,7 +161,7 @@ class Settings:
     contexts: int = 4
     times: float = 20.0
     forms: int = 20_000
-    held_forms: int = 400_000
+    held_forms: int = 200_000
     ridge: float = 1e-3
 
 
@@ -170,9 +170,6 @@ class Model:
     lexicon: dict[str, float]
     weights: np.ndarray
 
-    def reader(self):
-        return Reader(self.lexicon)
-
     def scores(self, events: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(_design(events) @ self.weights, -30, 30)))
 
@@ -188,7 +185,7 @@ FEATURES = len(EVENTS) + 3
 class Reader:
     """Finds the events of texts with a lexicon; words met before are looked up."""
 
-    def __init__(self, lexicon: dict[str, float], remembered: int = 500_000):
+    def __init__(self, lexicon: dict[str, float], remembered: int = 200_000):
         self.lexicon, self.remembered, self.table = lexicon, remembered, grammar()
         self.closed = {w: QUOTE for w in '"«»„“”'} | {w: END for w in ".!?;\n"}
         for words, kind in ((REPORTS, REPORT), (TARGETS, TARGET), (NEGATIONS, NEGATION), (THREATS, THREAT)):
@@ -358,7 +355,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), lab
         limit = int((1 << 20) * min(1.0, settings.labelled / n))
         cut = F.when(F.col("label") == value, limit).otherwise(cut)
     chosen = usable.where(place < cut)
-    rows = text_rows(docs, key, text).join(chosen, "doc_id")
+    # At most about twice ``labelled`` ids, so they go to the texts and not the texts to them.
+    rows = text_rows(docs, key, text).join(F.broadcast(chosen), "doc_id")
     rows = staged(rows.withColumn("words", F.pmod(crc_of_id(F.col("doc_id")), F.lit(5)) <= 2), "labelled")
     parts = docs.sparkSession.sparkContext.defaultParallelism
     rows = rows.repartition(max(parts, 12))
@@ -382,6 +380,20 @@ def score_rows(rows: DataFrame, model: Model, *more: str) -> DataFrame:
     return mapped(found, run, f"{fields}, score double")
 
 
+def score_texts(rows: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
+    """Every row with its score put behind; a column of that name is replaced."""
+    rows = rows.drop(name)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(model.lexicon)
+        for part in batches:
+            events = np.array([reader.events(t.as_py() or "") for t in part.column(text)]).reshape(-1, FEATURES)
+            yield part.append_column(name, pa.array(model.scores(events), pa.float64()))
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return mapped(rows, run, f"{fields}, `{name}` double")
+
+
 def score_documents(
     docs: DataFrame, labels: DataFrame, threshold: float = 0.5, settings: Settings = Settings()
 ) -> DataFrame:
