@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, imatch, neighbours, packing, quality, repeats, simhash, tokens, toxicity
+from . import chat, imatch, neighbours, packing, pieces, quality, repeats, simhash, tokens, toxicity
 from .common import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,13 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_bpe() -> str:
+    """Path of the piece vocabulary the queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; the schema is stated, so no file is opened to infer it."""
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
@@ -109,3 +116,9 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and of its edited text."""
     return imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and the hash of the text they decode to."""
+    return pieces.checked(pieces.encode(table(spark, sf_dir, "documents"), piece_bpe()), piece_bpe())
