@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -62,7 +64,7 @@ def whole_text(text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
-def text_rows(docs: DataFrame, key: str, text: str, *more: str) -> DataFrame:
+def text_rows(docs: DataFrame, key: str, text: str, *more: str | Column) -> DataFrame:
     """Key, text without nulls, and further columns; all other columns are left out."""
     return docs.select(F.col(key).cast("long").alias("doc_id"), whole_text(text).alias("text"), *more)
 
@@ -75,3 +77,11 @@ def at_least(df: DataFrame, key: str | Column) -> DataFrame:
 def crc_of_id(doc_id: Column) -> Column:
     """crc32 of the id written as text, the basis of all held-out splits."""
     return F.crc32(doc_id.cast("string").cast("binary"))
+
+
+def per_process(name: str, make: Callable[[], object]) -> object:
+    """A value that a Python worker keeps from task to task, such as a loaded model."""
+    kept = sys.modules.setdefault("_foliant_kept", types.ModuleType("_foliant_kept")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
