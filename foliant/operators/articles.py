@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import header, html, names, text
 from ..functions.patterns import WEB_SPACE
 from .collisions import resolve_slugs
-from .ranking import PLAIN_ROWS
 
 
 def parse_files(files: DataFrame) -> DataFrame:
@@ -41,9 +40,19 @@ def parse_files(files: DataFrame) -> DataFrame:
     )
 
 
-def build_articles(files: DataFrame, plain_rows: int = PLAIN_ROWS) -> DataFrame:
-    """Article rows with unique slugs."""
-    return resolve_slugs(parse_files(files), plain_rows=plain_rows)
+def build_articles(files: DataFrame) -> DataFrame:
+    """Article rows with unique slugs.
+
+    Slugs come from paths; of the texts only whether they are blank matters to
+    them, which is found ahead.  The article table then reads each text once.
+    """
+    name = F.col("filename")
+    keys = files.where(~text.is_blank(F.col("raw"))).select(
+        names.base_slug(name, names.category_id(F.col("folder"))).alias("slug"),
+        names.article_order(name).alias("article_order"),
+        F.col("path").alias("file_path"),
+    )
+    return resolve_slugs(parse_files(files), keys=keys)
 
 
 def ingest_summary(files: DataFrame, articles: DataFrame) -> DataFrame:
@@ -61,7 +70,7 @@ def ingest_summary(files: DataFrame, articles: DataFrame) -> DataFrame:
     )
 
 
-def load_local(files: DataFrame, categories: DataFrame, plain_rows: int = PLAIN_ROWS) -> DataFrame:
+def load_local(files: DataFrame, categories: DataFrame) -> DataFrame:
     """The reader's articles: known categories only, its own title and URL rules."""
     raw, name = F.col("raw"), F.col("filename")
     shown = (
@@ -90,7 +99,7 @@ def load_local(files: DataFrame, categories: DataFrame, plain_rows: int = PLAIN_
             names.article_order(name).alias("article_order"),
         )
     )
-    unique = resolve_slugs(shown, plain_rows=plain_rows)
+    unique = resolve_slugs(shown)
     return unique.select(F.col("slug").alias("id"), *unique.columns)
 
 

@@ -6,7 +6,6 @@ import hashlib
 import time
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +14,8 @@ from ..functions import chunks
 from ..functions.vectors import DIMENSIONS
 from .keyed import absent_rows
 
-Embedder = Callable[[list[str]], list[list[float]]]
+# An embedder answers with (index of the text, vector) pairs, in any order.
+Embedder = Callable[[list[str]], list[tuple[int, list[float]]]]
 
 # Texts per call, tries, seconds waited after a first refusal and
 # between two calls.
@@ -50,12 +50,20 @@ def pending(articles: DataFrame, stored_chunks: DataFrame, force: bool = False)
     return absent_rows(full, stored, ["id"])
 
 
-def call_embedder(embedder: Embedder, texts: list[str], sleep=time.sleep) -> list[list[float]]:
-    """Vectors of the texts, with retries; a refusal waits, doubling each time."""
+def call_embedder(
+    embedder: Embedder, texts: list[str], dimensions: int | None = None, sleep=time.sleep
+) -> list[list[float]]:
+    """Vectors of the texts, in their order, with retries; a refusal waits, doubling each time.
+
+    An answer must hold every index from 0 once and, where ``dimensions`` is given,
+    vectors of that length; another one is an error, so that no text gets the
+    vector of a different one.
+    """
     for attempt in range(TRIES):
         last = attempt == TRIES - 1
         try:
-            return embedder(texts)
+            answer = sorted(embedder(texts), key=lambda pair: pair[0])
+            break
         except RateLimited:
             if last:
                 raise
@@ -63,7 +71,11 @@ def call_embedder(embedder: Embedder, texts: list[str], sleep=time.sleep) -> lis
         except Exception:
             if last:
                 raise
-    raise AssertionError("unreachable")
+    if [index for index, _ in answer] != list(range(len(texts))):
+        raise ValueError(f"{len(texts)} texts were sent, the answer has other indexes")
+    if dimensions is not None and any(len(vector) != dimensions for _, vector in answer):
+        raise ValueError(f"a vector does not have {dimensions} dimensions")
+    return [vector for _, vector in answer]
 
 
 def embed(
@@ -71,8 +83,9 @@ def embed(
     embedder: Embedder,
     per_call: int = TEXTS_PER_CALL,
     pause: float = CALL_PAUSE,
+    dimensions: int | None = None,
 ) -> DataFrame:
-    """Add a vector to every chunk row, a fixed number of texts per call."""
+    """Add a vector to every chunk row, a fixed number of texts per call, each call checked."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -81,22 +94,46 @@ def embed(
             for start in range(0, len(texts), per_call):
                 if start and pause:
                     time.sleep(pause)
-                vectors += call_embedder(embedder, texts[start : start + per_call])
+                vectors += call_embedder(embedder, texts[start : start + per_call], dimensions)
             yield batch.assign(embedding=vectors)
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in chunk_rows.schema.fields)
     return chunk_rows.mapInPandas(run, f"{fields}, embedding array<float>")
 
 
-def hash_embedder(dimensions: int = DIMENSIONS) -> Embedder:
-    """A stand-in without a model: unit vectors that depend on the text alone."""
+def refresh(
+    articles: DataFrame,
+    stored: DataFrame,
+    embedder: Embedder,
+    force: bool = False,
+    dimensions: int | None = None,
+    pause: float = CALL_PAUSE,
+) -> DataFrame:
+    """The chunk table after a run: chunks of pending articles are replaced, all others kept.
+
+    Running it again with its own result changes nothing, as nothing is pending.
+    """
+    due = pending(articles, stored, force)
+    fresh = embed(chunk_articles(due), embedder, pause=pause, dimensions=dimensions)
+    kept = absent_rows(stored, due.select(F.col("id").alias("article_id")), ["article_id"])
+    return kept.unionByName(fresh.select(*stored.columns))
+
+
+def digest_embedder(dimensions: int = DIMENSIONS) -> Embedder:
+    """A stand-in without a model: byte pairs of the text's SHA-256 digests as numbers from -1 to 1.
+
+    Digest ``k`` is that of the text with the number ``k`` and a colon before it;
+    each gives sixteen numbers.
+    """
 
     def one(text: str) -> list[float]:
-        seed = int.from_bytes(hashlib.sha256(text.encode()).digest()[:8], "big")
-        vector = np.random.default_rng(seed).standard_normal(dimensions)
-        return (vector / np.linalg.norm(vector)).astype("float32").tolist()
+        found: list[float] = []
+        for k in range(-(-dimensions // 16)):
+            digest = hashlib.sha256(f"{k}:{text}".encode()).digest()
+            found += [(digest[i] * 256 + digest[i + 1]) / 32768 - 1 for i in range(0, 32, 2)]
+        return found[:dimensions]
 
-    return lambda texts: [one(t) for t in texts]
+    return lambda texts: [(i, one(t)) for i, t in enumerate(texts)]
 
 
 def chunk_averages(chunk_rows: DataFrame, articles: DataFrame) -> DataFrame:

@@ -5,32 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import PLAIN_ROWS, numbered
+from ..staging import staged
+from .ranking import numbered
 
 
 def shared_slugs(
-    df: DataFrame,
-    slug: str = "slug",
-    order: str = "article_order",
-    path: str = "file_path",
-    plain_rows: int = PLAIN_ROWS,
+    df: DataFrame, slug: str = "slug", order: str = "article_order", path: str = "file_path"
 ) -> DataFrame:
     """Path and unique slug of every article whose slug is shared.
 
     Every member gets its order number as suffix, `duplicate` without one; the
     second and later members of the same suffix get a running number as well,
-    in path order.
+    in path order.  A slug made so that is natural elsewhere, or was made for an
+    earlier path too, gets the next running number that is free.
     """
-    narrow = df.select(slug, order, path)
-    shared = narrow.groupBy(slug).agg(F.count("*").alias("_members")).where("_members > 1")
-    members = narrow.join(shared.select(slug), slug, "left_semi")
-    placed = numbered(members, [slug, order], [path], "_nth", plain_rows=plain_rows)
+    narrow = staged(df.select(slug, order, path), "slugs")
+    counted = narrow.groupBy(slug).agg(F.count("*").alias("_members"))
+    members = narrow.join(counted.where("_members > 1").select(slug), slug, "left_semi")
+    placed = numbered(members, [slug, order], [path], "_nth")
     suffix = F.when(F.col(order) > 0, F.format_string("%03d", F.col(order))).otherwise("duplicate")
-    again = F.when(F.col("_nth") > 1, F.concat(F.lit("-"), F.col("_nth").cast("string")))
-    return placed.select(
-        path,
-        F.concat(F.col(slug), F.lit("-"), suffix, F.coalesce(again, F.lit(""))).alias("unique_slug"),
-    )
+    base = F.concat(F.col(slug), F.lit("-"), suffix)
+    open_ = placed.select(path, base.alias("_base"), F.col("_nth"))
+    made = open_.withColumn("unique_slug", _running(F.col("_base"), F.col("_nth")))
+    natural = counted.where("_members = 1").select(F.col(slug).alias("unique_slug"))
+    # Conflicts are rare: each round looks at those of the round before.
+    while True:
+        made = staged(made, "unique-slugs")
+        # The first path keeps a slug that several got; none keeps a natural one.
+        first = made.groupBy("unique_slug").agg(F.min(path).alias("_first"))
+        held = first.join(natural, "unique_slug", "left_anti")
+        kept = held.select("unique_slug", F.col("_first").alias(path))
+        lost = made.join(kept, ["unique_slug", path], "left_anti")
+        if lost.isEmpty():
+            return made.select(path, "unique_slug")
+        moved = lost.withColumn("_nth", F.col("_nth") + 1).withColumn(
+            "unique_slug", _running(F.col("_base"), F.col("_nth"))
+        )
+        made = made.join(kept, ["unique_slug", path], "left_semi").unionByName(moved)
+
+
+def _running(base, nth):
+    return F.when(nth > 1, F.concat(base, F.lit("-"), nth.cast("string"))).otherwise(base)
 
 
 def resolve_slugs(
@@ -38,15 +53,16 @@ def resolve_slugs(
     slug: str = "slug",
     order: str = "article_order",
     path: str = "file_path",
-    plain_rows: int = PLAIN_ROWS,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """The table with unique slugs; the path identifies a row.
 
-    Only members of shared slugs are ranked and joined back, and they are ranked
-    without the other columns, so a wide table need not be shuffled when
-    collisions are rare.
+    Slugs are resolved on ``keys``, the columns slug, order and path of the same
+    rows, and joined back by path.  A caller that can derive these without the
+    wide columns passes them, so that wide rows are computed once.
     """
-    renamed = shared_slugs(df, slug, order, path, plain_rows)
+    narrow = df.select(slug, order, path) if keys is None else keys
+    renamed = shared_slugs(narrow, slug, order, path)
     return (
         df.join(renamed, path, "left")
         .withColumn(slug, F.coalesce("unique_slug", slug))

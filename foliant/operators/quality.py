@@ -17,9 +17,8 @@ from ..functions import vectors
 from ..functions.patterns import WEB_SPACE
 from .keyed import absent_rows, one_sided
 
-# Accepted chunks per article, vectors sampled, rows listed.
+# Accepted chunks per article, rows listed.
 AVERAGE_CHUNKS = (2, 30)
-SAMPLED_VECTORS = 5
 LISTED_ARTICLES = 10
 LISTED_SLUGS = 20
 
@@ -114,19 +113,6 @@ def first_missing(missing: DataFrame, shown: int = LISTED_ARTICLES) -> DataFrame
     return missing.select("id").orderBy("id").limit(shown).withColumn("more", total.scalar())
 
 
-def sample_vectors(chunks: DataFrame, dimensions: int, n: int = SAMPLED_VECTORS) -> DataFrame:
-    """The first vectors by key, with their length and whether it is right."""
-    kind = chunks.schema["embedding"].dataType
-    length = vectors.dimensions(F.col("embedding"), kind)
-    return (
-        chunks.where(F.col("embedding").isNotNull())
-        .select("article_id", "chunk_index", length.alias("dims"))
-        .orderBy("article_id", "chunk_index")
-        .limit(n)
-        .withColumn("right", F.col("dims") == dimensions)
-    )
-
-
 def _gather(*parts: DataFrame) -> DataFrame:
     """One row from several one-row tables with different columns."""
     rows = parts[0]
@@ -137,19 +123,19 @@ def _gather(*parts: DataFrame) -> DataFrame:
 
 def check_chunks(articles: DataFrame, chunks: DataFrame, dimensions: int = vectors.DIMENSIONS) -> DataFrame:
     """Chunks present, articles covered, vectors present and of the right length, average."""
-    sampled = sample_vectors(chunks, dimensions)
+    kind = chunks.schema["embedding"].dataType
+    length = vectors.dimensions(F.col("embedding"), kind)
+    some_vector = F.col("embedding").isNotNull()
     measures = _gather(
         chunks.agg(
             F.count("*").alias("chunks"),
-            _count(F.col("embedding").isNull()).alias("no_vector"),
+            _count(~some_vector).alias("no_vector"),
+            _count(some_vector & (length != dimensions)).alias("wrong_length"),
         ),
         articles.agg(_count(~F.col("is_stub")).alias("full")),
         missing_chunks(articles.select("id", "is_stub"), chunks).agg(
             F.count("*").alias("missing")
         ),
-        sampled.agg(
-            F.count("*").alias("sampled"), _count(~F.col("right")).alias("wrong_length")
-        ),
     )
     some = F.col("chunks") > 0
     average = F.round(F.try_divide("chunks", "full"), 1)
@@ -159,7 +145,7 @@ def check_chunks(articles: DataFrame, chunks: DataFrame, dimensions: int = vecto
         _none("chunks_without_vector", "no_vector", "WARN"),
         _check(
             "vector_length",
-            F.when(F.col("sampled") == 0, "WARN")
+            F.when(F.col("no_vector") == F.col("chunks"), "WARN")
             .when(F.col("wrong_length") == 0, "PASS")
             .otherwise("FAIL"),
             F.col("wrong_length"),
@@ -223,10 +209,15 @@ def check_verses(
 
 
 def tally(checks: DataFrame) -> DataFrame:
-    """Checks per status; the run fails when any check fails."""
+    """Checks per status."""
     return checks.groupBy("status").agg(F.count("*").alias("checks"))
 
 
+def run_failed(checks: DataFrame) -> DataFrame:
+    """One row: whether any check failed."""
+    return checks.agg(F.coalesce(F.bool_or(F.col("status") == "FAIL"), F.lit(False)).alias("failed"))
+
+
 def audit_contract(local: DataFrame, stored: DataFrame) -> DataFrame:
     """Slug differences and empty bodies between the files and the stored table."""
     sides = one_sided(local, stored, "slug").agg(

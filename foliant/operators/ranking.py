@@ -2,25 +2,13 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.text import let
-
-# Below this many rows in total a plain window is safe for every group.
-PLAIN_ROWS = 1_000_000
-
-# Ranges grow in number with the table up to a bound, as their limits are part
-# of the plan and their offsets are broadcast.
-ROWS_PER_RANGE = 2_000_000
-MIN_RANGES = 512
-MAX_RANGES = 20_000
-
-# Limits compared per step of the search.
-FAN_OUT = 16
+from ..staging import staged
 
 
 def numbered(
@@ -28,113 +16,56 @@ def numbered(
     keys: Sequence[str],
     order: Sequence[str],
     name: str = "position",
-    plain_rows: int = PLAIN_ROWS,
-    buckets: int | None = None,
+    parts: int | None = None,
     descending: bool = False,
 ) -> DataFrame:
     """Add the 1-based position of each row in its group, in the given order.
 
     A window over a key puts a whole group into one task, and one over no key the
-    whole table.  Large inputs are therefore cut into ranges of (keys, order):
-    rows are numbered inside their range, and the rows that the same group has in
-    earlier ranges are added.  At most one group per range continues from an
-    earlier one, so the table of offsets has at most ``buckets`` rows and is safe
-    to broadcast.  Range limits come from a sample by hash; they steer the
-    balance only, never the result.
+    whole table.  So rows are dealt to ranges of (keys, order) and written to the
+    shared folder, which fixes the ranges; rows are numbered inside their range,
+    and the rows that the same group has in earlier ranges are added.  At most one
+    group per range goes on from an earlier one, so the table of offsets has at
+    most ``parts`` rows and is safe to broadcast.  Ties in the order are dealt and
+    numbered by a hash of the whole row; only rows equal in every column stay
+    together.
     """
     keys, order = list(keys), list(order)
-    narrow = df.select(*keys, *order)
-    total = narrow.count()
-    if total <= plain_rows:
-        sides = [F.desc(c) if descending else F.asc(c) for c in order]
-        window = (Window.partitionBy(*keys) if keys else Window).orderBy(*sides)
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-
-    buckets = buckets or min(max(MIN_RANGES, total // ROWS_PER_RANGE), MAX_RANGES)
-    point = F.struct(*[F.col(c) for c in [*keys, *order]])
-    every = max(1, total // (buckets * 8))
-    sample = (
-        narrow.where(F.pmod(F.xxhash64(*keys, *order), F.lit(every)) == 0)
-        .distinct()
-        .orderBy(*keys, *order)
-        .limit(buckets * 16)
-        .collect()
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plain = [_quoted(c.name) for c in df.schema if not isinstance(c.dataType, T.MapType)]
+    sides = [F.desc(_quoted(c)) if descending else F.asc(_quoted(c)) for c in order]
+    sorts = [*[F.asc(_quoted(k)) for k in keys], *sides, F.asc("_tie")]
+    ranged = df.withColumn("_tie", F.xxhash64(*plain)).repartitionByRange(parts, *sorts)
+    ranged = ranged.sortWithinPartitions(*sorts).select(
+        *[_quoted(c) for c in df.columns],
+        F.spark_partition_id().alias("_range"),
+        F.monotonically_increasing_id().alias("_at"),
     )
-    step = max(1, len(sample) // buckets)
-    limits = sample[step - 1 :: step]
-    if not limits:
-        return numbered(df, keys, order, name, plain_rows=total, descending=descending)
-
-    ranged = df.withColumn("_range", _range_of(point, limits, narrow))
-    inside = Window.partitionBy("_range", *keys).orderBy(*order)
-    local = ranged.withColumn("_local", F.row_number().over(inside).cast("bigint"))
-    per_range = (
-        narrow.withColumn("_range", _range_of(point, limits, narrow))
-        .groupBy("_range", *keys)
-        .agg(F.count("*").alias("_rows"))
-    )
-    # Only the last group of a range can go on, so sums run over few rows per group.
-    spans = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    fixed = staged(ranged, "ranges")
+    named = [F.col(_quoted(k)).alias(f"_key_{i}") for i, k in enumerate(keys)]
+    keyed = [f"_key_{i}" for i in range(len(keys))]
+    per_range = fixed.select("_range", *named).groupBy("_range", *keyed).agg(F.count("*").alias("_rows"))
+    spans = Window.partitionBy(*keyed) if keys else Window.partitionBy(F.lit(0))
     before = spans.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        per_range.withColumn("_before", F.sum("_rows").over(before))
-        .where(F.col("_before") > 0)
-        .select("_range", *[F.col(k).alias(f"_key_{k}") for k in keys], "_before")
-    )
-    same = local["_range"] == offsets["_range"]
-    for key in keys:
-        same = same & local[key].eqNullSafe(offsets[f"_key_{key}"])
-    placed = (
-        local.join(F.broadcast(offsets), same, "left")
-        .withColumn(name, F.col("_local") + F.coalesce(F.col("_before"), F.lit(0)))
-        .select(*df.columns, name)
-    )
-    if not descending:
-        return placed
-    # Counted from the other end: group size minus position plus one.
-    sizes = narrow.groupBy(*keys).agg(F.count("*").alias("_size"))
-    if not keys:
-        return placed.withColumn(name, total - F.col(name) + 1)
-    named = sizes.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_size")
-    match = F.lit(True)
-    for key in keys:
-        match = match & placed[key].eqNullSafe(named[f"_key_{key}"])
-    return placed.join(named, match).withColumn(name, F.col("_size") - F.col(name) + 1).select(
-        *df.columns, name
-    )
-
-
-def _range_of(point: Column, limits: list[Row], like: DataFrame) -> Column:
-    """Number of limits at or below the point.
-
-    The search looks at every 16th limit of a level, then at the next level in
-    between.  The limits of a level enter the plan as one constant.
-    """
-    fields = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in like.schema.fields)
-
-    def constant(rows: list[Row]) -> Column:
-        text = json.dumps([row.asDict() for row in rows], default=str)
-        return F.from_json(F.lit(text), f"array<struct<{fields}>>")
-
-    def below(listed: Column, at: Column) -> Column:
-        return F.size(F.filter(listed, lambda limit: limit <= at))
+    offsets = per_range.withColumn("_before", F.sum("_rows").over(before)).where(F.col("_before") > 0)
+    offsets = offsets.withColumnRenamed("_range", "_there").drop("_rows")
+    inside = Window.partitionBy("_range", *[_quoted(k) for k in keys]).orderBy("_at")
+    local = fixed.withColumn("_local", F.row_number().over(inside).cast("bigint"))
+    same = local["_range"] == offsets["_there"]
+    for key, other in zip(keys, keyed):
+        same = same & local[_quoted(key)].eqNullSafe(offsets[other])
+    place = F.col("_local") + F.coalesce(F.col("_before"), F.lit(0))
+    joined = local.join(F.broadcast(offsets), same, "left")
+    return joined.select(*[_quoted(c) for c in df.columns if c != name], place.alias(name))
 
-    def refine(level: int, found: Column, at: Column) -> Column:
-        if level < 0:
-            return found
-        step = FAN_OUT**level
-        between = F.slice(constant(limits[step - 1 :: step]), found * FAN_OUT + 1, F.lit(FAN_OUT))
-        return let(
-            found * FAN_OUT + below(between, at), lambda closer: refine(level - 1, closer, at)
-        )
 
-    top = 0
-    while FAN_OUT ** (top + 1) < len(limits):
-        top += 1
-    return let(point, lambda at: refine(top, F.lit(0), at))
+def _quoted(column: str) -> str:
+    """The name as it can stand in an expression, whatever characters it has."""
+    return "`" + column.replace("`", "``") + "`"
 
 
-def batches(df: DataFrame, order: Sequence[str], size: int, name: str = "batch", **limits) -> DataFrame:
+def batches(df: DataFrame, order: Sequence[str], size: int, name: str = "batch", parts: int | None = None) -> DataFrame:
     """Number fixed-size batches of the whole table in the given order, from 0."""
-    placed = numbered(df, [], order, "_position", **limits)
+    placed = numbered(df, [], order, "_position", parts)
     return placed.withColumn(name, F.floor((F.col("_position") - 1) / size)).drop("_position")

@@ -132,15 +132,20 @@ def document_assembly(spark, sf_dir):
     return sink.article_documents(fetched, ("example.com", "example.org")).select("page_id", "document")
 
 
-# An index page: three headings of the catalog around the links of the page.
-CATALOG = [sections.OLD_TOPICS[i] for i in (0, 1, 3)]
+# An index page: three headings of a catalog around the links of the page.  The
+# first is found by its first three words.
+CATALOG = [
+    ("Letters from distant harbours", "01_letters"),
+    ("Weather Notes", "02_weather_notes"),
+    ("Tide Tables", "03_tide_tables"),
+]
 
 
 @query(
     "section_links",
     rf"""WITH parts AS (SELECT page_id, nav,
-            [('01_common_questions_and_claims', nav || '<b>'), ('02_general_issues', '</b>' || nav || body || '<b>'),
-             ('04_christological_issues', '</b>' || nav)] AS s
+            [('01_letters', nav || '<b>'), ('02_weather_notes', '</b>' || nav || body || '<b>'),
+             ('03_tide_tables', '</b>' || nav)] AS s
         FROM (SELECT page_id, regexp_extract(html, '(?s)<nav>.*</nav>') AS nav, html AS body FROM pages)),
     links AS (SELECT page_id, p[1] AS folder, regexp_extract_all(p[2], '{_LINK}') AS a
         FROM (SELECT page_id, unnest(s) AS p FROM parts)),
@@ -155,8 +160,8 @@ CATALOG = [sections.OLD_TOPICS[i] for i in (0, 1, 3)]
 def section_links(spark, sf_dir):
     nav = F.regexp_extract("html", "(?s)<nav>.*</nav>", 0)
     index = say(
-        "<body><b>A series of</b>", nav, "<b>GENERAL ISSUES</b>", nav, F.col("html"),
-        "<b>Christological Issues</b>", nav,
+        "<body><b>Letters from distant</b>", nav, "<b>WEATHER NOTES</b>", nav, F.col("html"),
+        "<b>Tide tables</b>", nav,
     )
     made = pages(spark, sf_dir).select("page_id", index.alias("html"))
     found = sections.section_links(made, CATALOG)

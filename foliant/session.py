@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
+_OWN: dict[str, str] = {}
+
 
 def build_session(app: str = "foliant", master: str | None = None, **settings: str) -> SparkSession:
     """A session with UTC timestamps and adaptive execution; extra settings win."""
@@ -24,15 +28,16 @@ def build_session(app: str = "foliant", master: str | None = None, **settings: s
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
+def shared_folder(spark: SparkSession) -> str:
     """The shared folder for cut lineage and staged tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; ``fallback`` is only for
-    sessions without that setting, such as tests.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a session inside one
+    JVM, such as that of a test, may do without; it gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
-        return folder
-    if fallback is None:
-        raise ValueError("spark.checkpoint.dir is not set and no folder was given")
-    return fallback
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if not (context.master == "local" or context.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return _OWN.setdefault(context.applicationId, "file://" + tempfile.mkdtemp(prefix="run-"))

@@ -9,20 +9,20 @@ from pyspark.sql import functions as F
 
 from ..functions import html, names
 from ..operators.keyed import absent_rows
-from ..operators.ranking import PLAIN_ROWS, numbered
+from ..operators.ranking import numbered
 
 
-def place(links: DataFrame, existing: int = 0, plain_rows: int = PLAIN_ROWS) -> DataFrame:
+def place(links: DataFrame, existing: int = 0) -> DataFrame:
     """Number the links of every folder, after the files it has, and name their files."""
-    placed = numbered(links, ["folder"], ["position"], "number", plain_rows=plain_rows)
+    placed = numbered(links, ["folder"], ["position"], "number")
     return placed.withColumn("number", F.col("number") + existing).withColumn(
         "filename", names.numbered_filename(F.col("number"), names.safe_filename(F.col("title")))
     )
 
 
-def place_posts(posts: DataFrame, existing: int = 0, plain_rows: int = PLAIN_ROWS) -> DataFrame:
+def place_posts(posts: DataFrame, existing: int = 0) -> DataFrame:
     """Number blog posts in crawl order after the stored files; nameless ones by number."""
-    placed = numbered(posts, [], ["position"], "number", plain_rows=plain_rows)
+    placed = numbered(posts, [], ["position"], "number")
     number = F.col("number") + existing
     slug = F.coalesce(
         F.nullif(names.slugify(F.col("title")), F.lit("")),

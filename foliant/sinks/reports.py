@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..operators.ranking import PLAIN_ROWS, numbered
+from ..operators.ranking import numbered
 
 
 def _heads(per_folder: DataFrame, lines: list[Column]) -> DataFrame:
@@ -22,12 +22,12 @@ def _heads(per_folder: DataFrame, lines: list[Column]) -> DataFrame:
     )
 
 
-def category_index(links: DataFrame, plain_rows: int = PLAIN_ROWS) -> DataFrame:
+def category_index(links: DataFrame) -> DataFrame:
     """Index lines of every folder: heading, total, then one numbered line per link.
 
     Needs ``folder``, ``position``, ``title``, ``url``, ``filename`` and ``failed``.
     """
-    placed = numbered(links, ["folder"], ["position"], "line_no", plain_rows=plain_rows)
+    placed = numbered(links, ["folder"], ["position"], "line_no")
     shown = F.when(
         F.col("failed"), F.concat(F.lit("[FAILED] "), "title", F.lit(" - "), "url")
     ).otherwise(F.concat(F.lit("["), "title", F.lit("]("), "filename", F.lit(")")))
@@ -48,13 +48,13 @@ def category_index(links: DataFrame, plain_rows: int = PLAIN_ROWS) -> DataFrame:
 
 
 def master_index(
-    links: DataFrame, heading: str, source: str, plain_rows: int = PLAIN_ROWS
+    links: DataFrame, heading: str, source: str
 ) -> DataFrame:
     """Lines of the index over all folders; the part before the first has folder ''.
 
     Order by (``folder``, ``line_no``).
     """
-    placed = numbered(links, ["folder"], ["position"], "line_no", plain_rows=plain_rows)
+    placed = numbered(links, ["folder"], ["position"], "line_no")
     number = F.col("line_no").cast("string")
     filename = names.numbered_filename(F.col("line_no"), names.safe_filename(F.col("title")))
     lines = placed.select(

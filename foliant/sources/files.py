@@ -23,8 +23,7 @@ def read_markdown(spark: SparkSession, root: str) -> DataFrame:
     """Article files below the root's folders, index files left out."""
     scan = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.md")
-        .load(f"{root}/*")
+        .load(f"{root}/*/*.md")
         .select("path", "content")
     )
     files = _parts(scan, F.col("path"), decode_utf8(F.col("content")))

@@ -26,21 +26,11 @@ def read_table(
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores when the scan yields fewer splits than there are cores.
+    """Rows dealt anew by a hash of the key, ahead of work that costs far more than moving them.
 
-    A small file is one task however costly its texts are.  Large inputs have
-    more splits than cores, and then nothing is moved.
+    A scan of few files has few tasks, however costly its texts are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
-def article_list(articles: DataFrame) -> DataFrame:
-    return articles.select("id", "slug", "is_stub")
-
-
-def chunked_articles(chunks: DataFrame) -> DataFrame:
-    return chunks.select("article_id").distinct()
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def by_key(df: DataFrame, key: str, value) -> DataFrame:
@@ -68,10 +58,6 @@ def page(df: DataFrame, order: Sequence[str], offset: int, size: int) -> DataFra
     return df.orderBy(*order).offset(offset).limit(size)
 
 
-def category_by_slug(categories: DataFrame, slug: str) -> DataFrame:
-    return by_key(categories, "slug", slug)
-
-
 def category_by_folder(categories: DataFrame, folder: str) -> DataFrame:
     digits = folder.partition("_")[0]
     return by_key(categories, "id", int(digits) if digits.isdigit() and "_" in folder else None)

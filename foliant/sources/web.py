@@ -22,7 +22,6 @@ from ..functions.text import count_words, is_stub, strip_space
 TRIES = 3
 STATUS_WAIT = 3
 CONNECTION_WAIT = 5
-LIST_PAGES = 10
 PAGE_PAUSE = 1.5
 POST_PAUSE = 2.0
 
@@ -122,10 +121,11 @@ def _anchors(block: Column) -> Column:
     )
 
 
-def follow_list(start: str, fetch: Fetch, pages: int = LIST_PAGES, sleep=time.sleep) -> list[str]:
+def follow_list(start: str, fetch: Fetch, pages: int | None = None, sleep=time.sleep) -> list[str]:
     """URLs of the list pages: the start page and its chain of older pages.
 
-    Each page names the next one, so this is a walk of at most ``pages`` steps.
+    Each page names the next one, so this is a walk.  It ends at the last page, at
+    a page seen before, or after ``pages`` steps where the caller asks for so many.
     """
     import re
 
@@ -136,7 +136,7 @@ def follow_list(start: str, fetch: Fetch, pages: int = LIST_PAGES, sleep=time.sl
     )
     seen: list[str] = []
     url: str | None = start
-    while url and len(seen) < pages:
+    while url and url not in seen and (pages is None or len(seen) < pages):
         page = fetch_with_retries(fetch, url, sleep)
         if page is None:
             break

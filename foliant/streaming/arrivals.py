@@ -22,7 +22,6 @@ def stream_missing(
     schema: str,
     keys: list[str],
     order: list[str],
-    fallback: str | None = None,
 ) -> StreamingQuery:
     """Append rows of new parquet files whose key is not in the target, then stop.
 
@@ -34,7 +33,7 @@ def stream_missing(
         stored = batch.sparkSession.read.schema(schema).parquet(target)
         insert_missing(stored, batch, keys, order).write.mode("append").parquet(target)
 
-    folder = shared_folder(spark, fallback)
+    folder = shared_folder(spark)
     return (
         spark.readStream.schema(schema)
         .parquet(source)

@@ -139,7 +139,7 @@ def test_embedder_retries():
         raise chunking.RateLimited
 
     with pytest.raises(chunking.RateLimited):
-        chunking.call_embedder(limited, ["a"], waits.append)
+        chunking.call_embedder(limited, ["a"], sleep=waits.append)
     assert (len(calls), waits) == (3, [5.0, 10.0])
 
 
@@ -152,10 +152,46 @@ def test_embedding(spark):
     assert chunking.pending(table, stored, force=True).count() == 2
     chunks = chunking.chunk_articles(todo)
     # In a task, so it must not close over the test module.
-    embedded = chunking.embed(chunks, chunking.hash_embedder(8), per_call=1, pause=0).orderBy("chunk_index").collect()
+    embedded = chunking.embed(chunks, chunking.digest_embedder(8), per_call=1, pause=0).orderBy("chunk_index").collect()
     assert [r["chunk_index"] for r in embedded] == list(range(chunks.count()))
-    wanted = chunking.hash_embedder(8)([r["content"] for r in embedded])
-    assert [r["embedding"] for r in embedded] == wanted
+    wanted = chunking.digest_embedder(8)([r["content"] for r in embedded])
+    assert [r["embedding"] for r in embedded] == [v for _, v in wanted]
+
+
+@pytest.mark.parametrize(
+    "answer, right",
+    [
+        ([(1, [1.0]), (0, [0.0])], True), ([(0, [0.0])], False), ([(0, [0.0]), (0, [1.0])], False),
+        ([(0, [0.0]), (2, [1.0])], False), ([(0, [0.0]), (1, [1.0, 2.0])], False), ([], False),
+    ],
+)
+def test_answers_of_an_embedder_are_checked(answer, right):
+    def call():
+        return chunking.call_embedder(lambda texts: answer, ["a", "b"], dimensions=1)
+
+    if right:
+        assert call() == [[0.0], [1.0]]
+    else:
+        with pytest.raises(ValueError):
+            call()
+
+
+def test_chunk_table_is_refreshed_and_then_stays(spark):
+    rows = [("1", "T", "text " * 1500, False), ("2", "U", "short text", False), ("3", "V", "stub", True)]
+    articles = spark.createDataFrame(rows, "id string, title string, content string, is_stub boolean")
+    stored = spark.createDataFrame(
+        [("2", 0, "old", 1, [0.5] * 4)],
+        "article_id string, chunk_index int, content string, token_count int, embedding array<float>",
+    )
+    refresh = lambda old, force=False: chunking.refresh(
+        articles, old, chunking.digest_embedder(4), force, dimensions=4, pause=0
+    )
+    first = refresh(stored)
+    assert {r["article_id"] for r in first.collect()} == {"1", "2"}
+    assert [r["content"] for r in first.where("article_id = '2'").collect()] == ["old"]
+    assert sorted(map(repr, refresh(first).collect())) == sorted(map(repr, first.collect()))
+    forced = refresh(first, force=True)
+    assert "old" not in {r["content"] for r in forced.collect()} and forced.count() == first.count()
 
 
 def test_vector_lengths(spark):
@@ -284,24 +320,27 @@ def test_posts_continue_the_numbering(spark):
 
 def test_stream_appends_new_keys_once(spark, tmp_path):
     schema = "slug string, n int"
-    source, target, seen = (str(tmp_path / d) for d in ("in", "out", "seen"))
+    source, target = (str(tmp_path / d) for d in ("in", "out"))
     name = f"arrivals-{uuid.uuid4()}"
     spark.createDataFrame([("a", 1)], schema).write.parquet(target)
     spark.createDataFrame([("a", 2), ("b", 2), ("b", 3)], schema).write.parquet(source)
     for _ in range(2):
-        stream_missing(spark, name, source, target, schema, ["slug"], ["n"], seen).awaitTermination()
+        stream_missing(spark, name, source, target, schema, ["slug"], ["n"]).awaitTermination()
     assert sorted(map(tuple, spark.read.parquet(target).collect())) == [("a", 1), ("b", 2)]
 
 
 def test_shared_folder_comes_from_the_session():
     class Session:
-        def __init__(self, **settings):
-            self.conf = settings
-
-    assert shared_folder(Session(**{"spark.checkpoint.dir": "/shared"}), "/own") == "/shared"
-    assert shared_folder(Session(), "/own") == "/own"
-    with pytest.raises(ValueError):
-        shared_folder(Session())
+        def __init__(self, master, **settings):
+            self.conf, self.sparkContext = settings, self
+            self.master, self.applicationId = master, f"test-{master}"
+
+    assert shared_folder(Session("spark://host", **{"spark.checkpoint.dir": "/shared/"})) == "/shared"
+    own = shared_folder(Session("local[2]"))
+    assert own.startswith("file:/") and shared_folder(Session("local[2]")) == own
+    for master in ("spark://host", "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(ValueError):
+            shared_folder(Session(master))
 
 
 def test_schemas_parse(spark):

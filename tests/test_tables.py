@@ -31,11 +31,11 @@ def positions(rows, by_key, descending=False):
 
 @pytest.mark.parametrize("by_key", [True, False])
 @pytest.mark.parametrize("descending", [True, False])
-@pytest.mark.parametrize("plain_rows", [0, 10**6])
-def test_positions_match_brute_force(spark, by_key, descending, plain_rows):
+@pytest.mark.parametrize("parts", [1, 16, 300])
+def test_positions_match_brute_force(spark, by_key, descending, parts):
     rows, df = skewed(spark)
     placed = ranking.numbered(
-        df, ["k"] if by_key else [], ["o", "id"], "n", plain_rows=plain_rows, buckets=16, descending=descending
+        df, ["k"] if by_key else [], ["o", "id"], "n", parts=parts, descending=descending
     )
     assert placed.columns == ["k", "o", "id", "n"]
     assert {r["id"]: r["n"] for r in placed.collect()} == positions(rows, by_key, descending)
@@ -44,33 +44,52 @@ def test_positions_match_brute_force(spark, by_key, descending, plain_rows):
 def test_ranges_split_the_hot_group(spark):
     """No task holds a group whole, and the broadcast table stays small."""
     _, df = skewed(spark)
-    placed = ranking.numbered(df, [], ["o", "id"], "n", plain_rows=0, buckets=16)
+    placed = ranking.numbered(df, [], ["o", "id"], "n", parts=16)
     plan = placed._jdf.queryExecution().toString()
     assert "SinglePartition" not in plan.split("== Physical Plan ==")[1].split("BroadcastExchange")[0]
 
 
-def test_many_ranges(spark):
-    """Three levels of limits, one range for every few rows."""
-    rows, df = skewed(spark)
-    placed = ranking.numbered(df, ["k"], ["o", "id"], "n", plain_rows=0, buckets=700)
-    assert {r["id"]: r["n"] for r in placed.collect()} == positions(rows, True)
+def test_odd_names_nulls_times_and_equal_orders(spark):
+    df = spark.range(60).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("order by"),
+        F.when(F.col("id") % 5 > 0, F.timestamp_seconds(F.col("id") % 5)).alias("a`b"),
+        F.col("id").alias("select"),
+    )
+    placed = ranking.numbered(df, ["order by"], ["a`b"], "n", parts=8).collect()
+    assert len(placed) == 60
+    for key in (None, 1, 2):
+        group = sorted((r for r in placed if r[0] == key), key=lambda r: r["n"])
+        assert [r["n"] for r in group] == list(range(1, 21))
+        times = [(r[1] is not None, r[1]) for r in group]
+        assert [t[0] for t in times] == sorted(t[0] for t in times)
+        assert [t[1] for t in times if t[0]] == sorted(t[1] for t in times if t[0])
+    same = spark.range(50).select(F.lit("x").alias("k"), F.lit(1).alias("o"), "id")
+    found = ranking.numbered(same, ["k"], ["o"], "n", parts=8)
+    assert sorted(r["n"] for r in found.collect()) == list(range(1, 51))
+    assert ranking.numbered(same.where("id < 0"), ["k"], ["o"], "n").count() == 0
 
 
 def test_batches(spark):
-    df = spark.range(45)
-    for limit in (0, 100):
-        sizes = ranking.batches(df, ["id"], 20, plain_rows=limit, buckets=4).groupBy("batch").count()
-        assert {r[0]: r[1] for r in sizes.collect()} == {0: 20, 1: 20, 2: 5}
+    sizes = ranking.batches(spark.range(45), ["id"], 20, parts=4).groupBy("batch").count()
+    assert {r[0]: r[1] for r in sizes.collect()} == {0: 20, 1: 20, 2: 5}
 
 
 def test_collisions(spark):
     rows = [("x", 6, "c"), ("x", 1, "a"), ("x", 0, "d"), ("x", 6, "b"), ("x", 0, "e"), ("y", 4, "f")]
     df = spark.createDataFrame(rows, "slug string, article_order int, file_path string")
     wanted = {"a": "x-001", "b": "x-006", "c": "x-006-2", "d": "x-duplicate", "e": "x-duplicate-2", "f": "y"}
-    for limit in (0, 100):
-        found = collisions.resolve_slugs(df, plain_rows=limit)
-        assert {r["file_path"]: r["slug"] for r in found.collect()} == wanted
-        assert collisions.repeated_slugs(found).count() == 0
+    found = collisions.resolve_slugs(df)
+    assert {r["file_path"]: r["slug"] for r in found.collect()} == wanted
+    assert collisions.repeated_slugs(found).count() == 0
+
+
+def test_made_slugs_never_equal_natural_ones(spark):
+    rows = [("x", 6, "a"), ("x", 6, "b"), ("x-006-2", 0, "c"), ("x-006-3", 0, "d"), ("z", 1, "e"), ("z", 1, "f"),
+            ("z-001", 2, "g"), ("z-001-2", 0, "h"), ("z-001", 2, "i")]
+    df = spark.createDataFrame(rows, "slug string, article_order int, file_path string")
+    found = {r["file_path"]: r["slug"] for r in collisions.resolve_slugs(df).collect()}
+    assert found == {"a": "x-006", "b": "x-006-4", "c": "x-006-2", "d": "x-006-3", "e": "z-001", "f": "z-001-3",
+                     "g": "z-001-002", "i": "z-001-002-2", "h": "z-001-2"}
 
 
 def test_first_and_last_per_key(spark):
