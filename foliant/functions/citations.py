@@ -22,68 +22,72 @@ Galatians, Ephesians, Philippians, Colossians, 1 Thessalonians,
 1 Peter, 2 Peter, 1 John, 2 John, 3 John, Jude, Revelation
 """
 
-# Short forms of books without a number.  A final dot means that
-# the form is known both with and without the dot.
+# Every short form of a book, by book.
 SHORT_FORMS = """
-Genesis: Gen.
-Exodus: Exod., Exo., Ex.
-Leviticus: Lev.
-Numbers: Num., Numb.
-Deuteronomy: Deut., Dt
-Joshua: Josh., Jos
-Judges: Judg., Jdg, Jg
+Genesis: Gen, Gen.
+Exodus: Ex, Ex., Exo, Exo., Exod, Exod.
+Leviticus: Lev, Lev.
+Numbers: Num, Num., Numb, Numb.
+Deuteronomy: Deut, Deut., Dt
+Joshua: Jos, Josh, Josh.
+Judges: Jdg, Jg, Judg, Judg.
 Ruth: Ru
+1 Samuel: 1 Sa, 1 Sam, 1 Sam., 1Sa, 1Sam, I Sa, I Sam, I Samuel
+2 Samuel: 2 Sa, 2 Sam, 2 Sam., 2Sa, 2Sam, II Sa, II Sam, II Samuel
+1 Kings: 1 Kgs, 1 Kgs., 1 Ki, 1Kgs, 1Ki, I Kgs, I Ki, I Kings
+2 Kings: 2 Kgs, 2 Kgs., 2 Ki, 2Kgs, 2Ki, II Kgs, II Ki, II Kings
+1 Chronicles: 1 Chr, 1 Chr., 1 Chron, 1Chr, 1Chron, I Chr, I Chron, I Chronicles
+2 Chronicles: 2 Chr, 2 Chr., 2 Chron, 2Chr, 2Chron, II Chr, II Chron, II Chronicles
 Ezra: Ezr
-Nehemiah: Neh.
-Esther: Est., Esth.
-Psalms: Ps., Pss., Psalm, Psa.
-Proverbs: Prov., Pro., Pr
-Ecclesiastes: Eccl., Ecc, Eccles, Qoh
-Song of Solomon: Song of Songs, Song of Sol., Song of Song, Sg of Sol, Canticles, Cant., SOS, SS, Song
-Isaiah: Isa., Is
-Jeremiah: Jer.
-Lamentations: Lam.
-Ezekiel: Ezek., Eze., Ezk
-Daniel: Dan., Dn
-Hosea: Hos.
+Nehemiah: Neh, Neh.
+Esther: Est, Est., Esth, Esth.
+Psalms: Ps, Ps., Psa, Psa., Psalm, Pss, Pss.
+Proverbs: Pr, Pro, Pro., Prov, Prov.
+Ecclesiastes: Ecc, Eccl, Eccl., Eccles, Qoh
+Song of Solomon: Cant, Cant., Canticles, SOS, SS, Sg of Sol, Song, Song of Sol, Song of Sol., Song of Song, Song of Songs
+Isaiah: Is, Isa, Isa.
+Jeremiah: Jer, Jer.
+Lamentations: Lam, Lam.
+Ezekiel: Eze, Eze., Ezek, Ezek., Ezk
+Daniel: Dan, Dan., Dn
+Hosea: Hos, Hos.
 Joel: Jl
-Obadiah: Obad., Ob
-Jonah: Jon., Jnh
-Micah: Mic., Mi
-Nahum: Nah., Na
-Habakkuk: Hab., Hb
-Zephaniah: Zeph., Zep, Zp
-Haggai: Hag., Hg
-Zechariah: Zech., Zec, Zc
-Malachi: Mal., Ml
-Matthew: Matt., Mt.
-Mark: Mk., Mr., Mrk.
-Luke: Lk., Lu., Luk.
-John: Jn., Joh., Jno
-Acts: Ac.
-Romans: Rom., Ro., Rm
-Galatians: Gal., Ga
-Ephesians: Eph., Ephes
-Philippians: Phil., Php, Pp
-Colossians: Col.
-Titus: Tit., Ti
-Philemon: Phlm., Phm.
-Hebrews: Heb.
-James: Jas., Jm
-Jude: Jud.
-Revelation: Rev., Rv, Apoc
-"""
-
-# Short stems of the numbered books.
-NUMBERED_STEMS = """
-Samuel: Sam, Sa
-Kings: Kgs, Ki
-Chronicles: Chr, Chron
-Corinthians: Cor, Co
-Thessalonians: Thess, Thes, Th
-Timothy: Tim, Ti
-Peter: Pet, Pe
-John: Jn, Joh
+Obadiah: Ob, Obad, Obad.
+Jonah: Jnh, Jon, Jon.
+Micah: Mi, Mic, Mic.
+Nahum: Na, Nah, Nah.
+Habakkuk: Hab, Hab., Hb
+Zephaniah: Zep, Zeph, Zeph., Zp
+Haggai: Hag, Hag., Hg
+Zechariah: Zc, Zec, Zech, Zech.
+Malachi: Mal, Mal., Ml
+Matthew: Matt, Matt., Mt, Mt.
+Mark: Mk, Mk., Mr, Mr., Mrk, Mrk.
+Luke: Lk, Lk., Lu, Lu., Luk, Luk.
+John: Jn, Jn., Jno, Joh, Joh.
+Acts: Ac, Ac.
+Romans: Rm, Ro, Ro., Rom, Rom.
+1 Corinthians: 1 Co, 1 Cor, 1 Cor., 1Co, 1Cor, I Co, I Cor, I Corinthians
+2 Corinthians: 2 Co, 2 Cor, 2 Cor., 2Co, 2Cor, II Co, II Cor, II Corinthians
+Galatians: Ga, Gal, Gal.
+Ephesians: Eph, Eph., Ephes
+Philippians: Phil, Phil., Php, Pp
+Colossians: Col, Col.
+1 Thessalonians: 1 Th, 1 Thes, 1 Thess, 1 Thess., 1Th, 1Thes, 1Thess, I Th, I Thes, I Thess, I Thessalonians
+2 Thessalonians: 2 Th, 2 Thes, 2 Thess, 2 Thess., 2Th, 2Thes, 2Thess, II Th, II Thes, II Thess, II Thessalonians
+1 Timothy: 1 Ti, 1 Tim, 1 Tim., 1Ti, 1Tim, I Ti, I Tim, I Timothy
+2 Timothy: 2 Ti, 2 Tim, 2 Tim., 2Ti, 2Tim, II Ti, II Tim, II Timothy
+Titus: Ti, Tit, Tit.
+Philemon: Phlm, Phlm., Phm, Phm.
+Hebrews: Heb, Heb.
+James: Jas, Jas., Jm
+1 Peter: 1 Pe, 1 Pet, 1 Pet., 1Pe, 1Pet, I Pe, I Pet, I Peter
+2 Peter: 2 Pe, 2 Pet, 2 Pet., 2Pe, 2Pet, II Pe, II Pet, II Peter
+1 John: 1 Jn, 1 Jn., 1 Joh, 1Jn, 1Joh, I Jn, I Joh, I John
+2 John: 2 Jn, 2 Jn., 2 Joh, 2Jn, 2Joh, II Jn, II Joh, II John
+3 John: 3 Jn, 3 Jn., 3 Joh, 3Jn, 3Joh, III Jn, III Joh, III John
+Jude: Jud, Jud.
+Revelation: Apoc, Rev, Rev., Rv
 """
 
 # Bounds of a Quran citation.
@@ -98,11 +102,6 @@ def _names(block: str) -> list[str]:
     return [name.strip() for name in block.replace("\n", " ").split(",")]
 
 
-def _listed(block: str) -> dict[str, list[str]]:
-    rows = (line.split(": ") for line in block.strip().splitlines())
-    return {name: forms.split(", ") for name, forms in rows}
-
-
 def testaments() -> dict[str, str]:
     return {name: "OT" for name in _names(OLD_TESTAMENT)} | {
         name: "NT" for name in _names(NEW_TESTAMENT)
@@ -110,29 +109,9 @@ def testaments() -> dict[str, str]:
 
 
 def short_forms() -> dict[str, str]:
-    """Every short form and its canonical book.
-
-    Numbered books follow one rule: digit with or without a space, or Roman
-    numeral, before each stem; the first stem also with a dot; and the Roman
-    numeral before the full name.
-    """
-    forms: dict[str, str] = {}
-    for book, listed in _listed(SHORT_FORMS).items():
-        for form in listed:
-            forms[form.rstrip(".")] = book
-            forms[form] = book
-    stems = _listed(NUMBERED_STEMS)
-    for book in testaments():
-        digit, _, name = book.partition(" ")
-        if not digit.isdigit():
-            continue
-        roman = "I" * int(digit)
-        forms[f"{roman} {name}"] = book
-        forms[f"{digit} {stems[name][0]}."] = book
-        for stem in stems[name]:
-            for form in (f"{digit} {stem}", f"{digit}{stem}", f"{roman} {stem}"):
-                forms[form] = book
-    return forms
+    """Every short form and its canonical book."""
+    rows = (line.split(": ") for line in SHORT_FORMS.strip().splitlines())
+    return {form: book for book, forms in rows for form in forms.split(", ")}
 
 
 def _alternatives(tokens: list[str]) -> str:

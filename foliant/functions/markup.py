@@ -8,10 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .names import site_name
 from .patterns import TEXT_SPACE, WORD, on_line
@@ -22,7 +20,7 @@ _GAP = on_line(TEXT_SPACE)
 
 # Lines and links that are not part of an article.
 _NAV = rf"\[?{_S}*(?:Home|Back|Top|Next|Previous|Index){_S}*\]?{_S}*"
-SIGN_OFF = r"(?md)^God bless you all\.?{s}*$".replace("{s}", _S)
+SIGN_OFF = rf"(?md)^God bless you all\.?{_S}*$"
 NAVIGATION = rf"(?imdu)^{_S}*{_NAV}(?:\|{_S}*{_NAV})*$"
 SHARE_LABEL = (
     rf"(?imdu)^{_S}*(?:Share{_S}*(?:this|on)?:?|Tweet|Facebook|LinkedIn|Pinterest|WhatsApp"
@@ -108,37 +106,33 @@ def is_formatted(text: Column) -> Column:
     )
 
 
-# Shortest text checked, sample length, similarity of a copy.
+# Shortest text checked, share of lines that a copy has in common.
 COPY_MIN_CHARS = 500
-COPY_SAMPLE = 500
 COPY_RATIO = 0.8
 
 
 def halves_alike(text: Column) -> Column:
-    """True when both halves of a long text start alike; only the samples travel."""
+    """True when the halves of a long text have over ``COPY_RATIO`` of their lines in common.
 
-    @F.pandas_udf(T.BooleanType())
-    def look_alike(first: pd.Series, second: pd.Series) -> pd.Series:
-        from difflib import SequenceMatcher
+    All lines of both halves count, not their beginnings: what is taken for a copy
+    is dropped.  Lines are compared without white space around them, blank ones
+    left out; lines that a half repeats count once.
+    """
+    half = F.floor(F.length(text) / 2).cast("int")
 
-        def alike(a: str | None, b: str | None) -> bool:
-            if a is None or b is None:
-                return False
-            match = SequenceMatcher(None, a, b)
-            # The two quick ratios are upper bounds, so skipping on them is exact.
-            return (
-                match.real_quick_ratio() > COPY_RATIO
-                and match.quick_ratio() > COPY_RATIO
-                and match.ratio() > COPY_RATIO
-            )
+    def lines(part: Column) -> Column:
+        trimmed = F.transform(F.split(part, "\n"), lambda x: F.xxhash64(F.trim(x)))
+        return F.array_distinct(F.filter(trimmed, lambda h: h != F.xxhash64(F.lit(""))))
 
-        return pd.Series([alike(a, b) for a, b in zip(first, second)], dtype="bool")
+    def alike(first: Column) -> Column:
+        return let(
+            lines(F.substr(text, half + 1, F.length(text))),
+            lambda second: 2 * F.size(F.array_intersect(first, second))
+            > COPY_RATIO * F.greatest(F.size(first) + F.size(second), F.lit(1)),
+        )
 
-    half = F.floor(F.length(text) / 2).cast("int")
     long = F.length(text) >= COPY_MIN_CHARS
-    first = F.when(long, F.substr(text, F.lit(1), F.least(half, F.lit(COPY_SAMPLE))))
-    second = F.when(long, F.substr(text, half + 1, F.lit(COPY_SAMPLE)))
-    return look_alike(first, second)
+    return F.coalesce(long & let(lines(F.substr(text, F.lit(1), half)), alike), F.lit(False))
 
 
 def first_half(text: Column) -> Column:
