@@ -14,17 +14,19 @@ from __future__ import annotations
 import re
 import struct
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import batch, mapped, new_path, staged, text_rows
+from .common import batch, mapped, new_path, per_process, staged, text_rows
+from .words import WordTable, in_portions
 
 # Token ids per frame, and level of compression.
 FRAME_TOKENS = 1 << 17
@@ -34,49 +36,80 @@ LEVEL = 1
 SKIPPABLE, SEEK_MAGIC, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 INDEX_FRAME = 0x184D2A50
 
-# Words whose ids one task remembers.
-REMEMBERED = 400_000
+# Words whose ids a worker remembers, and characters of text that are looked up at a time.
+REMEMBERED = 1_500_000
+AT_ONCE = 1 << 22
 
-# The tokenizer joins bytes only inside the pieces this pattern cuts (fixed value,
-# written in the tokenizer's own file); texts are split by it to look words up.
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# White space, as Unicode has it.
+WHITE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
+# Words that begin with these have no space before them.
+RAW = "\n.,"
 
-def encoder(path: str, pattern: str | None = PIECES) -> Callable[[Sequence[str]], Iterator[bytes]]:
-    """Ids of texts, as bytes of unsigned 32-bit integers, by the tokenizer file at ``path``.
+# Marks the first word of a text, which has no space before it.
+FIRST = "\0"
 
-    With ``pattern`` a text is cut into pieces, and a piece met before is looked
-    up; only new ones go to the tokenizer.  This is the same as encoding the text,
-    since byte-level pieces never merge with each other.
+
+class Encoder:
+    """Ids of texts, as bytes of unsigned 32-bit integers, by a tokenizer file.
+
+    A byte-level tokenizer first cuts a text into pieces.  Where no white space
+    follows other white space and points and commas follow letters or digits,
+    pieces begin at every space, line feed, point and comma.  Such a text is cut
+    there into words, each with what stands before it, and only words not met
+    before go to the tokenizer; this is the same as encoding the text.  All other
+    texts, and those with a special token's string, go to the tokenizer whole.
     """
-    import regex
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    special = re.compile("|".join(map(re.escape, specials))) if specials else None
-    cut = regex.compile(pattern) if pattern else None
-    known: dict[str, bytes] = {}
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
-    def whole(texts: Sequence[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        self.tokenizer = Tokenizer.from_file(path)
+        specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        size = self.tokenizer.get_vocab_size()
+        self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
+        # What a text may not hold to be cut, strings with a meaning of their own among it.
+        self.odd = "|".join([WHITE + WHITE, r"[^\pL\pN][.,]", r"\x00", *map(re.escape, specials)])
+        self.table = WordTable(self.learn, REMEMBERED)
 
-    def encode(texts: Sequence[str]) -> Iterator[bytes]:
-        for text in texts:
-            if cut is None or (special and special.search(text)):
-                yield whole([text])[0]
-                continue
-            pieces = cut.findall(text)
-            fresh = list({p for p in pieces if p not in known})
-            if fresh:
-                if len(known) + len(fresh) > REMEMBERED:
-                    known.clear()
-                    fresh = list(set(pieces))
-                known.update(zip(fresh, whole(fresh)))
-            yield b"".join(map(known.__getitem__, pieces))
+    def whole(self, texts: Sequence[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
+        return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    return encode
+    def learn(self, fresh: list[str]) -> dict[str, bytes]:
+        """New words are laid end to end; the bytes each token stands for tell them apart."""
+        learned = dict(zip(["", "\n"], self.whole([" ", "\n"])))
+        first = [w for w in fresh if w[:1] == FIRST]
+        learned.update(zip(first, self.whole([w[1:] for w in first])))
+        words = [w for w in fresh if w and w != "\n" and w[0] != FIRST]
+        for low in range(0, len(words), 2000):
+            part = words[low : low + 2000]
+            # A point or comma would join marks at the end of the word before; a letter keeps it apart.
+            texts = [w if w[0] == "\n" else " a" + w if w[0] in RAW else " " + w for w in part]
+            found = self.tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, "<u4")
+            ends = np.cumsum([len(t.encode()) for t in texts])
+            reached = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
+            starts = np.r_[0, reached[:-1]] + [w[0] in ".," for w in part]
+            data = ids.tobytes()
+            learned.update(
+                (w, data[4 * a : 4 * b]) for w, a, b in zip(part, starts.tolist(), reached.tolist())
+            )
+        return learned
+
+    def __call__(self, texts: pa.Array) -> Iterator[bytes]:
+        for part in in_portions(texts, AT_ONCE):
+            odd = pc.match_substring_regex(part, self.odd)
+            plain = part.filter(pc.invert(odd))
+            for mark in RAW:
+                plain = pc.replace_substring(plain, mark, " " + mark)
+            found = self.table.ids(pc.binary_join_element_wise(FIRST, plain, ""), " ")
+            for text, whole in zip(part, odd.to_pylist()):
+                yield self.whole([text.as_py()])[0] if whole else next(found)
+
+
+def encoder(path: str) -> Encoder:
+    return per_process(f"tokens {path}", lambda: Encoder(path))
 
 
 def token_counts(
@@ -88,7 +121,7 @@ def token_counts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         for rows in batches:
-            counts = [len(x) // 4 + end for x in encode(t.as_py() for t in rows.column("text"))]
+            counts = [len(x) // 4 + end for x in encode(rows.column("text"))]
             yield batch(schema, rows.column("doc_id"), counts)
 
     return mapped(text_rows(docs, key, text), run, "doc_id long, n_tokens long")
@@ -222,8 +255,7 @@ def write_tokens(
                 draft, path = f"{root}/.{part:06d}-{uuid.uuid4().hex}", f"{root}/{part:06d}.tok"
                 out = system.open_output_stream(draft)
                 writer = FrameWriter(out, frame_tokens)
-            texts = (t.as_py() for t in rows.column("text"))
-            for doc_id, ids in zip(rows.column("doc_id").to_pylist(), encode(texts)):
+            for doc_id, ids in zip(rows.column("doc_id").to_pylist(), encode(rows.column("text"))):
                 writer.add(doc_id, ids + end)
         if writer is not None:
             writer.close()
@@ -243,9 +275,10 @@ def write_tokens(
 def read_tokens(
     files: DataFrame, folder: str, wanted: tuple[int, int] | None = None
 ) -> DataFrame:
-    """Documents of token files: ``part``, ``place`` in it, ``doc_id``, ``start`` in it, ``ids`` (binary).
+    """Documents of token files: ``part``, ``place`` in it, ``doc_id``, ``start``, ``ids`` (binary).
 
-    ``files`` has ``part``, ``path`` and ``bytes``.  With ``wanted``, lowest and
+    ``files`` has ``part``, ``path``, ``bytes`` and ``before``, the number of tokens
+    of all files before, from which ``start`` counts on.  With ``wanted``, lowest and
     highest id, only frames that may hold such documents are loaded and unpacked.
     Checksums of the frames that are read are compared.
     """
@@ -253,7 +286,7 @@ def read_tokens(
         [("part", pa.int32()), ("place", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.binary())]
     )
 
-    def documents(handle, part: int, size: int) -> Iterator[tuple]:
+    def documents(handle, part: int, size: int, before: int) -> Iterator[list]:
         table, index = read_tail(handle, size)
         first, last = 0, len(table)
         if wanted is not None:
@@ -261,7 +294,7 @@ def read_tokens(
             first = max(0, int(np.searchsorted(known, wanted[0], "left")) - 1)
             last = int(np.searchsorted(known, wanted[1], "right"))
         open_: list | None = None
-        at = int(index[first, 2]) if first < len(index) else 0
+        at = before + (int(index[first, 2]) if first < len(index) else 0)
         for place, (offset, packed, full, checksum) in enumerate(table[first:last].tolist(), first):
             handle.seek(offset)
             for number, (doc, goes_on, ids) in enumerate(read_frame(handle.read(packed), full, checksum)):
@@ -278,10 +311,11 @@ def read_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, _ = _file_system(folder)
         for rows in batches:
-            for part, path, size in zip(*(rows.column(c).to_pylist() for c in ("part", "path", "bytes"))):
+            columns = (rows.column(c).to_pylist() for c in ("part", "path", "bytes", "before"))
+            for part, path, size, before in zip(*columns):
                 with system.open_input_file(path) as handle:
                     held, total = [], 0
-                    for row in documents(handle, part, size):
+                    for row in documents(handle, part, size, before):
                         if wanted and not (row[2] is not None and wanted[0] <= row[2] <= wanted[1]):
                             continue
                         row[4] = b"".join(row[4])
@@ -293,26 +327,24 @@ def read_tokens(
                     if held:
                         yield batch(schema, *map(list, zip(*held)))
 
-    return mapped(files.select("part", "path", "bytes"), run, "part int, place long, doc_id long, start long, ids binary")
+    return mapped(
+        files.select("part", "path", "bytes", "before"), run, "part int, place long, doc_id long, start long, ids binary"
+    )
 
 
-def with_starts(tokens: DataFrame, files: DataFrame) -> DataFrame:
-    """``start`` counted over all files: one row per file is summed up and joined back."""
-    before = F.coalesce(
-        F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    sums = files.select("part", before.alias("before"))
-    return tokens.join(sums, "part").withColumn("start", F.col("start") + F.col("before")).drop("before")
+def with_starts(files: DataFrame) -> DataFrame:
+    """Adds ``before``, the number of tokens of all files before; one row per file is summed up."""
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return files.withColumn("before", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0).cast("long")))
 
 
 def round_trip(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
     """Writes token files into the shared folder and reads them back."""
     spark: SparkSession = docs.sparkSession
     folder = new_path(spark, "tokens")
-    files = write_tokens(docs, folder, tokenizer, end_id)
-    cores = spark.sparkContext.defaultParallelism
-    spread = files.repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))), "part")
-    return with_starts(read_tokens(spread, folder), files)
+    files = with_starts(write_tokens(docs, folder, tokenizer, end_id))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return read_tokens(files.repartition(parts, "part"), folder)
 
 
 def checksums(tokens: DataFrame) -> DataFrame:
