@@ -17,6 +17,12 @@ from pyspark.sql import functions as F
 
 from .common import staged, whole_text
 
+# Ranges of ids at most; the table of their first rows is broadcast.
+MOST_RANGES = 1 << 17
+
+# Stands for "no term".
+NOTHING = 0
+
 # Characters that end a word besides white space.
 BREAKS = "\t\n\r\f\u000b.,!?;:|()\"'"
 
@@ -117,14 +123,16 @@ def _with_next(docs: DataFrame, key: str, text: str, rows_per_range: int) -> tup
     """Rows by ranges of ids, each range with a guest: the row that follows it in descending order.
 
     Ids fall into equal ranges, about ``rows_per_range`` rows each when ids are
-    dense; null ids are one more range at the end.  Only ids, and the first row of
-    every range, are moved to find the guests.
+    dense, and ``MOST_RANGES`` at most; null ids are one more range at the end.
+    Guests are found by the keys of the ranges' first rows, which are as many as
+    ranges and so may be broadcast; no text is moved for it.
     """
     body = whole_text(text)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), body.alias("text"))
     limits = rows.agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).first()
     total, low, high = limits[0], limits[1] or 0, limits[2] or 0
-    wide = max(1, (high - low + 1) * rows_per_range // max(total, 1))
+    ranges = min(-(-total // rows_per_range), MOST_RANGES)
+    wide = max(1, -(-(high - low + 1) // max(ranges, 1)))
     place = F.coalesce(F.floor((F.col("doc_id") - low) / wide).cast("long"), F.lit(-1).cast("long"))
     rows = rows.withColumn("range", place).withColumn("mark", F.xxhash64("text"))
     firsts = rows.groupBy("range").agg(
@@ -137,7 +145,7 @@ def _with_next(docs: DataFrame, key: str, text: str, rows_per_range: int) -> tup
     )
     guests = (
         rows.join(
-            firsts.withColumnRenamed("mark", "first_mark"),
+            F.broadcast(firsts.withColumnRenamed("mark", "first_mark")),
             (-F.col("doc_id")).eqNullSafe(F.col("down")) & (F.col("mark") == F.col("first_mark")),
         )
         .select("doc_id", "text", F.col("home").alias("range"), "mark", F.lit(True).alias("guest"))
@@ -168,39 +176,47 @@ def fingerprints(
     edited = F.concat(
         F.substring("text", F.lit(1), n - half), F.substring(F.coalesce("next", F.lit("")), F.lit(1), half)
     )
-    told = paired.select(
-        "range", "row", "guest", "doc_id", "mark", n.cast("long").alias("n_chars"),
-        F.sha2(F.encode(edited, "UTF-8"), 256).alias("edited_sha256"),
-        _hash_text(F.col("text")).alias("all_own"), _hash_text(edited).alias("all_other"),
+    info = F.struct(
+        "guest", "doc_id", "mark", n.cast("long").alias("n_chars"),
+        F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+        _hash_text(F.col("text")).alias("all_own"), _hash_text(F.col("edited")).alias("all_other"),
+    )
+    told = paired.withColumn("edited", edited).select(
+        "range", "row", info.alias("info"), term_hashes(F.col("text")).alias("own"),
+        term_hashes(F.col("edited")).alias("other"),
     )
-    # Terms travel without the other columns, through the same exchange.
-    spread = paired.select("range", "row", "text", edited.alias("edited")).select(
-        "range", "row",
-        F.explode(
-            F.concat(
-                F.transform(term_hashes(F.col("text")), lambda t: F.struct(F.lit(True).alias("own"), t.alias("term"))),
-                F.transform(term_hashes(F.col("edited")), lambda t: F.struct(F.lit(False).alias("own"), t.alias("term"))),
-            )
-        ).alias("t"),
-    ).select("range", "row", "t.own", "t.term")
-    chosen = spread.join(F.broadcast(staged(lexicon(docs, setup, text), "lexicon")), "term")
+    none = F.lit(None).cast(told.schema["info"].dataType)
+    # A document's first row carries what else is known of it; its other rows are narrow.
+    first = F.struct(F.lit(None).cast("boolean").alias("own"), F.lit(NOTHING).cast("long").alias("term"), F.col("info").alias("info"))
+
+    def narrow(terms: str, own: bool) -> Column:
+        return F.transform(
+            terms, lambda t: F.struct(F.lit(own).alias("own"), t.alias("term"), none.alias("info"))
+        )
+
+    spread = told.select(
+        "range", "row", F.explode(F.concat(F.array(first), narrow("own", True), narrow("other", False))).alias("t")
+    ).select("range", "row", "t.own", "t.term", "t.info")
+    terms = staged(lexicon(docs, setup, text), "lexicon")
+    terms = terms.unionAll(docs.sparkSession.range(1).select(F.lit(NOTHING).cast("long").alias("term"))).distinct()
+    chosen = spread.join(F.broadcast(terms), "term")
     grouped = chosen.groupBy("range", "row").agg(
+        F.first("info", ignorenulls=True).alias("info"),
         F.sort_array(F.collect_list(F.when(F.col("own"), F.col("term")))).alias("own"),
         F.sort_array(F.collect_list(F.when(~F.col("own"), F.col("term")))).alias("other"),
     )
     found = part_hashes(part_hashes(grouped, "own", "parts", setup), "other", "edited_parts", setup)
-    found = told.join(found.select("range", "row", "parts", "edited_parts"), ["range", "row"], "left")
 
     def complete(parts: str, everything: str) -> Column:
         """The whole text stands in for the band when it has none of its terms."""
         none = setup.families * setup.levels
         return F.when(
             F.get(parts, F.lit(0)).isNull(),
-            F.concat(F.array(everything), F.array_repeat(F.lit(None).cast("long"), none)),
+            F.concat(F.array(f"info.{everything}"), F.array_repeat(F.lit(None).cast("long"), none)),
         ).otherwise(F.col(parts))
 
     told = found.select(
-        "range", "guest", "doc_id", "mark", "n_chars", "edited_sha256",
+        "range", "info.*",
         complete("parts", "all_own").alias("parts"), complete("edited_parts", "all_other").alias("edited_parts"),
     )
     last = told.withColumn("next_parts", F.lead("parts").over(inside)).where("NOT guest")
