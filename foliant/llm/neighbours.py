@@ -113,6 +113,8 @@ class Graph:
         source, target = np.repeat(rows, near.shape[1]), near.ravel()
         kept = target >= 0
         source, target = source[kept], target[kept]
+        missing = ~(table[target] == source[:, None]).any(axis=1)
+        source, target = source[missing], target[missing]
         by = np.argsort(target, kind="stable")
         source, target = source[by], target[by]
         changed, start, count = np.unique(target, return_index=True, return_counts=True)
