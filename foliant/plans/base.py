@@ -78,6 +78,11 @@ def source_number() -> Column:
 SOURCE_NUMBER = r"CAST(regexp_extract(source, '(\d+)$', 1) AS INTEGER) + 1"
 
 
+def sql_text(text: str) -> str:
+    """The text as an SQL literal."""
+    return "E'" + text.replace("'", "''").replace("\n", "\\n") + "'"
+
+
 def sql_trim(text: str) -> str:
     return rf"regexp_replace({text}, '^\s+|\s+$', '', 'g')"
 

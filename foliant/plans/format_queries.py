@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import markup, report
 from ..operators import formatting
-from .base import query, say, source_number, texts
+from .base import query, say, source_number, sql_text, texts
 
 OWNERS = ("Acme Press", "Example House")
 SITES = {"host.example": "Example Host"}
@@ -38,10 +38,6 @@ def _prose():
 _PROSE = "translate(text, '*_#', '')"
 
 
-def sql_text(text: str) -> str:
-    return "E'" + text.replace("'", "''").replace("\n", "\\n") + "'"
-
-
 @query(
     "boilerplate_clean",
     r"""SELECT doc_id, E'\n\n' || text || E'\n' AS cleaned FROM documents""",

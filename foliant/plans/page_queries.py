@@ -8,7 +8,7 @@ from ..functions import html, names
 from ..operators import sections
 from ..sinks import documents as sink
 from ..sources.tables import spread
-from .base import query, say, sql_rewrite, table, texts
+from .base import query, say, sql_rewrite, sql_text, table, texts
 
 
 def pages(spark, sf_dir):
@@ -184,16 +184,29 @@ def placed_texts(spark, sf_dir):
     return sink.place(links, existing=5).select("page_id", "number", "filename")
 
 
+_BLOCKS = (
+    "\n\n- a\n  - b\n- c\n\n1. d\n2. e\n\n> f\n> g\n\n| h | i |\n| --- | --- |\n| j | k |\n\n"
+    "```\nl < m\n```\n\n![n](https://h.example/o.png)  \n**end** <script>p</script><b>q</b>"
+)
+_BLOCKS_HTML = (
+    "<ul>\n<li>a\n<ul>\n<li>b</li>\n</ul></li>\n<li>c</li>\n</ul>\n\n"
+    "<ol>\n<li>d</li>\n<li>e</li>\n</ol>\n\n<blockquote>\n<p>f\ng</p>\n</blockquote>\n\n"
+    "<table>\n<tr><th>h</th><th>i</th></tr>\n<tr><td>j</td><td>k</td></tr>\n</table>\n\n"
+    "<pre><code>l &lt; m\n</code></pre>"
+    '<p><img src="https://h.example/o.png" alt="n"><br>\n<strong>end</strong> q</p>'
+)
+
+
 @query(
     "article_render",
-    r"""SELECT doc_id, '<h1>Title ' || doc_id || E'</h1>\n\n<p>' ||
-        replace(replace(replace(regexp_replace(text, '[*_~`#\[\]]', '', 'g'), '&', '&amp;'), '<', '&lt;'), '>', '&gt;')
-        || E' <strong>end</strong></p>' AS html
-    FROM documents""",
+    rf"""SELECT doc_id, '<h1>Title ' || doc_id || E'</h1>\n\n<p>' || replace(replace(replace(
+            regexp_replace(text, '[*_~`]', '', 'g'), '&', '&amp;'), '<', '&lt;'), '>', '&gt;')
+        || E'</p>\n\n' || {sql_text(_BLOCKS_HTML)} AS html FROM documents""",
 )
 def article_render(spark, sf_dir):
-    plain = F.regexp_replace("text", r"[*_~`#\[\]]", "")
-    made = say("# Title ", F.col("doc_id"), "\n\n", plain, " **end**")
+    """Marks of emphasis are taken out of the texts, and a block of every kind is added."""
+    plain = F.regexp_replace("text", r"[*_~`]", "")
+    made = say("# Title ", F.col("doc_id"), "\n\n", plain, _BLOCKS)
     return texts(spark, sf_dir).select("doc_id", html.render_html(made).alias("html"))
 
 

@@ -162,12 +162,33 @@ def test_page_parts(one):
     assert [(x["title"], x["href"]) for x in links] == [("Goon", "z.htm")]
 
 
-def test_render(one):
-    made = one(html.render_html(C("t")), t="# T\n\nsome **bold** <x>\nline\n\n- a\n- b\n\n[l](javascript:x) [m](/y)")
-    assert made == (
-        "<h1>T</h1>\n\n<p>some <strong>bold</strong> &lt;x&gt;\nline</p>\n\n<ul>\n<li>a</li>\n<li>b</li>\n</ul>"
+RENDERED = {
+    "# T\n\nsome **bold** <x>y\nline\n\n- a\n- b\n\n[l](javascript:x) [m](/y)": (
+        "<h1>T</h1>\n\n<p>some <strong>bold</strong> y\nline</p>\n\n<ul>\n<li>a</li>\n<li>b</li>\n</ul>"
         '\n\n<p>[l](javascript:x) <a href="/y">m</a></p>'
-    )
+    ),
+    "1. one\n2. two\n\nend": "<ol>\n<li>one</li>\n<li>two</li>\n</ol>\n\n<p>end</p>",
+    "- a\n  - b\n- c": "<ul>\n<li>a\n<ul>\n<li>b</li>\n</ul></li>\n<li>c</li>\n</ul>",
+    "1. a\n   - b\n   - c": "<ol>\n<li>a\n<ul>\n<li>b</li>\n<li>c</li>\n</ul></li>\n</ol>",
+    "> q\n> r\n\ns": "<blockquote>\n<p>q\nr</p>\n</blockquote>\n\n<p>s</p>",
+    "| A | B |\n| --- | :-: |\n| 1 | 2 |\n\nx": (
+        "<table>\n<tr><th>A</th><th>B</th></tr>\n<tr><td>1</td><td>2</td></tr>\n</table>\n\n<p>x</p>"
+    ),
+    "a  \nb\\\nc": "<p>a<br>\nb<br>\nc</p>",
+    "![i](https://h/i.png) ![x](javascript:a)": '<p><img src="https://h/i.png" alt="i"> x</p>',
+    "p\n\n```py\nif a < b: *x*\n```\n\nq `c`": (
+        "<p>p</p>\n\n<pre><code>if a &lt; b: *x*\n</code></pre><p>q <code>c</code></p>"
+    ),
+    "<script>x</script>a <b>b</b> 3 < 4 <https://h/c>": (
+        '<p>a b 3 &lt; 4 <a href="https://h/c">https://h/c</a></p>'
+    ),
+    "": "",
+}
+
+
+@pytest.mark.parametrize("text", RENDERED)
+def test_render(one, text):
+    assert one(html.render_html(C("t")), t=text) == RENDERED[text]
 
 
 def test_deep_texts_do_not_overflow(one):
