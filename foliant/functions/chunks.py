@@ -70,48 +70,41 @@ def _pieces(parts: Column, budget: Column) -> Column:
 
 
 def merge(parts: Column, budget: Column) -> Column:
-    """Fill chunks with paragraphs in order, starting a new one on overflow."""
+    """Fill chunks with paragraphs in order, starting a new one on overflow.
+
+    The fold runs over sizes and keeps the places where chunks begin; each chunk's
+    text is then put together once.
+    """
     start = F.struct(
-        F.array().cast("array<string>").alias("done"),
-        F.lit(None).cast("string").alias("open"),
+        F.array().cast("array<int>").alias("starts"),
+        F.lit(0).alias("at"),
+        F.lit(False).alias("open"),
         F.lit(0).alias("tokens"),
     )
 
-    def closed(acc: Column) -> Column:
-        return F.when(acc["open"].isNull(), acc["done"]).otherwise(
-            F.array_append(acc["done"], acc["open"])
-        )
-
     def step(acc: Column, piece: Column) -> Column:
-        total = acc["tokens"] + piece["tokens"]
-        fits = acc["open"].isNotNull() & (total <= budget)
-        return (
-            F.when(
-                ~piece["whole"],
-                F.struct(
-                    F.array_append(closed(acc), piece["text"]).alias("done"),
-                    F.lit(None).cast("string").alias("open"),
-                    F.lit(0).alias("tokens"),
-                ),
-            )
-            .when(
-                fits,
-                F.struct(
-                    acc["done"].alias("done"),
-                    F.concat(acc["open"], F.lit("\n\n"), piece["text"]).alias("open"),
-                    total.alias("tokens"),
-                ),
-            )
-            .otherwise(
-                F.struct(
-                    closed(acc).alias("done"),
-                    piece["text"].alias("open"),
-                    piece["tokens"].alias("tokens"),
-                )
-            )
+        at, total = acc["at"] + 1, acc["tokens"] + piece["tokens"]
+        fits = acc["open"] & piece["whole"] & (total <= budget)
+        return F.struct(
+            F.when(fits, acc["starts"]).otherwise(F.array_append(acc["starts"], at)).alias("starts"),
+            at.alias("at"),
+            piece["whole"].alias("open"),
+            F.when(fits, total).when(piece["whole"], piece["tokens"]).otherwise(0).alias("tokens"),
         )
 
-    return F.aggregate(_pieces(parts, budget), start, step, closed)
+    def joined(pieces: Column) -> Column:
+        def one(starts: Column) -> Column:
+            def text(first: Column, k: Column) -> Column:
+                last = F.coalesce(F.get(starts, k + 1), F.size(pieces) + 1)
+                part = F.slice(pieces, first, last - first)
+                return F.array_join(F.transform(part, lambda p: p["text"]), "\n\n")
+
+            return F.transform(starts, text)
+
+        sizes = F.transform(pieces, lambda p: F.struct(p["tokens"].alias("tokens"), p["whole"].alias("whole")))
+        return let(F.aggregate(sizes, start, step, lambda acc: acc["starts"]), one)
+
+    return let(_pieces(parts, budget), joined)
 
 
 def prefixed(title: Column, chunk: Column) -> Column:

@@ -58,7 +58,7 @@ POST_DATE_SELECTORS = (".date-header", ".published", "time")
 
 
 def unescape(text: Column) -> Column:
-    """Character references as characters."""
+    """Character references as characters; only texts with an ampersand go to Python."""
 
     @F.pandas_udf(T.StringType())
     def unescaped(values: pd.Series) -> pd.Series:
@@ -66,7 +66,7 @@ def unescape(text: Column) -> Column:
 
         return values.map(html.unescape, na_action="ignore").astype("object")
 
-    return unescaped(text)
+    return F.coalesce(unescaped(F.when(F.contains(text, F.lit("&")), text)), text)
 
 
 def _opening(selector: str) -> re.Pattern[str]:

@@ -40,7 +40,7 @@ def merge_by_key(
 
 def absent_rows(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of the left whose key is not on the right; NULL keys are equal."""
-    seen = right.select(*[F.col(c).alias(f"_r_{c}") for c in on]).distinct()
+    seen = right.select(*[F.col(c).alias(f"_r_{c}") for c in on])
     same = F.lit(True)
     for c in on:
         same = same & left[c].eqNullSafe(seen[f"_r_{c}"])
@@ -49,7 +49,7 @@ def absent_rows(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFra
 
 def present_rows(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of the left whose key is on the right."""
-    return left.join(right.select(*on).distinct(), list(on), "left_semi")
+    return left.join(right.select(*on), list(on), "left_semi")
 
 
 def insert_missing(
@@ -74,7 +74,8 @@ def removed_per_group(
     df: DataFrame, group: str, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """Rows, kept first occurrences and removed repeats of each group."""
-    kept = first_per_key(df, keys, order).groupBy(group).agg(F.count("*").alias("kept"))
+    narrow = df.select(*dict.fromkeys([group, *keys, *order]))
+    kept = first_per_key(narrow, keys, order).groupBy(group).agg(F.count("*").alias("kept"))
     total = df.groupBy(group).agg(F.count("*").alias("total"))
     return (
         total.join(kept, group, "left")

@@ -71,11 +71,9 @@ def master_index(spark, sf_dir):
     FROM (SELECT {SOURCE_NUMBER} AS category, count(*) AS articles FROM documents GROUP BY 1)""",
 )
 def group_count_map(spark, sf_dir):
-    counts = documents(spark, sf_dir).groupBy(source_number().alias("category")).agg(
-        F.count("*").alias("articles")
-    )
-    total = counts.agg(F.sum("articles").alias("total"))
-    return counts.withColumn("total", total.scalar())
+    links = documents(spark, sf_dir).select(source_number().alias("folder"))
+    counted = reports.counts_per_category(links, links.distinct())
+    return counted.select(F.col("folder").alias("category"), F.col("n").alias("articles"), "total")
 
 
 @query(

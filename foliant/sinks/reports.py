@@ -113,15 +113,12 @@ def write_lines(lines: DataFrame, path: str) -> None:
 
 
 def counts_per_category(links: DataFrame, categories: DataFrame) -> DataFrame:
-    """Map of category folder to number of links, over the fixed list of categories."""
+    """Links per category folder, over the fixed list of categories, and their total in every row."""
     counts = links.groupBy("folder").agg(F.count("*").alias("n"))
     listed = categories.join(counts, "folder", "left").select(
         "folder", F.coalesce("n", F.lit(0)).alias("n")
     )
-    return listed.agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("folder", "n")))).alias("categories"),
-        F.sum("n").alias("total_articles"),
-    )
+    return listed.withColumn("total", listed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total")).scalar())
 
 
 def write_json(rows: DataFrame, path: str) -> None:

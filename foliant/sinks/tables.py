@@ -73,7 +73,3 @@ def in_batches(df: DataFrame, send, size: int) -> None:
             send(batch)
 
     df.foreachPartition(run)
-
-
-def count_written(path: str, spark: SparkSession) -> int:
-    return spark.read.parquet(path).select(F.lit(1)).count()

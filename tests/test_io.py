@@ -283,8 +283,28 @@ def test_index_documents(spark, tmp_path):
     reports.write_failures(links.where("failed"), str(tmp_path / "failed"))
     assert "02_b\tTwo\tu2\n" in "".join(p.read_text() for p in (tmp_path / "failed").glob("part-*"))
     catalog = spark.createDataFrame([("01_a",), ("02_b",), ("03_c",)], "folder string")
-    counted = reports.counts_per_category(links, catalog).first()
-    assert counted["categories"] == {"01_a": 1, "02_b": 2, "03_c": 0} and counted["total_articles"] == 3
+    counted = reports.counts_per_category(links, catalog).collect()
+    assert {r["folder"]: r["n"] for r in counted} == {"01_a": 1, "02_b": 2, "03_c": 0}
+    assert {r["total"] for r in counted} == {3}
+
+
+def test_rows_are_sent_in_batches_and_records_written(spark, tmp_path):
+    rows = spark.range(10, numPartitions=2).withColumn("v", F.col("id") * 2)
+    folder = str(tmp_path / "sent")
+
+    def send(batch):
+        import os
+        import uuid as ids
+
+        os.makedirs(folder, exist_ok=True)
+        with open(f"{folder}/{ids.uuid4()}", "w") as file:
+            file.write(f"{len(batch)} {sum(row['v'] for row in batch)}")
+
+    sink.in_batches(rows, send, 3)
+    sent = [tuple(map(int, p.read_text().split())) for p in (tmp_path / "sent").iterdir()]
+    assert sorted(n for n, _ in sent) == [2, 2, 3, 3] and sum(v for _, v in sent) == 90
+    reports.write_json(rows, str(tmp_path / "json"))
+    assert spark.read.json(str(tmp_path / "json")).count() == 10
 
 
 def test_documents_are_written_once(spark, tmp_path):
