@@ -26,6 +26,9 @@ from .graph import components
 # pairs of blocks go to different tasks.
 BLOCK_ROWS = 4096
 
+# Rows of a key that are compared with all others at a time.
+COMPARED_ROWS = 128
+
 # Words of a text that are hashed at a time.
 WORDS_AT_ONCE = 1 << 16
 
@@ -166,6 +169,8 @@ def _linker(setup: Setup):
         return masks, length * budget // count
 
     chains = [[chain(s, n) for n in lengths] for s in range(count)]
+    everything = ([(1 << 64) - 1] * len(names), budget)
+    first_check = [c[0] if c else everything for c in chains]
 
     def differing(left, right, masks) -> np.ndarray:
         total = np.zeros(max(left[0].size, right[0].size), np.uint8)
@@ -181,7 +186,7 @@ def _linker(setup: Setup):
         if ratio:
             low, high = np.minimum(left_n, right_n), np.maximum(left_n, right_n)
             alive = np.flatnonzero(np.broadcast_to(low >= ratio * high, alive.shape))
-        for masks, most in [*chains[start], ([~0 & (1 << 64) - 1] * len(names), budget)]:
+        for masks, most in [*chains[start], everything]:
             if not alive.size:
                 break
             found = differing([at(x) for x in left], [at(x) for x in right], masks) <= most
@@ -202,19 +207,41 @@ def _linker(setup: Setup):
                 yield a[hit], b[hit]
 
     def forest(words, n, start: int) -> Iterator[tuple[int, int]]:
-        """Links of a spanning forest of one run; each row is compared with unreached ones."""
-        unreached = np.arange(n.size)
-        while unreached.size:
-            queue, unreached = [int(unreached[0])], unreached[1:]
-            while queue and unreached.size:
-                at = queue.pop()
-                one = slice(at, at + 1)
-                hit = close([w[one] for w in words], [w[unreached] for w in words], n[one], n[unreached], start)
-                near = unreached[hit]
-                for x in near.tolist():
-                    yield at, x
-                queue += near.tolist()
-                unreached = np.delete(unreached, hit)
+        """Links of a spanning forest of one run: blocks of rows are compared with all rows behind.
+
+        Only links between rows not connected yet are given, one per pair of their
+        groups, so a dense group costs comparisons but no list of its pairs.
+        """
+        size = n.size
+        parent, root = np.arange(size), np.arange(size)
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        masks, most = first_check[start]
+        for low in range(0, size, COMPARED_ROWS):
+            block = slice(low, low + COMPARED_ROWS)
+            total = None
+            for w, mask in zip(words, masks):
+                if mask:
+                    found = np.bitwise_count((w[block, None] ^ w[None, low:]) & np.uint64(mask))
+                    total = found if total is None else total + found
+            i, j = np.nonzero(total <= most)
+            behind = i < j
+            i, j = i[behind] + low, j[behind] + low
+            open_ = root[i] != root[j]
+            i, j = i[open_], j[open_]
+            hit = close([w[i] for w in words], [w[j] for w in words], n[i], n[j], start)
+            a, b = root[i[hit]], root[j[hit]]
+            for pair in np.unique(np.minimum(a, b) * size + np.maximum(a, b)).tolist():
+                a, b = find(pair // size), find(pair % size)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+                    yield a, b
+            while (parent[root] != root).any():
+                root = parent[root]
 
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
