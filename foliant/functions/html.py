@@ -39,6 +39,7 @@ TAG_RULES = [
     ),
     (r"(?i)</?(?:b|strong)\b[^>]*>", "**"),
     (r"(?i)</?(?:i|em)\b[^>]*>", "_"),
+    (r"(?i)</?code\b[^>]*>", "`"),
     (r'(?is)<a\b[^>]*?\bhref *= *"([^"]*)"[^>]*>(.*?)</a *>', "[$2]($1)"),
     (r"(?is)<a\b[^>]*?\bhref *= *'([^']*)'[^>]*>(.*?)</a *>", "[$2]($1)"),
     (r"<[^>]*>", ""),
@@ -147,9 +148,69 @@ def inner_blank(html: Column) -> Column:
     return F.coalesce(F.regexp_replace(html, rf"<[^>]*>|{_S}", "") == "", F.lit(True))
 
 
+def _inside(html: Column, tag: str, inner, outer=lambda part: part) -> Column:
+    """``inner`` of what stands between the tags of an element, ``outer`` of the rest; elements do not nest."""
+    cut = F.split(html, rf"(?i) ?<{tag}\b[^>]*> ?| ?</{tag}{_S}*> ?")
+    parts = F.transform(cut, lambda part, i: F.when(i % 2 == 1, inner(part)).otherwise(outer(part)))
+    return F.when(html.rlike(rf"(?i)<{tag}\b"), F.array_join(parts, "")).otherwise(outer(html))
+
+
+def _numbered_items(items: Column) -> Column:
+    """List items of an ordered list, with their numbers."""
+    cut = F.split(items, r"(?i) ?<li\b[^>]*> ?")
+    numbered = F.transform(
+        cut, lambda item, i: F.when(i == 0, item).otherwise(F.concat(F.lit("\n  "), i.cast("string"), F.lit(". "), item))
+    )
+    return F.concat(F.lit("\n\n"), F.array_join(numbered, ""), F.lit("\n\n"))
+
+
+def _table_rows(rows: Column) -> Column:
+    """Rows of a table between bars, a ruler below the first."""
+
+    def row(text: Column) -> Column:
+        cells = F.split(F.regexp_replace(text, r"(?i) ?<t(?:[dhr]|head|body|foot)\b[^>]*> ?", ""), r"(?i) ?</t[dh] *> ?")
+        kept = F.slice(cells, 1, F.size(cells) - 1)
+        line = F.concat(F.lit("| "), F.array_join(kept, " | "), F.lit(" |"))
+        return F.struct(F.size(kept).alias("n"), line.alias("line"))
+
+    def laid(listed: Column) -> Column:
+        def line(r: Column, i: Column) -> Column:
+            ruler = F.concat(F.lit("\n|"), F.repeat(F.lit(" --- |"), r["n"]))
+            return F.when(i == 0, F.concat(r["line"], ruler)).otherwise(r["line"])
+
+        return F.concat(F.lit("\n\n"), F.array_join(F.transform(listed, line), "\n"), F.lit("\n\n"))
+
+    found = F.transform(F.split(rows, r"(?i) ?</tr *> ?"), row)
+    return let(F.filter(found, lambda r: r["n"] > 0), laid)
+
+
+def _blocks(html: Column) -> Column:
+    """Markdown of a part without line breaks of its own."""
+    tables = _inside(html, "table", _table_rows)
+    return rewrite(_inside(tables, "ol", _numbered_items), TAG_RULES)
+
+
+def _quoted(html: Column) -> Column:
+    quote = F.replace(strip_space(_blocks(html)), F.lit("\n"), F.lit("\n> "))
+    return F.concat(F.lit("\n\n> "), quote, F.lit("\n\n"))
+
+
+def _flowing(html: Column) -> Column:
+    return _inside(F.regexp_replace(html, rf"{_S}+", " "), "blockquote", _quoted, _blocks)
+
+
+def _preformatted(html: Column) -> Column:
+    text = F.regexp_replace(F.regexp_replace(html, r"<[^>]*>", ""), r"\A\n|\s+\z", "")
+    return F.concat(F.lit("\n\n```\n"), text, F.lit("\n```\n\n"))
+
+
 def tags_to_markdown(html: Column) -> Column:
-    """Markdown with character references still in place."""
-    return strip_space(rewrite(F.regexp_replace(visible(html), rf"{_S}+", " "), TAG_RULES))
+    """Markdown with character references still in place.
+
+    Preformatted text keeps its lines; ordered lists keep their numbers, quotes
+    their marks, and tables get a ruler.  Lists lose their depth.
+    """
+    return strip_space(F.regexp_replace(_inside(visible(html), "pre", _preformatted, _flowing), r"\n{3,}", "\n\n"))
 
 
 def to_markdown(html: Column) -> Column:

@@ -162,6 +162,24 @@ def test_page_parts(one):
     assert [(x["title"], x["href"]) for x in links] == [("Goon", "z.htm")]
 
 
+CONVERTED = {
+    "<ol><li>one <li>two</li></ol>end": "1. one\n  2. two\n\nend",
+    "a<blockquote><p>q</p><p>r</p></blockquote>b": "a\n\n> q\n> \n> r\n\nb",
+    "x<pre class='y'>\nif a:\n    <b>b</b>\n</pre>z": "x\n\n```\nif a:\n    b\n```\n\nz",
+    "use <code>f(x)</code> now": "use `f(x)` now",
+    "<table><tr><th>A</th><th>B</th></tr>\n<tr><td>1</td><td><i>2</i></td></tr></table>t": (
+        "| A | B |\n| --- | --- |\n| 1 | _2_ |\n\nt"
+    ),
+    "<ul><li>a</li><li>b</li></ul><ol><li>c</li></ol>": "* a\n\n  * b\n\n  1. c",
+    "<pre>never closed": "```\nnever closed\n```",
+}
+
+
+@pytest.mark.parametrize("page", CONVERTED)
+def test_structure_survives_conversion(one, page):
+    assert one(html.to_markdown(C("t")), t=page) == CONVERTED[page]
+
+
 RENDERED = {
     "# T\n\nsome **bold** <x>y\nline\n\n- a\n- b\n\n[l](javascript:x) [m](/y)": (
         "<h1>T</h1>\n\n<p>some <strong>bold</strong> y\nline</p>\n\n<ul>\n<li>a</li>\n<li>b</li>\n</ul>"
