@@ -8,15 +8,17 @@ segmentation that ends there: Viterbi in a single pass.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import mapped, per_process, text_rows
+from .words import WordTable, in_portions
 
 # Fixed values of the model format: kinds of pieces, the mark of a space, the
 # penalty of an unknown character below the worst piece.
@@ -24,9 +26,11 @@ NORMAL, UNKNOWN, CONTROL, OWN, UNUSED, BYTE = range(1, 7)
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 
-# Words whose ids a worker remembers, and characters of text that are looked up at a time.
-REMEMBERED = 1_000_000
-AT_ONCE = 1 << 20
+# Words whose ids a worker remembers, characters of text that are looked up at a
+# time, and characters of words that are segmented in one go.
+REMEMBERED = 600_000
+AT_ONCE = 1 << 22
+LAID = 4000
 
 
 @dataclass(frozen=True)
@@ -83,12 +87,12 @@ class Codec:
         # Where no piece has a space mark behind another character, the best
         # segmentation of a text is that of its words, one after another.
         self.by_words = not any(SPACE in p.lstrip(SPACE) for p in usable)
-        self.words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
-        self.known: dict[str, bytes] = {}
-        kinds = vocabulary.kinds
+        self.singles = {p for p in usable if len(p) == 1}
+        self.table = WordTable(self.learn, REMEMBERED)
+        shown = {CONTROL: "", UNKNOWN: " ⁇ "}
         self.shown = [
-            None if k == BYTE else "" if k == CONTROL else " ⁇ " if k == UNKNOWN else p.replace(SPACE, " ")
-            for p, k in zip(vocabulary.pieces, kinds)
+            bytes([self.byte_of[i]]) if k == BYTE else shown.get(k, p.replace(SPACE, " ")).encode()
+            for i, (p, k) in enumerate(zip(vocabulary.pieces, vocabulary.kinds))
         ]
 
     def prepare(self, text: str) -> str:
@@ -137,52 +141,80 @@ class Codec:
             at -= size
         return ids[::-1]
 
-    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
-        """Ids as bytes of signed 32-bit integers; words met before are looked up."""
-        group, held = [], 0
-        for text in texts:
-            group.append(text)
-            held += len(text)
-            if held >= AT_ONCE:
-                yield from self._group(group)
-                group, held = [], 0
-        yield from self._group(group)
-
-    def _group(self, texts: list[str]) -> Iterator[bytes]:
-        cut = []
-        for text in texts:
-            if self.by_words and self.bytes_:
-                cut.append(self.words(self.prepare(text)))
-            else:
-                cut.append([self.prepare(text)])
-        words = set().union(*cut)
-        fresh = [w for w in words if w not in self.known]
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-            fresh = list(words)
+    def learn(self, fresh: list[str]) -> dict[str, bytes]:
+        """Ids of words, each with a space mark before it.
+
+        Words of characters that are all pieces are laid end to end and read in
+        one pass; no piece goes from one into the next.
+        """
+        learned, block, length = {}, [], 0
         for word in fresh:
-            self.known[word] = np.array(self.best(word), "<i4").tobytes()
-        find = self.known.__getitem__
-        for words in cut:
-            yield b"".join(map(find, words))
-        if not (self.by_words and self.bytes_):
-            self.known.clear()
+            if self.automaton is None or SPACE not in self.singles or not self.singles.issuperset(word):
+                learned[word] = np.array(self.best(SPACE + word), "<i4").tobytes()
+                continue
+            block.append(word)
+            length += len(word) + 1
+            if length >= LAID:
+                learned.update(zip(block, self._laid(block)))
+                block, length = [], 0
+        learned.update(zip(block, self._laid(block)))
+        return learned
+
+    def _laid(self, words: list[str]) -> list[bytes]:
+        text = "".join([SPACE + w for w in words])
+        score, back = [0.0] + [-np.inf] * len(text), [None] * (len(text) + 1)
+        at = 0
+        for at, piece in self.automaton.iter(text):
+            at += 1
+            total = score[at - piece[0]] + piece[1]
+            if total > score[at]:
+                score[at], back[at] = total, piece
+        at, ids, counts = len(text), [], []
+        for word in reversed(words):
+            start, before = at - len(word) - 1, len(ids)
+            while at > start:
+                size, _, i = back[at]
+                ids.append(i)
+                at -= size
+            counts.append(len(ids) - before)
+        data = np.array(ids[::-1], "<i4").tobytes()
+        ends = (np.cumsum(counts[::-1]) * 4).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids as bytes of signed 32-bit integers.
+
+        Words met before are looked up; texts with runs of spaces, or under a
+        vocabulary that joins words, are segmented whole.
+        """
+        simple = self.by_words and bool(self.bytes_) and self.v.dummy_prefix and not self.v.squeeze
+        for part in in_portions(texts, AT_ONCE):
+            odd = pc.match_substring_regex(part, f"^$|^ |  |{SPACE}" if simple else "")
+            found = self.table.ids(part.filter(pc.invert(odd)), " ")
+            for text, whole in zip(part, odd.to_pylist()):
+                yield np.array(self.best(self.prepare(text.as_py())), "<i4").tobytes() if whole else next(found)
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; bytes that are no text become replacement characters."""
-        parts, raw = [], bytearray()
-        for i, shown in zip(ids, map(self.shown.__getitem__, ids)):
-            if shown is None:
-                raw.append(self.byte_of[i])
-                continue
-            if raw:
-                parts.append(raw.decode("utf-8", "replace"))
-                raw = bytearray()
-            parts.append(shown)
-        parts.append(raw.decode("utf-8", "replace"))
-        text = "".join(parts)
+        return self._text(b"".join(map(self.shown.__getitem__, ids)))
+
+    def _text(self, data: bytes) -> str:
+        text = data.decode("utf-8", "replace")
         return text[1:] if self.v.dummy_prefix and text.startswith(" ") else text
 
+    def decode_all(self, lists: pa.Array) -> Iterator[str | None]:
+        """Texts of lists of ids; what the ids stand for is put in their places at once."""
+        placed = pa.array(self.shown, pa.binary()).take(lists.flatten())
+        data = memoryview(placed.buffers()[2] or b"") if len(placed) else memoryview(b"")
+        ends = np.frombuffer(placed.buffers()[1], np.int32) if len(placed) else np.zeros(1, np.int32)
+        high = 0
+        for size in pc.list_value_length(lists).to_pylist():
+            if size is None:
+                yield None
+                continue
+            low, high = high, high + size
+            yield self._text(bytes(data[ends[low] : ends[high]]))
+
 
 def codec(path: str) -> Codec:
     return per_process(f"pieces {path}", lambda: Codec(Vocabulary.read(path)))
@@ -199,11 +231,13 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         for rows in batches:
-            found = list(own.encode_all(t.as_py() for t in rows.column("text")))
-            ends = np.cumsum([0, *(len(x) // 4 for x in found)])
-            values = pa.array(np.frombuffer(b"".join(found), "<i4"))
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), ids], ["doc_id", "ids"])
+            for low in range(0, rows.num_rows, 1000):
+                part = rows.slice(low, 1000)
+                found = list(own.encode_all(part.column("text")))
+                ends = np.cumsum([0, *(len(x) // 4 for x in found)])
+                values = pa.array(np.frombuffer(b"".join(found), "<i4"))
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], ["doc_id", "ids"])
 
     return mapped(text_rows(docs, key, text), run, "doc_id long, ids array<int>")
 
@@ -215,8 +249,10 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids", name: str = "text")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         for part in batches:
-            texts = [None if x is None else own.decode(x) for x in part.column(ids).to_pylist()]
-            yield part.append_column(name, pa.array(texts, pa.string()))
+            for low in range(0, part.num_rows, 1000):
+                some = part.slice(low, 1000)
+                texts = pa.array(own.decode_all(some.column(ids)), pa.string())
+                yield some.append_column(name, texts)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     return mapped(rows, run, f"{fields}, `{name}` string")
