@@ -146,3 +146,34 @@ def index_summary(junction: DataFrame) -> DataFrame:
         F.count("*").alias("unique_verses"),
         F.sum("rows").alias("junction_rows"),
     )
+
+
+def run_report(articles: DataFrame, junction: DataFrame, unknown: DataFrame) -> DataFrame:
+    """One row on a run: articles seen, articles with citations, and rejects.
+
+    ``unknown`` are the junction rows without a known verse, of `link_verses`;
+    an article failed when any of its rows was rejected.
+    """
+    counted = (
+        articles.select(F.lit(1).alias("a"), F.lit(0).alias("c"), F.lit(0).alias("f"), F.lit(0).alias("r"))
+        .unionAll(junction.select("article_id").distinct().select(F.lit(0), F.lit(1), F.lit(0), F.lit(0)))
+        .unionAll(unknown.select("article_id").distinct().select(F.lit(0), F.lit(0), F.lit(1), F.lit(0)))
+        .unionAll(unknown.select(F.lit(0), F.lit(0), F.lit(0), F.lit(1)))
+    )
+    names = {"a": "articles_processed", "c": "articles_with_citations", "f": "articles_failed", "r": "rows_rejected"}
+    return counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(name) for c, name in names.items()])
+
+
+def warnings(unknown: DataFrame, shown: int = 20) -> DataFrame:
+    """The first rejects as messages; the last row says how many more there are.
+
+    Only as many rows as are shown come together in one task.
+    """
+    listed = unknown.orderBy("article_id", "scheme", "verse_key").limit(shown).select(
+        F.lit(0).alias("place"),
+        F.concat(F.lit("article "), "article_id", F.lit(": no "), "scheme", F.lit(" verse "), "verse_key").alias("warning"),
+    )
+    more = unknown.agg((F.count("*") - shown).alias("more")).where("more > 0").select(
+        F.lit(1).alias("place"), F.concat(F.lit("and "), F.col("more").cast("string"), F.lit(" more")).alias("warning")
+    )
+    return listed.unionAll(more)

@@ -226,6 +226,16 @@ def quality_chunks(spark, sf_dir):
     return quality.check_chunks(articles_of(spark, sf_dir), stored, TABLE_DIMENSIONS)
 
 
+@query(
+    "quality_run_verdict",
+    """SELECT (SELECT max(vec_id) % 2 = 1 FROM embeddings)
+        OR (SELECT count(*) FROM documents WHERE n_chars >= 300 AND doc_id NOT IN (SELECT vec_id FROM embeddings)) > 0
+        AS failed""",
+)
+def quality_run_verdict(spark, sf_dir):
+    return quality.run_failed(quality_chunks(spark, sf_dir))
+
+
 @query(
     "quality_verses",
     _checks_sql(

@@ -208,6 +208,36 @@ def verse_junction_rejects(spark, sf_dir):
     return index.link_verses(*_sides(spark, sf_dir))[1]
 
 
+_REJECTS = "FROM l ANTI JOIN r ON l.scheme = r.scheme AND l.verse_key = r.verse_key"
+
+
+@query(
+    "citation_run_report",
+    _sides_sql(
+        f"""SELECT (SELECT count(*) FROM orders) AS articles_processed,
+        (SELECT count(DISTINCT article_id) FROM l) AS articles_with_citations,
+        (SELECT count(DISTINCT l.article_id) {_REJECTS}) AS articles_failed,
+        (SELECT count(*) {_REJECTS}) AS rows_rejected"""
+    ),
+)
+def citation_run_report(spark, sf_dir):
+    junction, verses = _sides(spark, sf_dir)
+    articles = table(spark, sf_dir, "orders").select("o_orderkey")
+    return index.run_report(articles, junction, index.link_verses(junction, verses)[1])
+
+
+@query(
+    "citation_warnings",
+    _sides_sql(
+        f"""(SELECT 0 AS place, 'article ' || l.article_id || ': no ' || l.scheme || ' verse ' || l.verse_key AS warning
+            {_REJECTS} ORDER BY l.article_id, l.scheme, l.verse_key LIMIT 20)
+        UNION ALL (SELECT 1, 'and ' || (count(*) - 20) || ' more' {_REJECTS} HAVING count(*) > 20)"""
+    ),
+)
+def citation_warnings(spark, sf_dir):
+    return index.warnings(index.link_verses(*_sides(spark, sf_dir))[1])
+
+
 @query(
     "orphan_verses",
     _sides_sql(

@@ -6,6 +6,7 @@ library itself opens no connection.
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -61,10 +62,26 @@ def fetch_with_retries(fetch: Fetch, url: str, sleep=time.sleep) -> Page | None:
     return None
 
 
+# Bytes of a page in which its own statement of an encoding is looked for.
+DECLARED_WITHIN = 2048
+BYTE_ORDER_MARKS = ((b"\xef\xbb\xbf", "utf-8-sig"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16"))
+
+
+def page_encoding(page: Page) -> str:
+    """By the byte order mark, else the given one, else the page's own, else UTF-8."""
+    for mark, encoding in BYTE_ORDER_MARKS:
+        if page.body.startswith(mark):
+            return encoding
+    if page.encoding:
+        return page.encoding
+    declared = re.search(rb"""<meta\b[^>]*?charset\s*=\s*["']?\s*([\w.:-]+)""", page.body[:DECLARED_WITHIN], re.I)
+    return declared[1].decode("ascii", "replace") if declared else "utf-8"
+
+
 def decode_page(page: Page) -> str:
-    """Text of a page: the detected encoding, else UTF-8, broken bytes replaced."""
+    """Text of a page, broken bytes replaced; an unknown encoding counts as UTF-8."""
     try:
-        return page.body.decode(page.encoding or "utf-8", errors="replace")
+        return page.body.decode(page_encoding(page), errors="replace")
     except LookupError:
         return page.body.decode("utf-8", errors="replace")
 
@@ -127,8 +144,6 @@ def follow_list(start: str, fetch: Fetch, pages: int | None = None, sleep=time.s
     Each page names the next one, so this is a walk.  It ends at the last page, at
     a page seen before, or after ``pages`` steps where the caller asks for so many.
     """
-    import re
-
     link = re.compile(
         r"""<a\b(?=[^>]*\bblog-pager-older-link\b)[^>]*\bhref\s*=\s*["']([^"']+)["']"""
         r"""|\bid\s*=\s*["']blog-pager-older-link["'][^>]*>.*?<a\b[^>]*\bhref\s*=\s*["']([^"']+)["']""",
