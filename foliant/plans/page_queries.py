@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import html, names
 from ..operators import sections
 from ..sinks import documents as sink
+from ..sources import web
 from ..sources.tables import spread
 from .base import query, say, sql_rewrite, sql_text, table, texts
 
@@ -221,3 +222,49 @@ def page_names(spark, sf_dir):
             F.lit("https://index.example/read/list/index.htm"), say("../", F.col("page_id"), ".html")
         ).alias("url"),
     )
+
+
+@query(
+    "post_links",
+    """SELECT 'https://blog.example/?p=' || page_id || '&x=1' AS url, 'Post ' || page_id || ' & more' AS title
+    FROM pages""",
+)
+def post_links(spark, sf_dir):
+    """Every page becomes a list page with one post above its own links."""
+    page = F.col("page_id")
+    head = say(
+        '<h3 class="big post-title"><a class=x href="https://blog.example/?p=', page, '&amp;x=1">Post ', page,
+        " &amp; more</a></h3>",
+    )
+    return web.post_links(pages(spark, sf_dir).select(say(head, F.col("html")).alias("html")))
+
+
+_WORDS = r"regexp_replace(regexp_replace(translate(text, '<>&', ''), '\s+', ' ', 'g'), '^ | $', '', 'g')"
+
+
+@query(
+    "blog_posts",
+    rf"""SELECT * FROM (SELECT 'Post ' || doc_id AS title, 'https://blog.example/' || doc_id AS url, {_WORDS} AS content,
+        '2024-05-' || (doc_id % 28 + 1) AS publish_date,
+        CAST(len(string_split({_WORDS}, ' ')) AS INTEGER) AS word_count FROM documents) WHERE word_count >= 50""",
+)
+def blog_posts(spark, sf_dir):
+    """Every document as the body of a post; those with few words are left out."""
+    doc = F.col("doc_id")
+    page = say(
+        '<html><h3 class="post-title">Post ', doc, '</h3><div class="post-body"><p>',
+        F.translate("text", "<>&", ""), '</p></div><span class="published">2024-05-', doc % 28 + 1, "</span></html>",
+    )
+    made = texts(spark, sf_dir).select(say("https://blog.example/", doc).alias("url"), page.alias("html"))
+    return web.extract_posts(made).select("title", "url", "content", "publish_date", "word_count")
+
+
+@query("missing_documents", "SELECT page_id FROM pages WHERE page_id % 2 = 1")
+def missing_documents(spark, sf_dir):
+    """The documents of even pages are there."""
+    links = pages(spark, sf_dir).select(
+        "page_id", F.regexp_extract("url", "^([a-z]+):", 1).alias("folder"), F.col("page_id").alias("position"),
+        say("Page ", F.col("page_id")).alias("title"),
+    )
+    placed = sink.place(links)
+    return sink.missing_documents(placed, placed.where(F.col("page_id") % 2 == 0)).select("page_id")
