@@ -7,6 +7,7 @@ segmentation that ends there: Viterbi in a single pass.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -14,10 +15,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from .common import mapped, per_process, text_rows
+from .common import batch, mapped, per_process, text_rows
 from .words import WordTable, in_portions
 
 # Fixed values of the model format: kinds of pieces, the mark of a space, the
@@ -28,10 +28,13 @@ UNKNOWN_PENALTY = 10.0
 
 # Words whose ids a worker remembers, characters of text that are looked up at a
 # time, and characters of words that are segmented in one go.
-REMEMBERED = 600_000
-AT_ONCE = 1 << 22
+REMEMBERED = 500_000
+AT_ONCE = 1 << 21
 LAID = 4000
 
+# Rows a task holds at a time.
+ROWS_AT_ONCE = 1000
+
 
 @dataclass(frozen=True)
 class Vocabulary:
@@ -194,6 +197,11 @@ class Codec:
             for text, whole in zip(part, odd.to_pylist()):
                 yield np.array(self.best(self.prepare(text.as_py())), "<i4").tobytes() if whole else next(found)
 
+    def lists(self, texts: pa.Array) -> pa.ListArray:
+        found = list(self.encode_all(texts))
+        ends = np.cumsum([0, *(len(x) // 4 for x in found)])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))
+
     def decode(self, ids: list[int]) -> str:
         """The text of ids; bytes that are no text become replacement characters."""
         return self._text(b"".join(map(self.shown.__getitem__, ids)))
@@ -231,13 +239,11 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         for rows in batches:
-            for low in range(0, rows.num_rows, 1000):
-                part = rows.slice(low, 1000)
-                found = list(own.encode_all(part.column("text")))
-                ends = np.cumsum([0, *(len(x) // 4 for x in found)])
-                values = pa.array(np.frombuffer(b"".join(found), "<i4"))
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], ["doc_id", "ids"])
+            for low in range(0, rows.num_rows, ROWS_AT_ONCE):
+                part = rows.slice(low, ROWS_AT_ONCE)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), own.lists(part.column("text"))], ["doc_id", "ids"]
+                )
 
     return mapped(text_rows(docs, key, text), run, "doc_id long, ids array<int>")
 
@@ -249,8 +255,8 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids", name: str = "text")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         for part in batches:
-            for low in range(0, part.num_rows, 1000):
-                some = part.slice(low, 1000)
+            for low in range(0, part.num_rows, ROWS_AT_ONCE):
+                some = part.slice(low, ROWS_AT_ONCE)
                 texts = pa.array(own.decode_all(some.column(ids)), pa.string())
                 yield some.append_column(name, texts)
 
@@ -258,12 +264,22 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids", name: str = "text")
     return mapped(rows, run, f"{fields}, `{name}` string")
 
 
-def checked(encoded: DataFrame, model: str) -> DataFrame:
-    """``doc_id``, ``n_tokens``, ``ids`` and the hash of the text they decode to."""
-    return decode(encoded, model, name="decoded").select(
-        "doc_id", F.size("ids").alias("n_tokens"), "ids", _sha(F.col("decoded")).alias("decoded_sha256")
-    )
-
+def round_trip(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id``, ``n_tokens``, ``ids`` and the SHA-256 of the text the ids decode to, in one pass."""
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("n_tokens", pa.int32()), ("ids", pa.list_(pa.int32())), ("decoded_sha256", pa.string())]
+    )
 
-def _sha(text: Column) -> Column:
-    return F.sha2(F.encode(text, "UTF-8"), 256)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(model)
+        for rows in batches:
+            for low in range(0, rows.num_rows, ROWS_AT_ONCE):
+                part = rows.slice(low, ROWS_AT_ONCE)
+                ids = own.lists(part.column("text"))
+                marks = [hashlib.sha256(t.encode()).hexdigest() for t in own.decode_all(ids)]
+                counts = pc.list_value_length(ids)
+                yield batch(schema, part.column("doc_id"), counts, ids, marks)
+
+    return mapped(
+        text_rows(docs, key, text), run, "doc_id long, n_tokens int, ids array<int>, decoded_sha256 string"
+    )

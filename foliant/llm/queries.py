@@ -121,4 +121,4 @@ def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and the hash of the text they decode to."""
-    return pieces.checked(pieces.encode(table(spark, sf_dir, "documents"), piece_bpe()), piece_bpe())
+    return pieces.round_trip(table(spark, sf_dir, "documents"), piece_bpe())

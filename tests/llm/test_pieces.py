@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -73,6 +74,8 @@ def test_round_trip_of_edge_rows(spark):
     found = pieces.decode(encoded, PATH).collect()
     assert sorted((repr(r.doc_id), r.text) for r in found) == sorted((repr(i), t or "") for i, t in EDGE)
     assert all(r.ids == [] for r in found if not r.text)
+    checked = {(r.doc_id, r.n_tokens, r.decoded_sha256) for r in pieces.round_trip(documents(spark, EDGE), PATH).collect()}
+    assert checked == {(r.doc_id, len(r.ids), hashlib.sha256(r.text.encode()).hexdigest()) for r in found}
     nulls = spark.createDataFrame([(1, None, "old")], "doc_id long, ids array<int>, text string")
     assert pieces.decode(nulls, PATH).first() == (1, None, None)
     assert pieces.encode(documents(spark, []), PATH).count() == 0
