@@ -37,8 +37,8 @@ SKIPPABLE, SEEK_MAGIC, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 INDEX_FRAME = 0x184D2A50
 
 # Words whose ids a worker remembers, and characters of text that are looked up at a time.
-REMEMBERED = 1_500_000
-AT_ONCE = 1 << 22
+REMEMBERED = 600_000
+AT_ONCE = 1 << 21
 
 # White space, as Unicode has it.
 WHITE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -61,7 +61,7 @@ class Encoder:
     texts, and those with a special token's string, go to the tokenizer whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -70,7 +70,7 @@ class Encoder:
         self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
         # What a text may not hold to be cut, strings with a meaning of their own among it.
         self.odd = "|".join([WHITE + WHITE, r"[^\pL\pN][.,]", r"\x00", *map(re.escape, specials)])
-        self.table = WordTable(self.learn, REMEMBERED)
+        self.table = WordTable(self.learn, remembered)
 
     def whole(self, texts: Sequence[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
@@ -108,18 +108,26 @@ class Encoder:
                 yield self.whole([text.as_py()])[0] if whole else next(found)
 
 
-def encoder(path: str) -> Encoder:
-    return per_process(f"tokens {path}", lambda: Encoder(path))
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
+    return per_process(f"tokens {path} {remembered}", lambda: Encoder(path, remembered))
 
 
 def token_counts(
-    docs: DataFrame, tokenizer: str, end: int = 1, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    tokenizer: str,
+    end: int = 1,
+    key: str = "doc_id",
+    text: str = "text",
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
-    """``doc_id`` and ``n_tokens`` of every row, ``end`` added to each; nulls count as empty."""
+    """``doc_id`` and ``n_tokens`` of every row, ``end`` added to each; nulls count as empty.
+
+    A worker keeps the ids of ``remembered`` words; fewer save memory and cost time.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, remembered)
         for rows in batches:
             counts = [len(x) // 4 + end for x in encode(rows.column("text"))]
             yield batch(schema, rows.column("doc_id"), counts)

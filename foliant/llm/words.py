@@ -50,4 +50,5 @@ def in_portions(texts: pa.Array, most: int) -> Iterator[pa.Array]:
         before = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
         yield texts.slice(start, stop - start)
+        pa.default_memory_pool().release_unused()
         start = stop
