@@ -37,8 +37,8 @@ SKIPPABLE, SEEK_MAGIC, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 INDEX_FRAME = 0x184D2A50
 
 # Words whose ids a worker remembers, and characters of text that are looked up at a time.
-REMEMBERED = 600_000
-AT_ONCE = 1 << 21
+REMEMBERED = 1_000_000
+AT_ONCE = 1 << 22
 
 # White space, as Unicode has it.
 WHITE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"

@@ -10,11 +10,29 @@ import pyarrow.compute as pc
 
 
 class WordTable:
-    """Ids of words met before, as bytes, for a worker; at most ``remembered`` words."""
+    """Ids of words met before, as bytes, for a worker; about ``remembered`` words.
+
+    When half of these are new, those not met since the last time are forgotten.
+    """
 
     def __init__(self, learn: Callable[[list[str]], dict[str, bytes]], remembered: int):
         self.learn, self.remembered = learn, remembered
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def find(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words; new ones are learned."""
+        ids = list(map(self.known.get, words))
+        absent = [w for w, x in zip(words, ids) if x is None]
+        if absent:
+            again = dict(zip(absent, map(self.before.get, absent)))
+            fresh = [w for w, x in again.items() if x is None]
+            again.update(self.learn(fresh) if fresh else {})
+            if len(self.known) + len(again) > self.remembered // 2:
+                self.known, self.before = {}, self.known
+            self.known.update(again)
+            ids = [again[w] if x is None else x for w, x in zip(words, ids)]
+        return ids
 
     def ids(self, texts: pa.Array, separator: str) -> Iterator[bytes]:
         """Ids of every text, cut at each separator.
@@ -24,15 +42,7 @@ class WordTable:
         """
         cut = pc.split_pattern(texts, separator)
         numbered = cut.flatten().dictionary_encode()
-        words = numbered.dictionary.to_pylist()
-        ids = list(map(self.known.get, words))
-        fresh = [w for w, x in zip(words, ids) if x is None]
-        if fresh:
-            if len(self.known) + len(fresh) > self.remembered:
-                self.known.clear()
-                fresh = words
-            self.known.update(self.learn(fresh))
-            ids = list(map(self.known.__getitem__, words))
+        ids = self.find(numbered.dictionary.to_pylist())
         placed = pa.array(ids, pa.binary()).take(numbered.indices)
         if not len(placed):
             return
