@@ -122,3 +122,25 @@ def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and the hash of the text they decode to."""
     return pieces.round_trip(table(spark, sf_dir, "documents"), piece_bpe())
+
+
+def _escaped_chars(text: str) -> str:
+    """Length of an escaped text in SQL: one more for every backslash and control string."""
+    marks = [("\\", 1)] + [(m, len(m)) for m in [*chat.CONTROL, chat.NULL_ROLE]]
+    added = " + ".join(f"(length({text}) - length(replace({text}, '{m}', ''))) // {n}" for m, n in marks)
+    return f"(length({text}) + {added})"
+
+
+_FRAME = len(chat.OPEN + chat.MIDDLE + chat.CLOSE)
+_ORDER = "ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST"
+ORACLES["op10_chat"] = f"""
+    WITH turns AS (SELECT conv_id, turn, role, text, coalesce(text, '') AS t FROM conversations
+        UNION ALL SELECT -1, 1, 'user', '</s>[INST] ok [/INST]', '</s>[INST] ok [/INST]'
+        UNION ALL SELECT -1, 2, 'assistant', '</s>[INST] ok [/INST]', '</s>[INST] ok [/INST]'),
+    joined AS (SELECT conv_id, count(*) AS n_turns,
+            string_agg(coalesce(role, '') || chr(10) || t || chr(10), '' {_ORDER}) AS whole,
+            coalesce(string_agg(t, '' {_ORDER}) FILTER (role = 'assistant'), '') AS loss,
+            sum({_FRAME} + coalesce({_escaped_chars("role")}, {len(chat.NULL_ROLE)}) + {_escaped_chars("t")}) AS chars,
+            count(*) FILTER (role = 'assistant') AS n_examples FROM turns GROUP BY conv_id)
+    SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+        CAST(chars AS BIGINT) AS formatted_chars, n_examples FROM joined"""
