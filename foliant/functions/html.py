@@ -46,6 +46,13 @@ TAG_RULES = [
     (r"\n{3,}", "\n\n"),
 ]
 
+# Rules for tables that nest or leave cells open: an opening cell parts it from the one before.
+OPEN_CELL_RULES = [
+    (r"(?i)(<tr\b[^>]*> ?)<t[dh]\b[^>]*> ?", "$1"),
+    (r"(?i)</t[dh] *> ?(?=<t[dh]\b)", ""),
+    (r"(?i) ?<t[dh]\b[^>]*> ?", " | "),
+]
+
 # Main-area selectors by priority, link titles and schemes to skip.
 AREA_SELECTORS = ("article", "main", ".content", "#content", ".article", "td[width]", "body")
 SKIPPED_TITLES = ("", "home", "back", "top")
@@ -152,7 +159,7 @@ def _inside(html: Column, tag: str, inner, outer=lambda part: part) -> Column:
     """``inner`` of what stands between the tags of an element, ``outer`` of the rest; elements do not nest."""
     cut = F.split(html, rf"(?i) ?<{tag}\b[^>]*> ?| ?</{tag}{_S}*> ?")
     parts = F.transform(cut, lambda part, i: F.when(i % 2 == 1, inner(part)).otherwise(outer(part)))
-    return F.when(html.rlike(rf"(?i)<{tag}\b"), F.array_join(parts, "")).otherwise(outer(html))
+    return F.array_join(parts, "")
 
 
 def _numbered_items(items: Column) -> Column:
@@ -184,10 +191,35 @@ def _table_rows(rows: Column) -> Column:
     return let(F.filter(found, lambda r: r["n"] > 0), laid)
 
 
+def _in_turn(html: Column, tag: str) -> Column:
+    """An opening and a closing mark for each such tag, in order."""
+    return F.array_join(F.regexp_extract_all(html, F.lit(rf"(?i)(</?){tag}\b"), F.lit(1)), "")
+
+
+def _tables(html: Column) -> Column:
+    """Tables as rows between bars; tables that nest, or have open cells, keep all text by the plain rules."""
+
+    def rows(part: Column) -> Column:
+        def laid(p: Column) -> Column:
+            last = F.transform(F.split(p, r"(?i) ?</tr *> ?"), lambda row: F.regexp_replace(row, r"(?is)\A.*</t[dh] *>", ""))
+            behind = F.regexp_replace(F.array_join(last, ""), r"<[^>]*>", "")
+            bars = F.when(behind.rlike(rf"\A{_S}*+\z"), _table_rows(p))
+            plain = F.concat(F.lit("\n\n"), rewrite(p, OPEN_CELL_RULES), F.lit("\n\n"))
+            return F.coalesce(F.when(_in_turn(p, "t[dh]").rlike(r"\A(?:<</)*+\z"), bars), plain)
+
+        return let(part, laid)
+
+    # The last table may be open.
+    def laid(text: Column) -> Column:
+        apart = _in_turn(text, "table").rlike(r"\A(?:<</)*+<?\z")
+        return F.when(apart, _inside(text, "table", rows)).otherwise(rewrite(text, OPEN_CELL_RULES))
+
+    return let(html, laid)
+
+
 def _blocks(html: Column) -> Column:
     """Markdown of a part without line breaks of its own."""
-    tables = _inside(html, "table", _table_rows)
-    return rewrite(_inside(tables, "ol", _numbered_items), TAG_RULES)
+    return let(_tables(html), lambda tables: rewrite(_inside(tables, "ol", _numbered_items), TAG_RULES))
 
 
 def _quoted(html: Column) -> Column:

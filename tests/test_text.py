@@ -180,6 +180,24 @@ def test_structure_survives_conversion(one, page):
     assert one(html.to_markdown(C("t")), t=page) == CONVERTED[page]
 
 
+LAYOUT = {
+    "<table><tr><td>article text<table><tr><td>in</td></tr></table>more</td></tr></table>end": "article text in more end",
+    "<table><tr><td>one<td>two<tr><td>three<td>four</table>end": "one two three four end",
+    "<table><tr><th>A</th><th>B<tr><td>1</td><td>2</td></tr></table>": "A B 1 2",
+    "<table><tr><td>a</td>behind</tr><tr><td>b</td></tr>last</table>": "a behind b last",
+    "<table><tr><td>before<blockquote>quoted</blockquote>after</td></tr></table>": "before quoted after",
+    "<td width=9>area<table><tr><td>x</td></tr></table>rest</td></tr></table>foot": "area x rest foot",
+    "<table><tr><td>a</td></tr></table>b<table><tr><td>c": "a b c",
+    "<table><tr><td>a</td><td>left": "a left",
+}
+
+
+@pytest.mark.parametrize("page", LAYOUT)
+def test_layout_tables_keep_their_text(one, page):
+    found = one(html.to_markdown(C("t")), t=page)
+    assert " ".join(w for w in found.split() if w.strip("|->")) == LAYOUT[page]
+
+
 RENDERED = {
     "# T\n\nsome **bold** <x>y\nline\n\n- a\n- b\n\n[l](javascript:x) [m](/y)": (
         "<h1>T</h1>\n\n<p>some <strong>bold</strong> y\nline</p>\n\n<ul>\n<li>a</li>\n<li>b</li>\n</ul>"
