@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, imatch, neighbours, packing, pieces, quality, repeats, simhash, tokens, toxicity
+from . import align, bins, chat, hard_negatives, imatch, neighbours, packing, pieces, quality, repeats, simhash, tokens, toxicity
 from .common import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,6 +124,47 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), piece_bpe())
 
 
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of tokens of two tokenizers that cover the same bytes, for every document."""
+    return align.align(table(spark, sf_dir, "documents"), byte_bpe(), piece_bpe())
+
+
+@query
+def op12_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequence and offset of every piece of every document, and the checksum of its ids."""
+    packed = bins.pack(table(spark, sf_dir, "documents"), byte_bpe())
+    return packed.select(
+        "doc_id", "piece", "start", F.col("length").cast("long").alias("length"),
+        F.crc32("ids").alias("ids_crc32"), "sequence_id", F.col("offset").cast("long").alias("offset"),
+    )
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each of five positives of every hundredth vector."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), "vec_id % 100 = 0")
+
+
+ORACLES["op13_hard_negatives"] = """
+    WITH usable AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike,
+            CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+        FROM usable a JOIN usable b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+    positives AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE alike
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+    SELECT p.anchor_id, positive_id,
+        row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS rank,
+        other_id AS negative_id, positive_score, score AS negative_score
+    FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT alike
+        AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10"""
+
+
 def _escaped_chars(text: str) -> str:
     """Length of an escaped text in SQL: one more for every backslash and control string."""
     marks = [("\\", 1)] + [(m, len(m)) for m in [*chat.CONTROL, chat.NULL_ROLE]]
