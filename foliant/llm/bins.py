@@ -74,10 +74,11 @@ def _best_two(left: np.ndarray, smallest: int, gap: int) -> tuple[int, int] | No
 def best_two_fit(counts: dict[int, int], room: int) -> list[Filling]:
     """Fillings that hold ``counts[length]`` pieces of every length once.
 
-    A filling stays possible until one of its lengths runs short, and is repeated
-    so many times.  After that fewer pieces of that length are left than one
-    sequence held of them, and at most half as many each further time; so there are at
-    most about two and a half fillings per token of ``room``, whatever the input.
+    The next sequence is filled alike as long as the pieces are left that were put in, the
+    one that was taken out again among them; so a filling is repeated until one of these lengths
+    runs short.  Then no more of it are left than fit into a sequence, and at most half as many
+    each further time; so there are at most about two and a half fillings per token of
+    ``room``, whatever the input.
     """
     left = np.zeros(room + 1, np.int64)
     for length, n in counts.items():
@@ -86,14 +87,16 @@ def best_two_fit(counts: dict[int, int], room: int) -> list[Filling]:
     while left.any():
         before = left.copy()
         inside = _fill(left, room)
+        needed = before - left
         if len(inside) > 1 and sum(inside) < room:
             smallest = inside[-1]
             pair = _best_two(left, smallest, room - sum(inside) + smallest)
             if pair:
                 inside[-1:] = pair
+                needed = needed + np.bincount(pair, minlength=room + 1)
         taken = np.bincount(inside, minlength=room + 1)
         used = taken > 0
-        times = int((before[used] // taken[used]).min())
+        times = int(((before[used] - needed[used]) // taken[used]).min()) + 1
         left = before - taken * times
         fillings.append(Filling(tuple(sorted(inside, reverse=True)), times))
     return fillings
