@@ -2,9 +2,10 @@ import corpus_pipeline as cp
 import pytest
 from samples import EDGE, documents, words
 from test_repeats import plain_ranges
-from test_simhash import near_copies, plain_groups
+from test_simhash import near_copies
+from test_similar import plain_roots
 
-from foliant.llm import queries, simhash
+from foliant.llm import packing, queries, tokens
 
 DATA = "/root/testdata/sf0.01"
 
@@ -15,10 +16,12 @@ def test_stages_are_the_five_in_order():
 
 def test_near_duplicates_keep_one_row_of_each_group(spark):
     rows = [r for r in EDGE if r[0] is not None] + near_copies()
-    groups = plain_groups(rows, simhash.Setup())
+    least = {}
+    for (doc_id, _), root in zip(rows, plain_roots(rows)):
+        least[root] = min(doc_id, least.get(root, doc_id))
     found = cp.near_duplicate_stage(spark, documents(spark, rows), "")
     assert found.columns == cp.COLUMNS
-    assert sorted(r.doc_id for r in found.collect()) == sorted(set(groups))
+    assert sorted(r.doc_id for r in found.collect()) == sorted(least.values())
     # A null id stays only where no other row of the group has an id.
     nulls = documents(spark, [(None, "one two three four five six"), (9, "one two three four five six"),
                               (None, "alone in here"), (None, "alone in here")])
@@ -55,8 +58,17 @@ def test_repeated_passages_are_cut(spark):
 def test_every_stage_takes_any_rows(spark, rows):
     for name, stage in cp.STAGES:
         found = stage(spark, documents(spark, rows), DATA)
-        assert name == "packing" or found.columns == cp.COLUMNS
-        assert found.count() <= max(len(rows), found.count() if name == "packing" else 0)
+        if name != "packing":
+            assert found.columns == cp.COLUMNS and found.count() <= len(rows)
+            continue
+        encode = tokens.encoder(queries.byte_bpe())
+        wanted = sorted(len(encode.whole([t or ""])[0]) // 4 + 1 for _, t in rows)
+        inside = {}
+        for r in found.collect():
+            assert r.start == r.piece * packing.Plan().max_length and r.length <= r.padded
+            inside.setdefault((r.doc_id, r.piece), []).append(r.length)
+        assert sum(map(sum, inside.values())) == sum(wanted)
+        assert sum(len(n) for (_, piece), n in inside.items() if piece == 0) == len(rows)
 
 
 def test_filters_follow_their_scores_and_keep_clean_documents(spark):
