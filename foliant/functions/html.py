@@ -294,103 +294,3 @@ def external_stub(title: Column, url: Column) -> Column:
         F.lit("# "), title, F.lit("\n\n**External Link:** ["), url, F.lit("]("), url,
         F.lit(")\n\nThis article is hosted on an external website.\n"),
     )
-
-
-# Raw tags are dropped; text between them stays, that of scripts and styles goes.
-_RAW = [
-    (r"<(https?://[^>\s]+)>", "[$1]($1)"),
-    (r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|</?[a-z][^>]*>", ""),
-]
-
-# Escapes before markdown becomes HTML again.
-_HTML_ESCAPES = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")]
-
-# Rules for lines that form blocks, then for marks inside lines, then paragraphs.
-# Short tags of one's own stand for list items and quoted lines until their
-# neighbours are known.
-BLOCK_RULES = [
-    *[(rf"(?md)^{'#' * n} ++([^\n]*[^ \n]) *+$", f"<h{n}>$1</h{n}>") for n in range(1, 7)],
-    (r"(?md)^(?:---|\*\*\*|___)$", "<hr>"),
-    (r"(?md)^&gt; ?(.*)$", "<q>$1</q>", "&gt;"),
-    (r"(?<!</q>\n)<q>", "<blockquote>\n<q>", "<q>"),
-    (r"</q>(?!\n<q>)", "</q>\n</blockquote>", "</q>"),
-    (r"</q>\n<q>", "\n", "<q>"),
-    (r"<(/?)q>", "<$1p>", "q>"),
-    (r"(?<!</tr>\n)<tr>", "<table>\n<tr>", "<tr>"),
-    (r"</tr>(?!\n<tr>)", "</tr>\n</table>", "</tr>"),
-    # Items: u and o are kinds of lists; l and p mark nested ones, below u and below o.
-    (r"(?md)^(?: {2,}|\t)[*-] +(.+)$", "<lu>$1</lu>"),
-    (r"(?md)^(?: {2,}|\t)\d{1,9}[.)] +(.+)$", "<lo>$1</lo>"),
-    (r"(?md)^[*-] +(.+)$", "<ui>$1</ui>"),
-    (r"(?md)^\d{1,9}[.)] +(.+)$", "<oi>$1</oi>"),
-    (r"(</oi>\n|\G(?!\A))<l([uo])>([^\n]*)</l[uo]>(\n?)", "$1<p$2>$3</p$2>$4", "<l"),
-    (r"(?<!</l[uo]>\n)<l([uo])>", "<$1l>\n<l$1>", "<l"),
-    (r"</l([uo])>(?!\n<l[uo]>)", "</l$1>\n</$1l></ui>", "</l"),
-    (r"(?<!</p[uo]>\n)<p([uo])>", "<$1l>\n<p$1>", "<p"),
-    (r"</p([uo])>(?!\n<p[uo]>)", "</p$1>\n</$1l></oi>", "</p"),
-    (r"</[uo]i>\n<([uo])l>\n(?=<[lp][uo]>)", "\n<$1l>\n", "l>"),
-    (r"(?<!</ui>\n)<ui>", "<ul>\n<ui>", "<ui>"),
-    (r"</ui>(?!\n<ui>)", "</ui>\n</ul>", "</ui>"),
-    (r"(?<!</oi>\n)<oi>", "<ol>\n<oi>", "<oi>"),
-    (r"</oi>(?!\n<oi>)", "</oi>\n</ol>", "</oi>"),
-    (r"<(/?)(?:[uo]i|[lp][uo])>", "<$1li>"),
-]
-INLINE_RULES = [
-    (r"`([^`\n]+)`", "<code>$1</code>", "`"),
-    (r"(?: {2,}|\\)\n(?=[^\n<])", "<br>\n"),
-    (r"\*\*([^*\n]+)\*\*", "<strong>$1</strong>", "**"),
-    (r"\*([^*\n]+)\*", "<em>$1</em>", "*"),
-    (r"(?<![\w])_([^_\n]+)_(?![\w])", "<em>$1</em>", "_"),
-    (r"~~([^~\n]+)~~", "<del>$1</del>", "~~"),
-    (r"!\[([^\]\n]*)\]\(((?:https?://|/)[^)\s]*)\)", '<img src="$2" alt="$1">', "!["),
-    (r"!\[([^\]\n]*)\]\([^)\n]*\)", "$1", "!["),
-    (r"\[([^\]\n]+)\]\(((?:https?://|mailto:|/|#)[^)\s]*)\)", '<a href="$2">$1</a>', "]("),
-    (
-        r"(?s)(?:\A\n*|(?<=\n\n))(?!\n|<(?:h[1-6]|hr|ul|ol|table|blockquote)>|\z)(.+?)(?=\n\n|\n*\z)",
-        "<p>$1</p>",
-    ),
-]
-
-# A row of bars and dashes between a table's head and its body.
-_RULER = r"^\|[ :|-]*-[ :|-]*\|$"
-
-
-def _table_lines(text: Column) -> Column:
-    """Lines between bars as table rows; the one above a ruler is a head, the ruler goes."""
-
-    def row(line: Column, tag: str) -> Column:
-        cells = F.regexp_replace(F.regexp_replace(line, r"^\| *| *\|$", ""), r" *\| *", f"</{tag}><{tag}>")
-        return F.concat(F.lit(f"<tr><{tag}>"), cells, F.lit(f"</{tag}></tr>"))
-
-    def lines_of(lines: Column) -> Column:
-        def one(line: Column, i: Column) -> Column:
-            below, above = F.get(lines, i + 1), F.when(i > 0, F.get(lines, i - 1))
-            barred = line.rlike(r"^\|.*\|$")
-            head = barred & F.coalesce(below.rlike(_RULER), F.lit(False))
-            ruler = line.rlike(_RULER) & F.coalesce(above.rlike(r"^\|.*\|$"), F.lit(False))
-            return F.when(ruler, F.lit(None)).when(head, row(line, "th")).when(barred, row(line, "td")).otherwise(line)
-
-        return F.array_join(F.transform(lines, one), "\n")
-
-    return F.when(F.contains(text, F.lit("|")), let(F.split(text, "\n"), lines_of)).otherwise(text)
-
-
-def _render_part(markdown: Column) -> Column:
-    escaped = rewrite(rewrite(markdown, _RAW), _HTML_ESCAPES)
-    return rewrite(rewrite(_table_lines(escaped), BLOCK_RULES), INLINE_RULES)
-
-
-def render_html(markdown: Column) -> Column:
-    """HTML of an article body: headings, lists of two depths, quotes, tables, code, images, links.
-
-    Raw tags and targets that are no web address are dropped.  Fenced code is
-    taken out first; its text is escaped and nothing else.
-    """
-    fence = r"(?m)^```[^\n]*\n?"
-
-    def part(text: Column, i: Column) -> Column:
-        code = F.concat(F.lit("<pre><code>"), rewrite(text, _HTML_ESCAPES), F.lit("</code></pre>"))
-        return F.when(i % 2 == 1, code).otherwise(_render_part(text))
-
-    cut = F.array_join(F.transform(F.split(markdown, fence), part), "")
-    return F.when(F.contains(markdown, F.lit("```")), cut).otherwise(_render_part(markdown))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import header, html, names, text
+from ..functions import blocks, header, names, text
 from ..functions.patterns import WEB_SPACE
 from .collisions import resolve_slugs
 
@@ -32,7 +32,7 @@ def parse_files(files: DataFrame) -> DataFrame:
         names.category_slug(folder).alias("category_slug"),
         "source_url",
         "content",
-        html.render_html(F.col("content")).alias("content_html"),
+        blocks.rendered("content").alias("content_html"),
         "word_count",
         F.col("path").alias("file_path"),
         names.article_order(name).alias("article_order"),

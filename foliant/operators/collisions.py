@@ -16,32 +16,39 @@ def shared_slugs(
 
     Every member gets its order number as suffix, `duplicate` without one; the
     second and later members of the same suffix get a running number as well,
-    in path order.  A slug made so that is natural elsewhere, or was made for an
-    earlier path too, gets the next running number that is free.
+    in path order.  Numbers whose slug is natural elsewhere, or is the first slug of
+    another suffix, are left out.
+
+    The free numbers are counted and not tried: with j - 1 taken numbers below it, the
+    taken number n stands behind n - j free ones, so a member's number is its place among
+    members and taken numbers put in that order.  The number of jobs does not
+    depend on how many slugs conflict.
     """
     narrow = staged(df.select(slug, order, path), "slugs")
     counted = narrow.groupBy(slug).agg(F.count("*").alias("_members"))
     members = narrow.join(counted.where("_members > 1").select(slug), slug, "left_semi")
-    placed = numbered(members, [slug, order], [path], "_nth")
     suffix = F.when(F.col(order) > 0, F.format_string("%03d", F.col(order))).otherwise("duplicate")
-    base = F.concat(F.col(slug), F.lit("-"), suffix)
-    open_ = placed.select(path, base.alias("_base"), F.col("_nth"))
-    made = open_.withColumn("unique_slug", _running(F.col("_base"), F.col("_nth")))
-    natural = counted.where("_members = 1").select(F.col(slug).alias("unique_slug"))
-    # Conflicts are rare: each round looks at those of the round before.
-    while True:
-        made = staged(made, "unique-slugs")
-        # The first path keeps a slug that several got; none keeps a natural one.
-        first = made.groupBy("unique_slug").agg(F.min(path).alias("_first"))
-        held = first.join(natural, "unique_slug", "left_anti")
-        kept = held.select("unique_slug", F.col("_first").alias(path))
-        lost = made.join(kept, ["unique_slug", path], "left_anti")
-        if lost.isEmpty():
-            return made.select(path, "unique_slug")
-        moved = lost.withColumn("_nth", F.col("_nth") + 1).withColumn(
-            "unique_slug", _running(F.col("_base"), F.col("_nth"))
-        )
-        made = made.join(kept, ["unique_slug", path], "left_semi").unionByName(moved)
+    based = members.select(path, F.concat(F.col(slug), F.lit("-"), suffix).alias("_base"))
+    placed = numbered(based, ["_base"], [path], "_nth")
+    taken = _taken(counted.where("_members = 1").select(slug), placed.select("_base").distinct())
+    if not taken.isEmpty():
+        ranked = numbered(taken, ["_base"], ["_n"], "_j")
+        ahead = ranked.select("_base", F.lit(None).cast("string").alias(path), (F.col("_n") - F.col("_j")).alias("_key"), F.lit(1).alias("_kind"))
+        both = placed.select("_base", path, F.col("_nth").alias("_key"), F.lit(0).alias("_kind")).unionByName(ahead)
+        placed = numbered(both, ["_base"], ["_key", "_kind"], "_nth").where("_kind = 0")
+    return placed.select(path, _running(F.col("_base"), F.col("_nth")).alias("unique_slug"))
+
+
+def _taken(natural: DataFrame, bases: DataFrame) -> DataFrame:
+    """Numbers that are not free: ``_base`` and ``_n``, which is 1 for the base itself."""
+    slugs = natural.toDF("_slug")
+    whole = slugs.select(F.col("_slug").alias("_base"), F.lit(1).cast("bigint").alias("_n"))
+    every = slugs.unionAll(bases.toDF("_slug"))
+    parts = r"^(.*)-([1-9][0-9]{0,17})$"
+    numbers = every.select(
+        F.regexp_extract("_slug", parts, 1).alias("_base"), F.expr(f"try_cast(regexp_extract(_slug, r'{parts}', 2) AS bigint)").alias("_n")
+    )
+    return whole.unionAll(numbers.where("_n > 1")).join(bases, "_base", "left_semi").distinct()
 
 
 def _running(base, nth):

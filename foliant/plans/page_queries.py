@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import html, names
+from ..functions import blocks, html, names
 from ..operators import sections
 from ..sinks import documents as sink
 from ..sources import web
@@ -198,17 +198,70 @@ _BLOCKS_HTML = (
 )
 
 
+_ESCAPED = "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+def _starred():
+    """The text with its stars escaped, so that each stays what it is."""
+    return F.replace("text", F.lit("*"), F.lit("\\*"))
+
+
+def _rendered(spark, sf_dir, *parts):
+    made = texts(spark, sf_dir).select("doc_id", "text", say(*parts).alias("made"))
+    return made.select("doc_id", blocks.rendered("made").alias("html"))
+
+
 @query(
     "article_render",
-    rf"""SELECT doc_id, '<h1>Title ' || doc_id || E'</h1>\n\n<p>' || replace(replace(replace(
-            regexp_replace(text, '[*_~`]', '', 'g'), '&', '&amp;'), '<', '&lt;'), '>', '&gt;')
-        || E'</p>\n\n' || {sql_text(_BLOCKS_HTML)} AS html FROM documents""",
+    rf"""SELECT doc_id, '<h1>Title ' || doc_id || E'</h1>\n\n<p>' || {_ESCAPED} || E'</p>\n\n'
+        || {sql_text(_BLOCKS_HTML)} AS html FROM documents""",
 )
 def article_render(spark, sf_dir):
-    """Marks of emphasis are taken out of the texts, and a block of every kind is added."""
-    plain = F.regexp_replace("text", r"[*_~`]", "")
-    made = say("# Title ", F.col("doc_id"), "\n\n", plain, _BLOCKS)
-    return texts(spark, sf_dir).select("doc_id", html.render_html(made).alias("html"))
+    """A block of every kind behind every text."""
+    return _rendered(spark, sf_dir, "# Title ", F.col("doc_id"), "\n\n", _starred(), _BLOCKS)
+
+
+@query(
+    "article_marks",
+    rf"""SELECT doc_id, '<p><strong>' || {_ESCAPED} || ' <em>in ' || doc_id || '</em> it</strong> <code>a*'
+        || replace({_ESCAPED}, chr(10), ' ') || '*c</code> <a href="https://h.example/_' || doc_id
+        || '_/">x <em>y</em></a> <a href="https://h.example/a_(' || doc_id || ')">p</a> 2 * 3 ** 4 snake_' || doc_id
+        || '_case <del>' || {_ESCAPED} || '</del> <em>a <a href="/c">b*</a> <strong>d</strong></em></p>' AS html
+    FROM documents""",
+)
+def article_marks(spark, sf_dir):
+    """Marks inside each other around every text; code and targets keep the signs they have."""
+    doc, text = F.col("doc_id"), _starred()
+    return _rendered(
+        spark, sf_dir, "**", text, " *in ", doc, "* it** `a*", F.col("text"), "*c` [x *y*](https://h.example/_", doc,
+        "_/) [p](https://h.example/a_(", doc, ")) 2 * 3 ** 4 snake_", doc, "_case ~~", text, "~~ *a [b*](/c) **d***",
+    )
+
+
+_ITEMS = rf"replace({_ESCAPED}, chr(10), E'</li>\n<li>')"
+
+
+@query(
+    "article_containers",
+    rf"""SELECT doc_id, E'<h1>Title</h1>\n\n<ul>\n<li>a\n<ul>\n<li>b\n<ol>\n<li>c\n<ul>\n<li>'
+        || {_ITEMS} || E'</li>\n</ul></li>\n<li>d</li>\n</ol></li>\n</ul></li>\n<li>e\nlazy</li>\n</ul>\n\n<ol start="' || (doc_id + 2) || E'">\n<li><p>f</p>'
+        || E'\n<blockquote>\n<p>' || {_ESCAPED} || E'</p>\n<blockquote>\n<ul>\n<li>g\n<ul>\n<li>' || {_ITEMS}
+        || E'</li>\n</ul></li>\n</ul>\n</blockquote>\n</blockquote>\n<pre><code>h *i*\n\n&lt;j&gt;\n</code></pre></li>\n'
+        || E'<li><p>k</p></li>\n</ol>\n\n<h2>Sub</h2>\n\n<p>l</p>' AS html FROM documents""",
+)
+def article_containers(spark, sf_dir):
+    """Lists and quotes inside each other, with every line of a text as an item or in a quote."""
+    text = _starred()
+
+    def lines(before: str):
+        return F.replace(text, F.lit("\n"), F.lit("\n" + before))
+
+    return _rendered(
+        spark, sf_dir, "Title\n===\n\n- a\n  - b\n    1) c\n       - ", lines("       - "), "\n    9) d\n- e\nlazy\n\n",
+        F.format_string("%06d. f\n        > ", F.col("doc_id") + 2), lines("        > "),
+        "\n        >\n        > > - g\n        > >   - ", lines("        > >   - "),
+        "\n\n        ```\n        h *i*\n\n        <j>\n        ```\n\n2. k\n\nSub\n---\nl",
+    )
 
 
 @query(

@@ -1,5 +1,8 @@
 """Ranking, keyed tables, collisions and quality checks."""
 
+import random
+from collections import Counter
+
 import random
 
 import pytest
@@ -180,3 +183,47 @@ def test_listed_articles(spark):
     missing = spark.createDataFrame([(f"{i:02d}",) for i in range(12)], "id string")
     found = quality.first_missing(missing).collect()
     assert [r["id"] for r in found] == [f"{i:02d}" for i in range(10)] and {r["more"] for r in found} == {2}
+
+
+def plain_slugs(rows):
+    """Unique slugs by trying one number after the other, bases in turn."""
+    count = Counter(slug for slug, _, _ in rows)
+    natural = {slug for slug in count if count[slug] == 1}
+    base = {path: f"{slug}-{order:03d}" if order > 0 else f"{slug}-duplicate" for slug, order, path in rows}
+    bases = {base[path] for slug, _, path in rows if count[slug] > 1}
+    used, out = set(natural), {}
+    for slug, order, path in sorted(rows, key=lambda r: r[2]):
+        if count[slug] == 1:
+            out[path] = slug
+            continue
+        n = 1
+        while (name := base[path] if n == 1 else f"{base[path]}-{n}") in used or (n > 1 and name in bases):
+            n += 1
+        used.add(name)
+        out[path] = name
+    return out
+
+
+def jobs_of(spark, work):
+    spark.sparkContext.setJobGroup("counted", "")
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    found = work()
+    return found, len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted")) - before
+
+
+def test_numbers_that_are_taken_are_counted_and_not_tried(spark):
+    rng = random.Random(5)
+
+    def rows_of(taken):
+        rows = [("a", 2, f"a/{i:04d}") for i in range(400)] + [("a-002-100", 100, f"b/{i}") for i in range(3)]
+        rows += [(f"a-002-{n}", 1, f"t/{n}") for n in taken] + [("b", 0, "c/1"), ("b", -1, "c/2"), ("b-duplicate", 5, "c/3")]
+        return rows
+
+    counts = []
+    for taken in ([2, 3], rng.sample(range(2, 900), 300)):
+        rows = rows_of(taken)
+        df = spark.createDataFrame(rows, "slug string, article_order int, file_path string")
+        found, jobs = jobs_of(spark, lambda df=df: {r.file_path: r.slug for r in collisions.resolve_slugs(df).collect()})
+        assert found == plain_slugs(rows) and len(set(found.values())) == len(rows)
+        counts.append(jobs)
+    assert abs(counts[0] - counts[1]) <= 3

@@ -3,7 +3,7 @@ from difflib import SequenceMatcher
 import pytest
 from pyspark.sql import functions as F
 
-from foliant.functions import chunks, cues, header, html, names, text
+from foliant.functions import blocks, chunks, cues, header, html, inline, names, text
 
 C = F.col
 
@@ -219,17 +219,79 @@ RENDERED = {
         '<p>a b 3 &lt; 4 <a href="https://h/c">https://h/c</a></p>'
     ),
     "": "",
+    "- a\n  - b\n    - c\n      - d\n- e":"<ul>\n<li>a\n<ul>\n<li>b\n<ul>\n<li>c\n<ul>\n<li>d</li>\n</ul></li>\n</ul></li>\n</ul></li>\n<li>e</li>\n</ul>",
+    "- a\n\n- b\n- c":"<ul>\n<li><p>a</p></li>\n<li><p>b</p></li>\n<li><p>c</p></li>\n</ul>",
+    "- a\n\n  more\n- b":"<ul>\n<li><p>a</p>\n<p>more</p></li>\n<li><p>b</p></li>\n</ul>",
+    "- a\n  - b\n\n- c":"<ul>\n<li><p>a</p>\n<ul>\n<li>b</li>\n</ul></li>\n<li><p>c</p></li>\n</ul>",
+    "> a\n> - b\n>   - c\n>\n> d\n\ne":"<blockquote>\n<p>a</p>\n<ul>\n<li>b\n<ul>\n<li>c</li>\n</ul></li>\n</ul>\n<p>d</p>\n</blockquote>\n\n<p>e</p>",
+    "> a\n> > b\n> > c\n":"<blockquote>\n<p>a</p>\n<blockquote>\n<p>b\nc</p>\n</blockquote>\n</blockquote>",
+    "Title\n=====\n\nSub\n---\ntext":"<h1>Title</h1>\n\n<h2>Sub</h2>\n\n<p>text</p>",
+    "3. a\n4. b\n\n- x\n* y":'<ol start="3">\n<li>a</li>\n<li>b</li>\n</ol>\n\n<ul>\n<li>x</li>\n</ul>\n\n<ul>\n<li>y</li>\n</ul>',
+    "- a\nlazy\n\nend":"<ul>\n<li>a\nlazy</li>\n</ul>\n\n<p>end</p>",
+    "text\n- a\n\n    code\n    more\n\nend":"<p>text</p>\n\n<ul>\n<li><p>a</p>\n<p>code\nmore</p></li>\n</ul>\n\n<p>end</p>",
+    "p\n\n    a *b*\n\n    c < d\n\ne":"<p>p</p>\n\n<pre><code>a *b*\n\nc &lt; d\n</code></pre><p>e</p>",
+    "1. a\n   ```\n   x *y*\n\n   z\n   ```\n2. b":"<ol>\n<li>a\n<pre><code>x *y*\n\nz\n</code></pre></li>\n<li>b</li>\n</ol>",
+    "a\n\n***\n\n- - x\n":"<p>a</p>\n\n<hr>\n\n<ul>\n<li>\n<ul>\n<li>x</li>\n</ul></li>\n</ul>",
+    "# A `b` #\n## *c*\ntext **x\ny**":"<h1>A <code>b</code></h1>\n\n<h2><em>c</em></h2>\n\n<p>text <strong>x\ny</strong></p>",
+    "a | b\n- | -\n*c* | d \\| e\n":"<table>\n<tr><th>a</th><th>b</th></tr>\n<tr><td><em>c</em></td><td>d | e</td></tr>\n</table>",
+    "see https://h.example/a_b_c and 1986. x\n14. y":'<p>see <a href="https://h.example/a_b_c">https://h.example/a_b_c</a> and 1986. x\n14. y</p>',
+    "~~~\n# no\n~~~\nyes":"<pre><code># no\n</code></pre><p>yes</p>",
 }
 
+MARKS = {
+    "plain & <b>x</b> 3 < 4":"plain &amp; x 3 &lt; 4",
+    "`a*b*c`":"<code>a*b*c</code>",
+    "``a`b`` and `<b>`":"<code>a`b</code> and <code>&lt;b&gt;</code>",
+    "**bold *in* it**":"<strong>bold <em>in</em> it</strong>",
+    "*a **b** c*":"<em>a <strong>b</strong> c</em>",
+    "***a***":"<em><strong>a</strong></em>",
+    "***a** b*":"<em><strong>a</strong> b</em>",
+    "**a *b***":"<strong>a <em>b</em></strong>",
+    "snake_case_name _em_ __st__ a_b_":"snake_case_name <em>em</em> <strong>st</strong> a_b_",
+    "2 * 3 * 4 and *a":"2 * 3 * 4 and *a",
+    "*a `*` b*":"<em>a <code>*</code> b</em>",
+    "[x](https://h.example/_b_/)":'<a href="https://h.example/_b_/">x</a>',
+    "[p](https://h.example/a_(b))":'<a href="https://h.example/a_(b)">p</a>',
+    "[*e* and `c](d)`](/t \"title\")":'<a href="/t"><em>e</em> and <code>c](d)</code></a>',
+    "*a [b*](/c) d*":'<em>a <a href="/c">b*</a> d</em>',
+    "[l](javascript:x) [m](/y)":'[l](javascript:x) <a href="/y">m</a>',
+    "![i](https://h/i.png) ![x](javascript:a)":'<img src="https://h/i.png" alt="i"> x',
+    "[![i](/i.png)](https://h/)":'<a href="https://h/"><img src="/i.png" alt="i"></a>',
+    "a  \nb\\\nc":"a<br>\nb<br>\nc",
+    r"\*not\* \[x\](y)":"*not* [x](y)",
+    "~~gone~~ ~x~ ~~~no~~~":"<del>gone</del> <del>x</del> ~~~no~~~",
+    "<https://h/c> see https://h.example/x_y_z. ok":'<a href="https://h/c">https://h/c</a> see <a href="https://h.example/x_y_z">https://h.example/x_y_z</a>. ok',
+    "*a [b* c":"<em>a [b</em> c",
+    "[*a] b*":"[<em>a] b</em>",
+    "*foo**bar**baz*":"<em>foo<strong>bar</strong>baz</em>",
+    "**foo*":"*<em>foo</em>",
+    "a**b**c 5*6*7":"a<strong>b</strong>c 5<em>6</em>7",
+    "*(**a**)*":"<em>(<strong>a</strong>)</em>",
+    "**a\nb**":"<strong>a\nb</strong>",
+    "[a [b](/c)](/d)":'[a <a href="/c">b</a>](/d)',
+}
+
+
+def rendered(spark, function, wanted):
+    rows = spark.createDataFrame(list(wanted.items()), "text string, wanted string")
+    return {r.text: r.html for r in rows.select("text", function(C("text")).alias("html")).collect()}
+
+
+def test_render(spark):
+    assert rendered(spark, blocks.render, RENDERED) == RENDERED
+
+
+def test_marks(spark):
+    assert rendered(spark, inline.render, MARKS) == MARKS
+
 
-@pytest.mark.parametrize("text", RENDERED)
-def test_render(one, text):
-    assert one(html.render_html(C("t")), t=text) == RENDERED[text]
+def test_an_expression_is_made_once_per_name():
+    assert blocks.rendered("text") is blocks.rendered("text")
 
 
 def test_deep_texts_do_not_overflow(one):
-    many = "- item\n" * 20000 + "\n" + "line of text\n" * 20000
-    assert one(F.length(html.render_html(C("t"))), t=many) > len(many)
+    many = "- item\n" * 4000 + "\n" + "line of text\n" * 20000 + "`" + "x *y " * 200_000 + "`"
+    assert one(F.length(blocks.render(C("t"))), t=many) > len(many)
     assert one(F.length(header.body(C("t"))), t=many) > 0
 
 
