@@ -11,7 +11,6 @@ all containers.  Texts are cut there, so a fold is as long as a list and not as
 
 from __future__ import annotations
 
-from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -356,19 +355,3 @@ def render(markdown: Column) -> Column:
     laid = F.array_join(F.transform(parts, show), "")
     close = F.regexp_replace(laid, r"(<li>)\n(?!<(?:[uo]l|blockquote))", "$1")
     return F.regexp_replace(F.regexp_replace(close, r"\A\n+", ""), r"(</pre>)\n+(?=<[^/])", "$1")
-
-
-_MADE: dict[str, tuple[object, Column]] = {}
-
-
-def rendered(name: str) -> Column:
-    """The HTML of a column by its name.
-
-    The expression has thousands of parts, each made by a call to the JVM; it is made
-    once for every name as long as the JVM lives.
-    """
-    jvm = SparkContext._gateway
-    known = _MADE.get(name)
-    if jvm is None or known is None or known[0] is not jvm:
-        known = _MADE[name] = (jvm, render(F.col(name)))
-    return known[1]

@@ -1,7 +1,7 @@
 """Web pages: title, main area, links and conversion to markdown.
 
 Tags are rewritten by built-in expressions.  Python is used only where tags
-must be balanced (the main area) and for named character references.
+must be balanced (the main area).
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .patterns import TEXT_SPACE
+from .references import unescape
 from .text import let, rewrite, strip_space
 
 _S = rf"[{TEXT_SPACE}]"
@@ -42,6 +43,7 @@ TAG_RULES = [
     (r"(?i)</?code\b[^>]*>", "`"),
     (r'(?is)<a\b[^>]*?\bhref *= *"([^"]*)"[^>]*>(.*?)</a *>', "[$2]($1)"),
     (r"(?is)<a\b[^>]*?\bhref *= *'([^']*)'[^>]*>(.*?)</a *>", "[$2]($1)"),
+    (r"(?is)<a\b[^>]*?\bhref *= *([^\s\"'>]+)[^>]*>(.*?)</a *>", "[$2]($1)"),
     (r"<[^>]*>", ""),
     (r"\n{3,}", "\n\n"),
 ]
@@ -65,18 +67,6 @@ POST_BODY_SELECTORS = (".post-body", ".entry-content")
 POST_DATE_SELECTORS = (".date-header", ".published", "time")
 
 
-def unescape(text: Column) -> Column:
-    """Character references as characters; only texts with an ampersand go to Python."""
-
-    @F.pandas_udf(T.StringType())
-    def unescaped(values: pd.Series) -> pd.Series:
-        import html
-
-        return values.map(html.unescape, na_action="ignore").astype("object")
-
-    return F.coalesce(unescaped(F.when(F.contains(text, F.lit("&")), text)), text)
-
-
 def _opening(selector: str) -> re.Pattern[str]:
     """Pattern of the opening tag a simple selector stands for; group 1 is the tag."""
     tag, mark, rest = re.fullmatch(r"([a-z0-9]*)([.#\[]?)(.*)", selector).groups()
@@ -162,15 +152,6 @@ def _inside(html: Column, tag: str, inner, outer=lambda part: part) -> Column:
     return F.array_join(parts, "")
 
 
-def _numbered_items(items: Column) -> Column:
-    """List items of an ordered list, with their numbers."""
-    cut = F.split(items, r"(?i) ?<li\b[^>]*> ?")
-    numbered = F.transform(
-        cut, lambda item, i: F.when(i == 0, item).otherwise(F.concat(F.lit("\n  "), i.cast("string"), F.lit(". "), item))
-    )
-    return F.concat(F.lit("\n\n"), F.array_join(numbered, ""), F.lit("\n\n"))
-
-
 def _table_rows(rows: Column) -> Column:
     """Rows of a table between bars, a ruler below the first."""
 
@@ -217,32 +198,137 @@ def _tables(html: Column) -> Column:
     return let(html, laid)
 
 
-def _blocks(html: Column) -> Column:
-    """Markdown of a part without line breaks of its own."""
-    return let(_tables(html), lambda tables: rewrite(_inside(tables, "ol", _numbered_items), TAG_RULES))
+# Elements that hold blocks; all other tags are rewritten where they stand.
+_HOLDERS = r"(?i)</?(?:ol|ul|li|blockquote|pre)\b[^>]*>"
+_DEEP = r"(?is)<(?:ol|blockquote|pre)\b|<ul\b.*<ul\b"
+
+# Signs that no text has: a level of quoting at the start of a line, and what parts the marks of a page.
+_LEVEL, _NEXT, _FIELD = "\ue001", "\ue002", "\ue003"
+_PLACE = "struct<lists:array<int>,quotes:int,pre:boolean,out:string>"
+
+
+# Of several blank lines one stays; it has no level if one of them has none.
+_BLANK_RUNS = [
+    (rf"(?:\n{_LEVEL}*)*\n(?=\n)(?:\n{_LEVEL}*)*\n({_LEVEL}*)(?=[^\n{_LEVEL}])", "\n\n$1", "\n\n"),
+    (rf"(?:\n{_LEVEL}*)*\n({_LEVEL}*)\n({_LEVEL}*)(?=[^\n{_LEVEL}])", "\n$1\n$2", _LEVEL),
+]
+
+
+def _lines(count: int, quotes: Column) -> Column:
+    return F.repeat(F.concat(F.lit("\n"), F.repeat(F.lit(_LEVEL), quotes)), F.lit(count))
+
+
+def _enter(place: Column, tag: Column) -> Column:
+    """The lists, quotes and preformatted text that are open behind a tag, and what stands in its place."""
+    lists, quotes = place["lists"], place["quotes"]
+    name = F.lower(F.regexp_extract(tag, r"\A</?([a-zA-Z]+)", 1))
+    closing = tag.startswith("</")
+    depth = F.size(lists)
+
+    def moved(before, lists=lists, quotes=quotes, pre=F.lit(False)) -> Column:
+        record = F.concat(F.lit(_NEXT), before, F.lit(_FIELD), quotes.cast("string"), F.lit(_FIELD), pre.cast("string"))
+        parts = dict(lists=lists, quotes=quotes, pre=pre, out=F.concat(place["out"], record))
+        return F.struct(*[c.alias(n) for n, c in parts.items()]).cast(_PLACE)
+
+    start = F.coalesce(F.regexp_extract(tag, r"(?i)\bstart\s*=\s*[\"']?\s*(\d{1,9})", 1).try_cast("int"), F.lit(1)) - 1
+    number = F.get(lists, depth - 1) + 1
+    ordered = F.coalesce(number >= 0, F.lit(False))
+    counted = F.when(ordered, F.concat(F.slice(lists, 1, depth - 1), F.array(number))).otherwise(lists)
+    mark = F.when(ordered, F.concat(number.cast("string"), F.lit(". "))).otherwise("* ")
+    item = F.concat(_lines(1, quotes), F.repeat(F.lit("  "), F.greatest(depth, F.lit(1))), mark)
+    less = F.slice(lists, 1, F.greatest(depth - 1, F.lit(0)))
+    fewer = F.greatest(quotes - 1, F.lit(0))
+    fenced = F.concat(_lines(2, quotes), F.lit("```"), _lines(1, quotes))
+    unfenced = F.concat(_lines(1, quotes), F.lit("```"), _lines(2, quotes))
+    quoted = F.concat(_lines(1, quotes), _lines(1, quotes + 1))
+    around = F.when(depth == 0, _lines(2, quotes)).otherwise("")
+    behind = F.when(depth <= 1, _lines(2, quotes)).otherwise("")
+    return (
+        F.when(place["pre"] & ((name != "pre") | ~closing), moved(F.lit(""), pre=F.lit(True)))
+        .when(name == "pre", F.when(closing, F.when(place["pre"], moved(unfenced)).otherwise(moved(F.lit("")))).otherwise(moved(fenced, pre=F.lit(True))))
+        .when(name == "blockquote", F.when(closing, moved(_lines(2, fewer), quotes=fewer)).otherwise(moved(quoted, quotes=quotes + 1)))
+        .when(name == "li", F.when(closing, moved(_lines(1, quotes))).otherwise(moved(item, lists=counted)))
+        .when(closing, moved(behind, lists=less))
+        .when(name == "ol", moved(around, lists=F.concat(lists, F.array(start))))
+        .otherwise(moved(around, lists=F.concat(lists, F.array(F.lit(-2)))))
+    )
 
 
-def _quoted(html: Column) -> Column:
-    quote = F.replace(strip_space(_blocks(html)), F.lit("\n"), F.lit("\n> "))
-    return F.concat(F.lit("\n\n> "), quote, F.lit("\n\n"))
+def _flat(text: Column) -> Column:
+    """Markdown of text without elements that hold blocks; white space is one space."""
+    tables = F.when(text.rlike(r"(?i)<t[dhr]\b|<table\b"), _tables(text)).otherwise(text)
+    return let(tables, lambda t: F.when(F.contains(t, F.lit("<")), rewrite(t, TAG_RULES)).otherwise(t))
 
 
-def _flowing(html: Column) -> Column:
-    return _inside(F.regexp_replace(html, rf"{_S}+", " "), "blockquote", _quoted, _blocks)
+def _structured(html: Column) -> Column:
+    """One fold over the tags of lists, quotes and preformatted text; what stands between them is flat."""
+    start = F.struct(
+        F.array().cast("array<int>").alias("lists"), F.lit(0).alias("quotes"), F.lit(False).alias("pre"), F.lit("").alias("out")
+    ).cast(_PLACE)
+    found = F.struct(F.regexp_extract_all(html, F.lit(_HOLDERS), F.lit(0)).alias("tags"), F.split(html, _HOLDERS).alias("texts"))
 
+    def laid(f: Column) -> Column:
+        last = F.size(f["tags"])
 
-def _preformatted(html: Column) -> Column:
-    text = F.regexp_replace(F.regexp_replace(html, r"<[^>]*>", ""), r"\A\n|\s+\z", "")
-    return F.concat(F.lit("\n\n```\n"), text, F.lit("\n```\n\n"))
+        def joined(place: Column) -> Column:
+            def one(text: Column, i: Column) -> Column:
+                def written(record: Column) -> Column:
+                    quotes = F.coalesce(F.get(record, 1).try_cast("int"), F.lit(0))
+                    raw = F.regexp_replace(F.regexp_replace(text, r"<[^>]*>", ""), r"\A\n|\s+\z", "")
+                    inner = F.regexp_replace(F.regexp_replace(text, rf"{_S}+", " "), F.when(i > 0, r"\A ").otherwise(r"\A\b\B"), "")
+                    inner = F.regexp_replace(inner, F.when(i < last, r" \z").otherwise(r"\A\b\B"), "")
+                    shown = F.when(F.get(record, 2) == "true", raw).otherwise(_flat(inner))
+                    quoted = F.when(quotes > 0, F.replace(shown, F.lit("\n"), _lines(1, quotes))).otherwise(shown)
+                    return F.concat(F.coalesce(F.get(record, 0), F.lit("")), quoted)
+
+                return let(F.split(F.get(F.split(place["out"], _NEXT), i), _FIELD), written)
+
+            ended = F.when(place["pre"], F.concat(_lines(1, place["quotes"]), F.lit("```"))).otherwise("")
+            return F.concat(F.array_join(F.transform(f["texts"], one), ""), ended)
+
+        return F.aggregate(f["tags"], start, _enter, joined)
+
+    return let(found, laid)
+
+
+def _quoted_lines(text: Column) -> Column:
+    """Lines with a mark for every level of quoting; of blank lines one stays, on the lower level beside it."""
+
+    def level(line: Column) -> Column:
+        return F.coalesce(F.length(F.regexp_extract(line, rf"\A{_LEVEL}+", 0)), F.lit(0))
+
+    def blank(line: Column) -> Column:
+        return line.rlike(rf"\A[{_LEVEL} ]*\z")
+
+    def kept(lines: Column) -> Column:
+        return F.filter(lines, lambda x, i: ~blank(x) | ((i > 0) & ~F.coalesce(blank(F.get(lines, i - 1)), F.lit(True))))
+
+    def marked(lines: Column) -> Column:
+        def one(line: Column, i: Column) -> Column:
+            own = F.when(blank(line), F.least(level(line), level(F.get(lines, i - 1)), level(F.get(lines, i + 1)))).otherwise(level(line))
+            bare = F.regexp_replace(line, rf"\A{_LEVEL}+", "")
+            return F.concat(F.repeat(F.lit("> "), own), F.when(blank(line), "").otherwise(bare))
+
+        return F.array_join(F.transform(lines, one), "\n")
+
+    laid = let(F.split(strip_space(text), "\n"), lambda lines: let(kept(lines), marked))
+    trimmed = F.regexp_replace(laid, r"\A(?:(?:> )*\n)+|(?:\n(?:> )*)+\z", "")
+    return F.when(F.contains(text, F.lit(_LEVEL)), trimmed).otherwise(text)
 
 
 def tags_to_markdown(html: Column) -> Column:
     """Markdown with character references still in place.
 
-    Preformatted text keeps its lines; ordered lists keep their numbers, quotes
-    their marks, and tables get a ruler.  Lists lose their depth.
+    Lists keep their depth and numbers, also those that do not start at one, quotes a mark
+    for every level, preformatted text its lines, and tables get a ruler.
     """
-    return strip_space(F.regexp_replace(_inside(visible(html), "pre", _preformatted, _flowing), r"\n{3,}", "\n\n"))
+
+    def made(page: Column) -> Column:
+        return F.when(page.rlike(_DEEP), let(rewrite(_structured(page), _BLANK_RUNS), _quoted_lines)).otherwise(
+            _flat(F.regexp_replace(page, rf"{_S}+", " "))
+        )
+
+    return strip_space(let(visible(html), made))
 
 
 def to_markdown(html: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import blocks, header, names, text
+from ..functions.once import of_name
 from ..functions.patterns import WEB_SPACE
 from .collisions import resolve_slugs
 
@@ -32,7 +33,7 @@ def parse_files(files: DataFrame) -> DataFrame:
         names.category_slug(folder).alias("category_slug"),
         "source_url",
         "content",
-        blocks.rendered("content").alias("content_html"),
+        of_name(blocks.render, "content").alias("content_html"),
         "word_count",
         F.col("path").alias("file_path"),
         names.article_order(name).alias("article_order"),

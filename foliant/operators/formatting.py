@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html, markup
+from ..functions.once import of_name
 
 
 def format_markdown(
@@ -49,4 +50,4 @@ def format_markdown(
 
 def format_html(df: DataFrame, **options) -> DataFrame:
     """As `format_markdown`, from a ``html`` column."""
-    return format_markdown(df.withColumn("markdown", html.to_markdown(F.col("html"))), **options)
+    return format_markdown(df.withColumn("markdown", of_name(html.to_markdown, "html")), **options)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import blocks, html, names
+from ..functions.once import of_name
 from ..operators import sections
 from ..sinks import documents as sink
-from ..sources import web
+from ..sources import encodings, web
 from ..sources.tables import spread
 from .base import query, say, sql_rewrite, sql_text, table, texts
 
@@ -68,12 +69,47 @@ _AREA = rf"""regexp_extract({_VISIBLE}, '(?s)<article>.*?</article>')"""
 @query("html_text", f"SELECT page_id, {sql_markdown(_AREA)} AS markdown FROM pages")
 def html_text(spark, sf_dir):
     area = html.content_area(F.col("html"))
-    return pages(spark, sf_dir).select("page_id", html.to_markdown(area).alias("markdown"))
+    found = pages(spark, sf_dir).select("page_id", area.alias("area"))
+    return found.select("page_id", of_name(html.to_markdown, "area").alias("markdown"))
 
 
 @query("html_markdown_whole", f"SELECT page_id, {sql_markdown(_VISIBLE)} AS markdown FROM pages")
 def html_markdown_whole(spark, sf_dir):
-    return pages(spark, sf_dir).select("page_id", html.to_markdown(F.col("html")).alias("markdown"))
+    return pages(spark, sf_dir).select("page_id", of_name(html.to_markdown, "html").alias("markdown"))
+
+
+_SILENT = r"regexp_replace(html, '(?i)<meta\b[^>]*>', '', 'g')"
+
+
+@query("decoded_pages", f"SELECT page_id, {_SILENT} AS html FROM pages")
+def decoded_pages(spark, sf_dir):
+    """Pages in four encodings, none of them stated; what Latin-1 cannot hold is written in the others."""
+    silent = F.regexp_replace("html", r"(?i)<meta\b[^>]*>", "")
+    kind, wide = F.col("page_id") % 4, F.col("html").rlike(r"[^\x00-\xff]|[\x80-\x9f]")
+    body = F.when(kind == 0, F.encode(silent, "UTF-8")).when(kind == 1, F.encode(silent, "UTF-16LE"))
+    body = body.when((kind == 2) | wide, F.encode(silent, "UTF-16BE")).otherwise(F.encode(silent, "ISO-8859-1"))
+    return pages(spark, sf_dir).select("page_id", encodings.decoded(body).alias("html"))
+
+
+_FLAT = r"regexp_replace(text, '\s+', ' ', 'g')"
+
+
+@query(
+    "html_structure",
+    rf"""SELECT doc_id, (doc_id % 7) || '. ' || {_FLAT} || E'\n    1. ' || doc_id || E'\n\n> ' || {_FLAT} || E'\n> \n> > '
+        || {_FLAT} || E'\n\n  ' || (doc_id % 7 + 1) || '. [x](/p/' || doc_id || E')\n\n```\n if a:\n   b' || doc_id
+        || E'\n```\n\n  * ' || {_FLAT} || E'\n    * é' AS markdown FROM documents""",
+)
+def html_structure(spark, sf_dir):
+    """Every text inside lists, quotes and preformatted text that nest, some of them never closed."""
+    doc = F.col("doc_id")
+    text = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&#x3e"))
+    page = say(
+        "<ol class=k start=", doc % 7, "><li>", text, "<ol>\n<li> ", doc, "<blockquote><p>", text, "</p> <blockquote>", text,
+        "</blockquote></blockquote></li></ol></li>\n<li><a class='b' href=/p/", doc, ">x</a><pre>\n if a:\n   <b>b</b>",
+        doc, "\n</pre></ol><UL><li>", text, "<ul><li>&eacute;",
+    )
+    return texts(spark, sf_dir).select("doc_id", page.alias("page")).select("doc_id", of_name(html.to_markdown, "page").alias("markdown"))
 
 
 _LINK = r"""(?s)<a href="([^"]*)">(.*?)</a>"""
@@ -208,7 +244,7 @@ def _starred():
 
 def _rendered(spark, sf_dir, *parts):
     made = texts(spark, sf_dir).select("doc_id", "text", say(*parts).alias("made"))
-    return made.select("doc_id", blocks.rendered("made").alias("html"))
+    return made.select("doc_id", of_name(blocks.render, "made").alias("html"))
 
 
 @query(

@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html
+from ..functions.once import of_name
 from ..functions.text import count_words, is_stub, strip_space
+from . import encodings
 
 # Tries, waits per attempt in seconds, list pages followed, pauses
 # in seconds between pages and between posts.
@@ -62,28 +64,9 @@ def fetch_with_retries(fetch: Fetch, url: str, sleep=time.sleep) -> Page | None:
     return None
 
 
-# Bytes of a page in which its own statement of an encoding is looked for.
-DECLARED_WITHIN = 2048
-BYTE_ORDER_MARKS = ((b"\xef\xbb\xbf", "utf-8-sig"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16"))
-
-
-def page_encoding(page: Page) -> str:
-    """By the byte order mark, else the given one, else the page's own, else UTF-8."""
-    for mark, encoding in BYTE_ORDER_MARKS:
-        if page.body.startswith(mark):
-            return encoding
-    if page.encoding:
-        return page.encoding
-    declared = re.search(rb"""<meta\b[^>]*?charset\s*=\s*["']?\s*([\w.:-]+)""", page.body[:DECLARED_WITHIN], re.I)
-    return declared[1].decode("ascii", "replace") if declared else "utf-8"
-
-
 def decode_page(page: Page) -> str:
-    """Text of a page, broken bytes replaced; an unknown encoding counts as UTF-8."""
-    try:
-        return page.body.decode(page_encoding(page), errors="replace")
-    except LookupError:
-        return page.body.decode("utf-8", errors="replace")
+    """Text of a page by its byte order mark, the given or its own encoding, else by its bytes."""
+    return encodings.decode(page.body, page.encoding)
 
 
 def fetch_pages(
@@ -178,7 +161,7 @@ def extract_posts(pages: DataFrame) -> DataFrame:
         F.coalesce(html.inner_text(F.col("title_html")), F.lit("Untitled")).alias("title"),
         "url",
         F.col("body_html").alias("html"),
-        strip_space(html.to_markdown(F.col("body_html"))).alias("content"),
+        strip_space(of_name(html.to_markdown, "body_html")).alias("content"),
         html.inner_text(F.col("date_html")).alias("publish_date"),
     )
     return posts.withColumn("word_count", count_words(F.col("content"))).where(

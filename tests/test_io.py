@@ -13,7 +13,7 @@ from foliant.operators import articles, chunking, incremental
 from foliant.session import shared_folder
 from foliant.sinks import documents, reports
 from foliant.sinks import tables as sink
-from foliant.sources import files, state, tables, videos, web
+from foliant.sources import encodings, files, state, tables, videos, web
 from foliant.streaming.arrivals import stream_missing
 
 C = F.col
@@ -381,3 +381,37 @@ def test_schemas_parse(spark):
     for name in dir(schemas):
         if name.isupper():
             assert spark.createDataFrame([], getattr(schemas, name)).count() == 0
+
+
+ENCODED = {
+    "windows-1252": "Les élèves français déjà à l’école – où est la forêt ? Größe und Übung",
+    "windows-1250": "Zażółć gęślą jaźń, proszę przyjść później; příliš žluťoučký kůň",
+    "windows-1251": "Привет, это обычный текст на русском языке. Москва — столица",
+    "koi8-r": "Привет, это обычный текст на русском языке. Москва столица",
+    "windows-1253": "Καλημέρα κόσμε, αυτό είναι ένα κείμενο",
+    "windows-1255": "שלום עולם זה טקסט",
+    "windows-1256": "السلام عليكم ورحمة الله وبركاته",
+    "euc_kr": "안녕하세요 이것은 한국어 문장입니다",
+    "shift_jis": "これは日本語の文章です。カタカナも含みます。",
+    "euc_jp": "これは日本語の文章です。カタカナも含みます。",
+    "gb18030": "这是一个中文句子，我们在这里测试编码的检测。",
+    "big5": "這是一個中文句子，我們在這裡測試編碼的檢測。",
+    "utf-8": "naïve 日本",
+    "utf-16-le": "plain text é",
+    "utf-16-be": "plain text é",
+}
+
+
+@pytest.mark.parametrize("encoding", ENCODED)
+def test_encodings_are_found_from_bytes(encoding):
+    text = "<p>" + ENCODED[encoding] + "</p>" if not encoding.startswith("utf-16") else ENCODED[encoding]
+    body = text.encode(encoding)
+    assert encodings.decode(body) == text and body.decode(encodings.detected(body)) == text
+
+
+def test_statements_come_before_bytes():
+    body = "<meta charset=koi8-r>é".encode("latin-1")
+    assert encodings.encoding_of(body) == "koi8-r" and encodings.encoding_of(body, "utf-8") == "utf-8"
+    assert encodings.encoding_of(b"\xff\xfe" + body) == "utf-16"
+    assert encodings.decode("<meta charset=none-such>Größe".encode("latin-1")).endswith("Größe")
+    assert encodings.decode(b"") == "" and encodings.detected(b"plain") == "utf-8"
