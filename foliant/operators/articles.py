@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import blocks, header, names, text
 from ..functions.once import of_name
 from ..functions.patterns import WEB_SPACE
+from . import changes
 from .collisions import resolve_slugs
 
 
@@ -56,6 +57,37 @@ def build_articles(files: DataFrame) -> DataFrame:
     return resolve_slugs(parse_files(files), keys=keys)
 
 
+def file_checks() -> dict[str, dict[str, Column]]:
+    """What refuses a file, by step: nothing in it, bytes that are no text, no category, nothing behind the header."""
+    raw, folder = F.col("raw"), F.col("folder")
+    return {
+        "read": {"empty file": text.is_blank(raw), "bytes that are no text": F.contains(raw, F.lit("\ufffd"))},
+        "category": {"no number in the folder": F.coalesce(names.category_id(folder), F.lit(0)) == 0},
+        "body": {"nothing behind the header": text.is_blank(header.body(raw))},
+    }
+
+
+def rejects(files: DataFrame, checks: dict[str, dict[str, Column]] | None = None) -> DataFrame:
+    """Path, step and reason of every file that is not parsed."""
+    judged = changes.refused(files, checks or file_checks())
+    return judged.where(F.col("step").isNotNull()).select("path", "step", "reason")
+
+
+def accepted(files: DataFrame, checks: dict[str, dict[str, Column]] | None = None) -> DataFrame:
+    """The files that no check refuses, as they came."""
+    return changes.refused(files, checks or file_checks()).where(F.col("step").isNull()).select(*files.columns)
+
+
+def run_counts(files: DataFrame, checks: dict[str, dict[str, Column]] | None = None) -> DataFrame:
+    """Files found, parsed, skipped as empty, and failed, in one row; the last three add up to the first."""
+    judged = changes.refused(files, checks or file_checks())
+    empty = F.coalesce(F.col("reason") == "empty file", F.lit(False))
+    return judged.agg(
+        F.count("*").alias("found"), F.count_if(F.col("step").isNull()).alias("parsed"),
+        F.count_if(empty).alias("skipped"), F.count_if(F.col("step").isNotNull() & ~empty).alias("failed"),
+    )
+
+
 def ingest_summary(files: DataFrame, articles: DataFrame) -> DataFrame:
     """Files found, articles parsed, empty files skipped and stubs, in one row."""
     counted = files.select(

@@ -1,6 +1,7 @@
 """All registered queries."""
 
 from . import (  # noqa: F401
+    change_queries,
     chunk_queries,
     citation_queries,
     format_queries,
