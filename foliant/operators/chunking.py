@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import chunks
 from ..functions.vectors import DIMENSIONS
-from .keyed import absent_rows
+from .keyed import absent_rows, present_rows
 
 # An embedder answers with (index of the text, vector) pairs, in any order.
 Embedder = Callable[[list[str]], list[tuple[int, list[float]]]]
@@ -108,14 +108,22 @@ def refresh(
     force: bool = False,
     dimensions: int | None = None,
     pause: float = CALL_PAUSE,
+    partial: bool = False,
 ) -> DataFrame:
-    """The chunk table after a run: chunks of pending articles are replaced, all others kept.
+    """The chunk table after a run: chunks of pending articles are replaced, those of all others kept.
 
+    Articles that are gone, and those that are stubs now, lose their chunks; with ``partial`` the
+    articles are a part of all, and one that is not among them is not gone.
     Running it again with its own result changes nothing, as nothing is pending.
     """
     due = pending(articles, stored, force)
     fresh = embed(chunk_articles(due), embedder, pause=pause, dimensions=dimensions)
+    named = articles.select(F.col("id").alias("article_id"), "is_stub")
     kept = absent_rows(stored, due.select(F.col("id").alias("article_id")), ["article_id"])
+    if partial:
+        kept = absent_rows(kept, named.where("is_stub"), ["article_id"])
+    else:
+        kept = present_rows(kept, named.where("NOT is_stub"), ["article_id"]).select(*stored.columns)
     return kept.unionByName(fresh.select(*stored.columns))
 
 

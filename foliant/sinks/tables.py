@@ -38,25 +38,33 @@ def append(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
-def replace(rows: DataFrame, path: str) -> None:
-    """Write a table anew, such as the citation index of a full run."""
-    rows.write.mode("overwrite").parquet(path)
+def replace(rows: DataFrame, target: str) -> None:
+    """Write a table anew, such as the citation index of a full run, in a folder of its own.
+
+    ``buckets.BucketTable.replace`` keeps the same root, with the old version readable meanwhile.
+    """
+    rows.write.mode("errorifexists").parquet(target)
 
 
 def replace_children(
-    rows: DataFrame, old_path: str, target: str, parent: str = "article_id"
+    rows: DataFrame, old_path: str, target: str, parent: str = "article_id", parents: DataFrame | None = None
 ) -> None:
-    """Write the old rows of all other parents together with the new rows."""
+    """Write the old rows of all other parents together with the new rows.
+
+    ``parents`` has the column ``parent`` of all that were looked at; one of them without new
+    rows has none any more.  Parents of new rows need not be listed.
+    """
     old = rows.sparkSession.read.schema(rows.schema).parquet(old_path)
-    kept = keyed.absent_rows(old, rows, [parent])
+    seen = rows.select(parent) if parents is None else rows.select(parent).unionByName(parents.select(parent))
+    kept = keyed.absent_rows(old, seen.distinct(), [parent])
     kept.unionByName(rows).write.mode("errorifexists").parquet(target)
 
 
 def write_index(junction: DataFrame, verses_of, root: str) -> None:
-    """Junction first, then the verse table read back from it: texts are read once."""
-    junction.write.mode("overwrite").parquet(f"{root}/junction")
+    """Junction first, then the verse table read back from it: texts are read once.  The root is new in every run."""
+    junction.write.mode("errorifexists").parquet(f"{root}/junction")
     stored = junction.sparkSession.read.schema(junction.schema).parquet(f"{root}/junction")
-    verses_of(stored).write.mode("overwrite").parquet(f"{root}/verses")
+    verses_of(stored).write.mode("errorifexists").parquet(f"{root}/verses")
 
 
 def in_batches(df: DataFrame, send, size: int) -> None:

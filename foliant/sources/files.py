@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 INDEX_FILES = ("00_INDEX.md", "00_MASTER_INDEX.md")
 
 
-def _parts(df: DataFrame, path: Column, raw: Column) -> DataFrame:
+def parts(df: DataFrame, path: Column, raw: Column, *more: str) -> DataFrame:
+    """Folder, name and text of files by their paths, and further columns."""
     steps = F.split(path, "/")
     return df.select(
+        *more,
         F.concat_ws("/", F.element_at(steps, -2), F.element_at(steps, -1)).alias("path"),
         F.element_at(steps, -2).alias("folder"),
         F.element_at(steps, -1).alias("filename"),
@@ -26,7 +28,7 @@ def read_markdown(spark: SparkSession, root: str) -> DataFrame:
         .load(f"{root}/*/*.md")
         .select("path", "content")
     )
-    files = _parts(scan, F.col("path"), decode_utf8(F.col("content")))
+    files = parts(scan, F.col("path"), decode_utf8(F.col("content")))
     return files.where(~F.col("filename").isin(*INDEX_FILES))
 
 

@@ -13,7 +13,7 @@ from foliant.operators import articles, chunking, incremental
 from foliant.session import shared_folder
 from foliant.sinks import documents, reports
 from foliant.sinks import tables as sink
-from foliant.sources import encodings, files, state, tables, videos, web
+from foliant.sources import encodings, files, snapshot, state, tables, videos, web
 from foliant.streaming.arrivals import stream_missing
 
 C = F.col
@@ -272,6 +272,8 @@ def test_tables_round_trip(spark, tmp_path):
     again = spark.createDataFrame([("x", 7)], "article_id string, chunk_index int")
     sink.replace_children(again, f"{root}/c1", f"{root}/c2")
     assert sorted(map(tuple, spark.read.parquet(f"{root}/c2").collect())) == [("x", 7), ("y", 0)]
+    sink.replace_children(again, f"{root}/c1", f"{root}/c3", parents=chunks)
+    assert sorted(map(tuple, spark.read.parquet(f"{root}/c3").collect())) == [("x", 7)]
 
 
 def test_index_documents(spark, tmp_path):
@@ -415,3 +417,39 @@ def test_statements_come_before_bytes():
     assert encodings.encoding_of(b"\xff\xfe" + body) == "utf-16"
     assert encodings.decode("<meta charset=none-such>Größe".encode("latin-1")).endswith("Größe")
     assert encodings.decode(b"") == "" and encodings.detected(b"plain") == "utf-8"
+
+
+def test_a_second_scan_reads_only_what_has_changed(spark, tmp_path):
+    root, store = tmp_path / "articles", f"file://{tmp_path}/store"
+    (root / "01_a").mkdir(parents=True)
+    for i in range(12):
+        (root / "01_a" / f"{i:03d}_x.md").write_text(f"text {i}")
+    (root / "01_a" / "00_INDEX.md").write_text("index")
+    scan = lambda: {r.filename: r.raw for r in snapshot.refresh(spark, f"file://{root}", store, 4).collect()}
+    held = snapshot.BucketTable(spark, store, snapshot.SCHEMA, ["file"], 4)
+    places = lambda: {e["bucket"]: e["path"] for e in held.entries()}
+    assert scan() == {f"{i:03d}_x.md": f"text {i}" for i in range(12)} == {
+        r.filename: r.raw for r in files.read_markdown(spark, f"file://{root}").collect()
+    }
+    before, version = places(), held.entries()[0]["version"]
+    assert len(scan()) == 12 and held.entries()[0]["version"] == version
+    (root / "01_a" / "003_x.md").write_text("changed text")
+    (root / "01_a" / "004_x.md").unlink()
+    (root / "01_a" / "099_x.md").write_text("new")
+    found = {r.file.rsplit("/")[-1]: r.change for r in snapshot.differences(spark, f"file://{root}", held).collect()}
+    assert found == {"003_x.md": "changed", "004_x.md": "gone", "099_x.md": "new"}
+    after = scan()
+    assert after["003_x.md"] == "changed text" and "004_x.md" not in after and after["099_x.md"] == "new" and len(after) == 12
+    assert any(places()[b] == before[b] for b in before)
+
+
+def test_chunks_of_gone_articles_and_new_stubs_go(spark):
+    fields = "id string, title string, content string, is_stub boolean"
+    text = "Some text of an article. " * 20
+    both = spark.createDataFrame([("a", "A", text, False), ("b", "B", text, False), ("c", "C", text, False)], fields)
+    none = spark.createDataFrame([], "article_id string, chunk_index int, content string, token_count int, embedding array<float>")
+    run = lambda rows, old, **more: chunking.refresh(rows, old, chunking.digest_embedder(), pause=0, **more)
+    first = spark.createDataFrame(run(both, none).collect(), none.schema)
+    now = spark.createDataFrame([("a", "A", text, False), ("b", "B", "x", True)], fields)
+    ids = lambda df: sorted({r.article_id for r in df.collect()})
+    assert ids(first) == ["a", "b", "c"] and ids(run(now, first)) == ["a"] and ids(run(now, first, partial=True)) == ["a", "c"]

@@ -139,7 +139,8 @@ def statuses(checks):
 
 def test_article_checks(spark):
     rows = [("1", "a", "T", "", False, 1), ("2", "a", "", None, True, 2), ("3", "b", "T", "x", False, 2)]
-    found = statuses(quality.check_articles(spark.createDataFrame(rows, ARTICLES), 3, 3))
+    wanted = spark.createDataFrame([(1, 1), (2, 2), (3, 0)], "id int, article_count int")
+    found = statuses(quality.check_articles(spark.createDataFrame(rows, ARTICLES), quality.expectations(wanted)))
     assert found == {
         "article_count": "PASS", "empty_full_articles": "FAIL", "empty_stubs": "WARN",
         "missing_titles": "FAIL", "repeated_slugs": "FAIL", "category_count": "FAIL", "stubs": "WARN",
@@ -227,3 +228,12 @@ def test_numbers_that_are_taken_are_counted_and_not_tried(spark):
         assert found == plain_slugs(rows) and len(set(found.values())) == len(rows)
         counts.append(jobs)
     assert abs(counts[0] - counts[1]) <= 3
+
+
+def test_every_category_has_its_expected_articles(spark):
+    articles = spark.createDataFrame([(1,), (1,), (2,), (9,), (None,)], "category_id int")
+    categories = spark.createDataFrame([(1, 2), (2, 0), (3, 4)], "id int, article_count int")
+    found = {tuple(r) for r in quality.category_counts(articles, categories).collect()}
+    assert found == {(1, 2, 2, "PASS"), (2, 0, 1, "WARN"), (3, 4, 0, "FAIL"), (9, 0, 1, "FAIL"), (None, 0, 1, "FAIL")}
+    assert tuple(quality.expectations(categories).first()) == (6, 3)
+    assert tuple(quality.expectations(categories.where("id > 9")).first()) == (0, 0)
