@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import html
 from ..functions.once import of_name
 from ..functions.text import count_words, is_stub, strip_space
-from . import encodings
+from .encodings import decode
 
 # Tries, waits per attempt in seconds, list pages followed, pauses
 # in seconds between pages and between posts.
@@ -66,7 +66,7 @@ def fetch_with_retries(fetch: Fetch, url: str, sleep=time.sleep) -> Page | None:
 
 def decode_page(page: Page) -> str:
     """Text of a page by its byte order mark, the given or its own encoding, else by its bytes."""
-    return encodings.decode(page.body, page.encoding)
+    return decode(page.body, page.encoding)
 
 
 def fetch_pages(
