@@ -8,16 +8,17 @@ from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_MADE: dict[tuple[Callable, str], tuple[object, Column]] = {}
-
-
 def of_name(function: Callable[[Column], Column], name: str) -> Column:
     """The function's expression over a column by its name, made once as long as the JVM lives.
 
     Expressions of pages and markdown have thousands of parts, each made by a call to the JVM.
     """
     jvm = SparkContext._gateway
-    known = _MADE.get((function, name))
-    if jvm is None or known is None or known[0] is not jvm:
-        known = _MADE[function, name] = (jvm, function(F.col(name)))
-    return known[1]
+    if jvm is None:
+        return function(F.col(name))
+    # Kept with the JVM and not in this module, which travels with tasks.
+    made = jvm.__dict__.setdefault("_foliant_made", {})
+    key = (function, name)
+    if key not in made:
+        made[key] = function(F.col(name))
+    return made[key]
