@@ -291,7 +291,7 @@ def test_marks(spark):
     assert rendered(spark, inline.render, MARKS) == MARKS
 
 
-def test_an_expression_is_made_once_per_name():
+def test_an_expression_is_made_once_per_name(spark):
     assert once.of_name(blocks.render, "text") is once.of_name(blocks.render, "text")
 
 
