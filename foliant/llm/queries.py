@@ -62,11 +62,14 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of every document without repeated strings of 400 bytes."""
+    """What is left of every document without repeated strings of 400 bytes.
+
+    ``text`` is what is left as text; characters cut in half become replacement characters.
+    """
     done = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return done.select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"),
+        F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bwt
-from .common import batch, mapped, staged, whole_text
+from .common import batch, discard, mapped, staged, whole_text
 
 # Bytes of a repeated string, and of the anchors of each level.  The last level's
 # anchors are the strings themselves.
@@ -178,10 +178,15 @@ def _anchor_rows(anchor: int, length: int):
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes around chosen anchors."""
+    """The bytes around chosen anchors; rows of one unit that follow each other give them once."""
+    last = None
     schema = pa.schema([("g", pa.int64()), ("ctx", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
     for rows in batches:
-        for data, wanted in zip(rows.column("data"), rows.column("wanted")):
+        units = zip(*(rows.column(c).to_pylist() for c in ("scope", "unit", "size")))
+        for unit, data, wanted in zip(units, rows.column("data"), rows.column("wanted")):
+            if unit == last:
+                continue
+            last = unit
             view, wanted = memoryview(data.as_buffer()), wanted.as_py()
             for low in range(0, len(wanted), 4096):
                 part = wanted[low : low + 4096]
@@ -196,7 +201,7 @@ _RANGES_SQL = "g long, ctx long, low int, high int"
 
 
 def _shards(length: int):
-    """Repeated ranges of contexts that come sorted by anchor."""
+    """Repeated ranges of contexts that come sorted by anchor and context; equal ones count once."""
 
     def ranges_of(group: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
         g = np.fromiter((x[0] for x in group), np.int64, len(group))
@@ -214,6 +219,8 @@ def _shards(length: int):
         held = 0
         for rows in batches:
             for g, ctx, data in zip(*(rows.column(c).to_pylist() for c in ("g", "ctx", "data"))):
+                if group and group[-1][:2] == (g, ctx):
+                    continue
                 # A transform begins only with a new anchor, so none is split.
                 if held >= SHARD_BYTES and group[-1][0] != g:
                     yield ranges_of(group)
@@ -227,7 +234,11 @@ def _shards(length: int):
 
 
 def repeated_ranges(
-    texts: DataFrame, length: int, levels: Sequence[int] = ANCHORS, group_bytes: int = GROUP_BYTES
+    texts: DataFrame,
+    length: int,
+    levels: Sequence[int] = ANCHORS,
+    group_bytes: int = GROUP_BYTES,
+    held: list[DataFrame] | None = None,
 ) -> DataFrame:
     """Ranges of bytes covered by repeated strings, by ``scope``, ``unit`` and ``size``.
 
@@ -237,7 +248,9 @@ def repeated_ranges(
     than ``group_bytes`` gets longer anchors inside them; at the last level these
     are the strings themselves, and counting them replaces the transform.  So no
     anchor, however common, makes a shard without bound, and none is left out.
+    Staged tables that the result reads are added to ``held``, to be discarded after it.
     """
+    held = [] if held is None else held
     anchor, *rest = levels or (length,)
     found = staged(mapped(texts, _anchor_rows(anchor, length), _ANCHORS_SQL), "anchors")
     place = F.struct("scope", "unit", "size", "start", "stop")
@@ -250,6 +263,7 @@ def repeated_ranges(
         F.max("twin").alias("any_twin"),
     ).where("kinds > 1 OR most > 1 OR any_twin")
     judged = staged(contexts.join(groups, "g"), "contexts")
+    held += [found, judged]
     whole = judged.where("n > 1").select(
         "g", "ctx", F.lit(0).alias("low"), wide.cast("int").alias("high")
     )
@@ -265,19 +279,21 @@ def repeated_ranges(
 
     def surroundings(which: Column) -> DataFrame:
         chosen = wanted.withColumn("wanted", which).where(F.size("wanted") > 0)
-        joined = sized.join(chosen, ["scope", "unit", "size"]).select("data", "wanted")
+        joined = sized.join(chosen, ["scope", "unit", "size"]).select("scope", "unit", "size", "data", "wanted")
         return mapped(joined, _cut, "g long, ctx long, n long, data binary")
 
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts_ranges = [whole]
     if levels:
-        shards = surroundings(near).repartition(parts, "g").sortWithinPartitions("g")
+        shards = surroundings(near).repartition(parts, "g").sortWithinPartitions("g", "ctx")
         parts_ranges.append(mapped(shards, _shards(length), _RANGES_SQL))
         if not judged.where(F.col("bytes") > group_bytes).isEmpty():
             inner = surroundings(far).select(
                 F.col("g").alias("scope"), F.col("ctx").alias("unit"), F.col("n").alias("copies"), "data"
             )
-            deeper = repeated_ranges(staged(inner, "surroundings"), length, rest, group_bytes)
+            inner = staged(inner, "surroundings")
+            held.append(inner)
+            deeper = repeated_ranges(inner, length, rest, group_bytes, held)
             parts_ranges.append(
                 deeper.select(F.col("scope").alias("g"), F.col("unit").alias("ctx"), "low", "high")
             )
@@ -320,10 +336,13 @@ def remove_repeats(
         F.lit(0).cast("long").alias("scope"), unit.alias("unit"), F.lit(1).cast("long").alias("copies"),
         data.alias("data"),
     )
-    ranges = repeated_ranges(units, length, levels, group_bytes)
+    held: list[DataFrame] = []
+    ranges = repeated_ranges(units, length, levels, group_bytes, held)
     spans = staged(
         ranges.groupBy("unit", "size").agg(F.collect_list(F.struct("low", "high")).alias("ranges")), "ranges"
-    ).select(F.col("unit").alias("_unit"), F.col("size").alias("_size"), F.col("ranges").alias("_ranges"))
+    )
+    discard(*held)
+    spans = spans.select(F.col("unit").alias("_unit"), F.col("size").alias("_size"), F.col("ranges").alias("_ranges"))
     row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
     own = F.encode(F.coalesce(F.col(f"_row.`{text}`").cast("string"), F.lit("")), "UTF-8")
     row = row.withColumn("_data", own).withColumn(

@@ -110,3 +110,26 @@ def test_borders_by_increasing_common_prefix():
     for i in range(1, len(order)):
         a, b = body[order[i - 1] :], body[order[i] :]
         assert borders[i] == (a[:10] != b[:10])
+
+
+def test_equal_rows_send_their_surroundings_once(monkeypatch):
+    sizes, whole = [], bwt.repeated_starts
+    monkeypatch.setattr(bwt, "repeated_starts", lambda texts, *a: sizes.append(sum(map(len, texts))) or whole(texts, *a))
+    data, other = words(1, 100).encode(), words(2, 10).encode() + words(1, 100).encode()
+    part = repeats.batch(
+        repeats.pa.schema([("g", repeats.pa.int64()), ("ctx", repeats.pa.int64()), ("data", repeats.pa.binary())]),
+        [7] * 501, [1] * 500 + [2], [data] * 500 + [other],
+    )
+    found = repeats.pa.Table.from_batches(repeats._shards(400)(iter([part.slice(0, 300), part.slice(300)])))
+    assert sizes == [len(data) + len(other)]
+    assert sorted(found.column("ctx").to_pylist()) == [1, 2]
+
+
+def test_equal_rows_and_a_text_with_their_passage(spark):
+    passage = words(1, 100)
+    rows = [(1, words(3, 30) + passage)] * 60 + [(2, passage + words(4, 30)), (3, words(5, 90))]
+    texts = [t.encode() for _, t in rows]
+    for group_bytes in (1 << 20, 300):
+        done = repeats.remove_repeats(documents(spark, rows), 100, levels=(20, 60), group_bytes=group_bytes)
+        found = {r.doc_id: [(s.low, s.high) for s in r.spans] for r in done.collect()}
+        assert found == {i: ranges for (i, _), ranges in zip(rows, plain_ranges(texts, 100))}
