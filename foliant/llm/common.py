@@ -6,6 +6,7 @@ import sys
 import tempfile
 import types
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
+_FILES: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def workspace(spark: SparkSession) -> str:
@@ -42,7 +44,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FILES[table] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes the files of tables that ``staged`` gave and that nothing reads any more."""
+    for table in tables:
+        session = table.sparkSession
+        path = session._jvm.org.apache.hadoop.fs.Path(_FILES.pop(table))
+        path.getFileSystem(session._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def mapped(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import discard, staged
 
 
 def components(links: DataFrame, name: str = "links") -> DataFrame:
@@ -14,7 +14,7 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
     Large-star and small-star steps alternate until nothing changes.  Minima are
     aggregated before the shuffle, and no neighbourhood is gathered, so a node
     with millions of links costs no task more memory.  Each round is written to
-    the shared folder.  Loops, repeated links and links with a null end have no
+    the shared folder, in place of the last one.  Loops, repeated links and links with a null end have no
     effect; nodes without a link to another are not listed.
     """
     pairs = (
@@ -25,7 +25,8 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
     state = staged(pairs, name)
     seen = _signature(state)
     while seen[0]:
-        state = staged(_small_star(_large_star(state)), name)
+        before, state = state, staged(_small_star(_large_star(state)), name)
+        discard(before)
         now = _signature(state)
         if now == seen:
             break
