@@ -269,6 +269,8 @@ def _linker(setup: Setup):
         # Whole runs are handled together; at most one run and one batch are held.
         held: list[pa.RecordBatch] = []
         for rows in batches:
+            if not rows.num_rows:
+                continue
             held.append(rows)
             table = pa.Table.from_batches(held).combine_chunks()
             last = [table.column(c)[-1] for c in ("key", "i", "j")]

@@ -6,6 +6,11 @@ Any order is right; shingles that are common in a sample come last, so that
 few sets meet at a common passage.  SimHashes put the candidates of a set in order, and every link is confirmed by the
 shingles themselves.
 
+First come the links that chains of segments around a ring find between SimHashes
+(``simhash.link``); prefixes reach what is similar but farther apart.  A candidate is
+discarded unseen when it cannot be similar: a bit of a sketch is the parity of the shingles
+dealt to it, so two sketches differ in no more bits than their sets do in shingles.
+
 Groups grow in rounds.  Each round, every set that still has untried candidates outside
 its group offers the nearest of them, one more for every candidate of its that was refuted
 before.  So a group of alike sets is joined by a forest, not by all its pairs: what is
@@ -26,14 +31,21 @@ from pyspark.sql import functions as F
 
 from .common import batch, discard, mapped, staged, text_rows
 from .graph import components
-from .simhash import BLOCK_ROWS, COMPARED_ROWS, WORDS_AT_ONCE
+from .simhash import BLOCK_ROWS, COMPARED_ROWS, WORDS_AT_ONCE, link
+from .simhash import Setup as Ring
 
 # One text in SAMPLED is looked at for common shingles; those with COMMON
 # occurrences there, and at most LISTED of them, come last.
 SAMPLED, COMMON, LISTED = 16, 16, 1_000_000
 
-# Sets of so many shingles or fewer are never discarded by their SimHashes.
-SHORT = 32
+# Sets of so many shingles or fewer are never discarded by their SimHashes; sketches do that.
+SHORT = 256
+
+# Pairs whose sketches are compared at a time.
+AT_ONCE = 1 << 16
+
+# Words of 64 bits in a sketch.
+SKETCH = [f"x{i}" for i in range(4)]
 
 
 @dataclass(frozen=True)
@@ -42,11 +54,13 @@ class Setup:
 
     Sets with a similarity of 0.8 differ in 19.4 bits, give or take 4.1; only sets of
     over ``SHORT`` shingles, for which that holds, are discarded by their bits.
+    ``near`` differing bits of 64 make a link of the ring.
     """
 
     words: int = 5
     similarity: float = 0.8
     differing: int = 44
+    near: int = 3
 
 
 def shingles(text: bytes, size: int) -> np.ndarray:
@@ -84,6 +98,12 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
+def _sketch(hashes: np.ndarray) -> list[int]:
+    """Parity of the number of hashes that fall on each bit."""
+    odd = np.bincount((hashes % np.uint64(64 * len(SKETCH))).astype(np.int64), minlength=64 * len(SKETCH)) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
+
+
 def _common(rows: DataFrame, size: int) -> np.ndarray:
     """Hashes of shingles that are common in the sampled texts, sorted."""
 
@@ -102,14 +122,14 @@ def _common(rows: DataFrame, size: int) -> np.ndarray:
 _PRINTS = pa.schema(
     [
         ("mark", pa.int64()), ("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()),
-        ("w0", pa.int64()), ("w1", pa.int64()), ("prefix", pa.list_(pa.int64())),
+        ("w0", pa.int64()), ("w1", pa.int64()), *[(x, pa.int64()) for x in SKETCH], ("prefix", pa.list_(pa.int64())),
     ]
 )
-_PRINTS_SQL = "mark long, doc_id long, node long, n long, w0 long, w1 long, prefix array<long>"
+_PRINTS_SQL = f"mark long, doc_id long, node long, n long, w0 long, w1 long, {' long, '.join(SKETCH)} long, prefix array<long>"
 
 
 def _prints(rows: DataFrame, setup: Setup) -> DataFrame:
-    """Hash, size, SimHash and prefix of the set of every row."""
+    """Hash, size, SimHash, sketch and prefix of the set of every row."""
     common, size, least = _common(rows, setup.words), setup.words, setup.similarity
 
     def prefix(hashes: np.ndarray) -> np.ndarray:
@@ -124,11 +144,11 @@ def _prints(rows: DataFrame, setup: Setup) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            columns: list[list] = [[] for _ in range(5)]
+            columns: list[list] = [[] for _ in range(5 + len(SKETCH))]
             for value in part.column("text"):
                 hashes = shingles(value.as_py().encode(), size)
                 node = np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes())).view(np.int64)
-                found = (int(node), hashes.size, *_simhash(hashes), prefix(hashes).view(np.int64))
+                found = (int(node), hashes.size, *_simhash(hashes), *_sketch(hashes), prefix(hashes).view(np.int64))
                 for column, x in zip(columns, found):
                     column.append(x)
             yield batch(_PRINTS, part.column("mark"), part.column("doc_id"), *columns)
@@ -139,7 +159,7 @@ def _prints(rows: DataFrame, setup: Setup) -> DataFrame:
 _OFFERS = pa.schema([("a", pa.int64()), ("d", pa.int32()), ("b", pa.int64()), ("wanted", pa.int32())])
 _OFFERS_SQL = "a long, d int, b long, wanted int"
 
-_PLACED = ["key", "i", "j", "node", "n", "pos", "w0", "w1", "root", "d", "b", "wanted"]
+_PLACED = ["key", "i", "j", "node", "n", "pos", "w0", "w1", *SKETCH, "root", "d", "b", "wanted"]
 
 
 def _offers(keyed: DataFrame, state: DataFrame, setup: Setup, block_rows: int) -> DataFrame:
@@ -168,6 +188,17 @@ def _offers(keyed: DataFrame, state: DataFrame, setup: Setup, block_rows: int) -
 def _nearest(setup: Setup):
     share = setup.similarity / (1 + setup.similarity)
 
+    def sketched(c: dict, i, j) -> np.ndarray:
+        """Whether sketches differ in no more bits than the sets of a link may in shingles."""
+        kept = np.zeros(i.size, bool)
+        for low in range(0, i.size, AT_ONCE):
+            x, y = i[low : low + AT_ONCE], j[low : low + AT_ONCE]
+            bits = np.zeros(x.size, np.int16)
+            for word in SKETCH:
+                bits += np.bitwise_count(c[word][x] ^ c[word][y])
+            kept[low : low + AT_ONCE] = bits <= (c["n"][x] + c["n"][y]) * (1 - 2 * share) + 1e-9
+        return kept
+
     def untried(c: dict, i, j, d) -> np.ndarray:
         """Whether rows of two groups may be similar, by size and place, and neither has tried the other."""
         n, m, p, q = c["n"][i], c["n"][j], c["pos"][i], c["pos"][j]
@@ -202,6 +233,8 @@ def _nearest(setup: Setup):
             d = distance(c, i, j)
             kept = untried(c, i, j, d)
             i, j, d = i[kept], j[kept], d[kept]
+            kept = sketched(c, i, j)
+            i, j, d = i[kept], j[kept], d[kept]
             found += [(i, j, d), (j, i, d)]
         i, j, d = map(np.concatenate, zip(*found))
         return first(c, i, j, d, run_id[i])
@@ -211,16 +244,21 @@ def _nearest(setup: Setup):
         for low in range(0, size, COMPARED_ROWS):
             i = np.arange(low, min(low + COMPARED_ROWS, size))
             d = distance(c, i[:, None], np.arange(size)[None, :])
-            d[~untried(c, i[:, None], np.arange(size)[None, :], d)] = 129
+            x, j = np.nonzero(untried(c, i[:, None], np.arange(size)[None, :], d))
+            kept = sketched(c, x + low, j)
+            x, j = x[kept], j[kept]
+            near = np.full(d.shape, 129, np.uint8)
+            near[x, j] = d[x, j]
+            d = near
             # Farther than the last place wanted, whatever the order of ties.
             last = np.minimum(c["wanted"][i], size) - 1
-            limit = np.take_along_axis(np.sort(d.astype(np.uint8), axis=1), last[:, None], axis=1)
+            limit = np.take_along_axis(np.sort(d, axis=1), last[:, None], axis=1)
             x, j = np.nonzero((d <= limit) & (d < 129))
-            yield first(c, x + low, j, d[x, j], np.zeros(x.size, np.int8))
+            yield first(c, x + low, j, d[x, j].astype(np.int32), np.zeros(x.size, np.int8))
 
     def offers_of(table: pa.Table) -> Iterator[pa.RecordBatch]:
         c = {name: table.column(name).to_numpy() for name in _PLACED}
-        c["w0"], c["w1"] = c["w0"].view(np.uint64), c["w1"].view(np.uint64)
+        c |= {x: c[x].view(np.uint64) for x in ("w0", "w1", *SKETCH)}
         new = np.flatnonzero(np.r_[True, np.any([c[x][1:] != c[x][:-1] for x in ("key", "i", "j")], axis=0)])
         sizes = np.diff(np.r_[new, c["key"].size])
         run_id = np.repeat(np.arange(new.size), sizes)
@@ -270,27 +308,34 @@ def _sets(ends: DataFrame, rows: DataFrame, marks: DataFrame, size: int) -> Data
     return mapped(texts, run, "node long, hashes array<long>").dropDuplicates(["node"])
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose sets have the similarity."""
+def _pairs(offers: DataFrame) -> DataFrame:
+    """The pairs ``a`` < ``b`` of the offers, their distance, and whether ``a`` or ``b`` has offered."""
+    ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    sides = offers.select(*ends, "d", (F.col("a") < F.col("b")).alias("low"))
+    return sides.groupBy("a", "b").agg(F.max("d").alias("d"), F.bool_or("low").alias("of_a"), F.bool_or(~F.col("low")).alias("of_b"))
+
+
+def _tried(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs, and whether their sets have the similarity."""
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     similar = both / (F.size("x") + F.size("y") - both) >= similarity
-    return pairs.join(left, "a").join(right, "b").where(similar).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").select(*pairs.columns, similar.alias("linked"))
 
 
-def _after(state: DataFrame, offers: DataFrame, linked: DataFrame) -> DataFrame:
+def _after(state: DataFrame, tried: DataFrame) -> DataFrame:
     """The sets that made offers, with their new groups and the last candidate each has tried."""
-    ends = [F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")]
-    known = linked.select(F.col("a").alias("low"), F.col("b").alias("high"), F.lit(1).alias("linked"))
-    told = offers.select("a", "d", "b", *ends).join(known, ["low", "high"], "left")
-    tried = told.groupBy(F.col("a").alias("node")).agg(
-        F.max(F.struct("d", "b")).alias("last"), F.count_if(F.col("linked").isNull()).alias("refuted")
+    sides = F.array(
+        F.struct(F.col("of_a").alias("of"), F.col("a").alias("node"), F.col("b").alias("b")),
+        F.struct(F.col("of_b").alias("of"), F.col("b").alias("node"), F.col("a").alias("b")),
     )
-    of = state.select("node", "root")
+    told = tried.select("d", "linked", F.explode(sides).alias("s")).where("s.of").select("s.node", "d", "s.b", "linked")
+    last = told.groupBy("node").agg(F.max(F.struct("d", "b")).alias("last"), F.count_if(~F.col("linked")).alias("refuted"))
+    of, linked = state.select("node", "root"), tried.where("linked").select("a", "b")
     roots = linked.join(of.toDF("a", "x"), "a").join(of.toDF("b", "y"), "b")
     moved = components(roots.select(F.col("x").alias("a"), F.col("y").alias("b")), "moved-groups")
-    joined = state.select("node", "root", "wanted").join(tried, "node")
+    joined = state.select("node", "root", "wanted").join(last, "node")
     joined = joined.join(moved.toDF("root", "moved"), "root", "left")
     return joined.select(
         "node", F.coalesce("moved", "root").alias("root"), "last.d", "last.b",
@@ -316,7 +361,7 @@ def near_duplicates(
     """
     rows = text_rows(docs, key, text, F.col(mark).cast("long").alias("mark"))
     prints = staged(_prints(rows, setup), "shingle-prints")
-    nodes = prints.select("node", "n", "w0", "w1").distinct()
+    nodes = prints.select("node", "n", "w0", "w1", *SKETCH).distinct()
     marks = prints.groupBy("node").agg(F.min("mark").alias("mark"))
     # Equal sets have equal prefixes.
     places = prints.join(marks, ["node", "mark"], "left_semi").select("node", F.posexplode("prefix").alias("pos", "key"))
@@ -326,19 +371,26 @@ def near_duplicates(
     discard(places)
     none = {"d": F.lit(-1), "b": F.lit(0).cast("long"), "wanted": F.lit(1)}
     state = staged(keyed.select("node", F.col("node").alias("root")).distinct().withColumns(none), "open-sets")
+    ring = link(nodes.select("node", "w0", "n"), Ring(setup.words, 64, setup.near, ratio=0), block_rows)
+    none = {"d": F.lit(-1), "of_a": F.lit(False), "of_b": F.lit(False)}
+    ring = ring.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().withColumns(none)
     links, sets = [], None
     while True:
         offers = staged(_offers(keyed, state, setup, block_rows), "offers")
         if offers.isEmpty():
             break
+        pairs = _pairs(offers)
         if sets is None:
-            # Whatever has a candidate makes an offer in the first round.
-            sets = staged(_sets(offers.select(F.col("a").alias("node")).distinct(), rows, marks, setup.words), "shingle-sets")
-        pairs = offers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links.append(staged(_confirmed(pairs, sets, setup.similarity), "similar-links"))
-        before, state = state, staged(_after(state, offers, links[-1]), "open-sets")
+            # Whatever has a candidate makes an offer in the first round, which tries the links of the ring too.
+            ring = staged(ring.join(pairs, ["a", "b"], "left_anti"), "ring-links")
+            pairs = pairs.unionByName(ring)
+            ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            sets = staged(_sets(ends, rows, marks, setup.words), "shingle-sets")
+        tried = staged(_tried(pairs, sets, setup.similarity), "tried-pairs")
+        links.append(tried.where("linked").select("a", "b"))
+        before, state = state, staged(_after(state, tried), "open-sets")
         discard(before, offers)
-    discard(keyed, state, offers, *([sets] if sets is not None else []))
+    discard(keyed, state, offers, *([sets, ring] if sets is not None else []))
     if not links:
         return prints.select("mark", "doc_id", F.col("node").alias("root"))
     all_links = links[0]

@@ -119,3 +119,55 @@ def test_short_sets_are_never_discarded_by_their_bits(spark):
     plain = dict(zip([i for i, _ in rows], plain_roots(rows)))
     assert all((roots[i] == roots[100 + i]) == (plain[i] == plain[100 + i]) for i in range(60))
     assert any(plain[i] == plain[100 + i] for i in range(60))
+
+
+def test_sketches_never_differ_more_than_sets():
+    rng = np.random.default_rng(2)
+    for size in (0, 1, 30, 400, 3000):
+        base = rng.integers(0, 1 << 63, size, np.uint64)
+        for changed_ in (0, 1, size // 5, size):
+            other = np.concatenate([base[changed_:], rng.integers(0, 1 << 63, changed_ // 2, np.uint64)])
+            x, y = (np.array(similar._sketch(v)).view(np.uint64) for v in (base, other))
+            differing = int(np.bitwise_count(x ^ y).sum())
+            assert differing <= np.setxor1d(base, other).size and (differing > 0 or size < 30 or not changed_)
+
+
+def test_candidates_that_cannot_be_similar_are_not_tried(spark, monkeypatch):
+    """Near copies of one text that are alike to a few others only: what is refuted does not grow with their pairs."""
+    made, whole = {}, similar.staged
+
+    def counted(df, name):
+        table = whole(df, name)
+        made.setdefault(name, []).append(table.count())
+        return table
+
+    monkeypatch.setattr(similar, "staged", counted)
+    hub, rng = words(7, 150, 5000), np.random.default_rng(5)
+    rows = [(i, changed(hub, rng.choice(150, 7, replace=False), f"c{i}y")) for i in range(300)]
+    rows += [(1000 + i, changed(rows[i][1], [3, 77], f"d{i}y")) for i in range(60)]
+    docs = documents(spark, rows).withColumn("mark", cp.F.xxhash64("doc_id", "text"))
+    by_root, wanted = {}, {}
+    for r in similar.near_duplicates(docs).collect():
+        by_root.setdefault(r.root, set()).add(r.doc_id)
+    for (doc_id, _), root in zip(rows, plain_roots(rows)):
+        wanted.setdefault(root, set()).add(doc_id)
+    assert sorted(map(sorted, by_root.values())) == sorted(map(sorted, wanted.values()))
+    assert sum(made["offers"]) < 6 * len(rows)
+
+
+def test_links_of_the_ring_are_tried(spark, monkeypatch):
+    """Chains around the ring find close copies; with fewer of them no group changes."""
+    made, whole = {}, similar.staged
+
+    def counted(df, name):
+        table = whole(df, name)
+        made.setdefault(name, []).append(table.count())
+        return table
+
+    monkeypatch.setattr(similar, "staged", counted)
+    long = words(3, 900, 50_000)
+    rows = [(i, changed(long, [5 + 7 * i], "x")) for i in range(60)]
+    docs = documents(spark, rows).withColumn("mark", cp.F.xxhash64("doc_id", "text"))
+    assert len({r.root for r in similar.near_duplicates(docs).collect()}) == 1
+    assert made["ring-links"][0] >= 1
+    assert len({r.root for r in similar.near_duplicates(docs, similar.Setup(near=1)).collect()}) == 1
