@@ -1,10 +1,10 @@
 """Conversations as training text, one example for every assistant turn.
 
-A conversation is laid out once, as a sequence of turns with marks; an example is
-a beginning of that text: every turn before an assistant's reply is its context
-and the reply is all that is trained on.  Examples refer to the text by places,
-since their own texts together would grow with the square of a conversation;
-``example_texts`` spells them out.
+A conversation is laid out as a sequence of turns with marks.  Every assistant's
+reply becomes an example of its own: all turns before it are its context and the
+reply is all that is trained on.  Examples are written turn by turn, so that none is
+held whole; together they grow with the square of a conversation's replies.
+``example_texts`` puts the turns of each together.
 """
 
 from __future__ import annotations
@@ -72,6 +72,7 @@ def lay_out(turns: DataFrame, trained: str = "assistant") -> DataFrame:
         F.coalesce(F.sum(F.length("segment").cast("long")).over(earlier), F.lit(0).cast("long")).alias("before"),
         "segment", "reply", "reply_chars", "trained",
         F.sum(F.col("trained").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("example"),
+        F.sum(F.col("trained").cast("long")).over(Window.partitionBy("conv_id")).alias("examples"),
     )
 
 
@@ -79,33 +80,38 @@ def write_examples(turns: DataFrame, folder: str, trained: str = "assistant") ->
     """Writes two tables into the folder and returns them as read back.
 
     ``text``: the turns of every conversation in order.  ``examples``: one row per
-    trained turn, with ``example`` from 1, ``context_chars`` (length of all turns
-    before and of the mark of the role), ``loss_start`` and ``loss_end`` in the
-    conversation's text and ``last_place``, the turn it ends with.
+    turn of every example, that is for each trained turn, ``example`` from 1, all
+    turns before it and itself, by ``place`` and with their ``segment``.
+    ``loss_start`` and ``loss_end`` are places in the example's text; they are null
+    for the turns of its context.  A turn is spread to all examples that have it, and turns are
+    dealt by place, so a long conversation is expanded by all tasks.
     """
     spark = turns.sparkSession
     lay_out(turns, trained).write.parquet(f"{folder}/text")
     laid = spark.read.parquet(f"{folder}/text")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first = F.col("example") + F.when(F.col("trained"), 0).otherwise(1)
+    spread = laid.withColumn("first", first).where(F.col("first") <= F.col("examples")).repartition(parts, "conv_id", "place")
+    pieces = spread.withColumn("of", F.explode(F.sequence("first", "examples")))
+    target = F.col("trained") & (F.col("of") == F.col("first"))
     start = F.col("before") + F.col("reply")
-    laid.where("trained").select(
-        "conv_id", "example", F.col("place").alias("last_place"), start.alias("context_chars"),
-        start.alias("loss_start"), (start + F.col("reply_chars")).alias("loss_end"),
+    pieces.select(
+        "conv_id", F.col("of").alias("example"), "place", "segment",
+        F.when(target, start).alias("loss_start"), F.when(target, start + F.col("reply_chars")).alias("loss_end"),
     ).write.parquet(f"{folder}/examples")
     return laid.select("conv_id", "place", "before", "segment"), spark.read.parquet(f"{folder}/examples")
 
 
 def example_texts(text: DataFrame, examples: DataFrame) -> DataFrame:
-    """Every example spelled out: ``conv_id``, ``example``, ``context``, ``target``.
+    """Every example in one row: ``conv_id``, ``example``, ``context``, ``target``.
 
-    This is the expansion that grows with the square of a conversation; take it
-    for the conversations a trainer reads.
+    All comes from the turns of the examples; ``text`` is not read.  A row holds a whole
+    context; take it for the conversations a trainer reads.
     """
-    joined = examples.alias("e").join(
-        text.alias("t"),
-        F.col("e.conv_id").eqNullSafe(F.col("t.conv_id")) & (F.col("t.place") <= F.col("e.last_place")),
+    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "segment"))), lambda s: s["segment"]), "")
+    grouped = examples.groupBy("conv_id", "example").agg(
+        whole.alias("whole"), F.max("loss_start").alias("loss_start"), F.max("loss_end").alias("loss_end")
     )
-    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("t.place", "t.segment"))), lambda s: s["segment"]), "")
-    grouped = joined.groupBy("e.conv_id", "e.example", "e.loss_start", "e.loss_end").agg(whole.alias("whole"))
     return grouped.select(
         "conv_id", "example", F.substring("whole", F.lit(1), F.col("loss_start").cast("int")).alias("context"),
         F.substring("whole", F.col("loss_start").cast("int") + 1, (F.col("loss_end") - F.col("loss_start")).cast("int")).alias("target"),
@@ -123,14 +129,24 @@ def read_back(text: DataFrame, examples: DataFrame) -> DataFrame:
     ``n_turns``, ``turns_sha256`` over role, line feed, text, line feed of every
     turn (a null role is empty), ``loss_chars`` and ``loss_sha256`` of all text
     under the loss mask, unescaped, ``formatted_chars`` of the laid-out text and
-    ``n_examples``.  Turns pass in order; one conversation is never held whole.
+    ``n_examples``.  The loss is read from the targets of the examples; an example that
+    lacks a turn or a character of its context is an error.  Turns pass in order; one
+    conversation is never held whole.
     """
     parts = int(text.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    marked = examples.select("conv_id", F.col("last_place").alias("place"), "loss_start", "loss_end")
-    e, t = marked.alias("e"), text.alias("t")
+    target = F.col("loss_start").isNotNull()
+    sizes = examples.groupBy("conv_id", "example").agg(
+        F.max(F.when(target, F.col("place"))).alias("last"), F.count("*").alias("pieces"),
+        F.coalesce(F.sum(F.when(~target, F.length("segment").cast("long"))), F.lit(0).cast("long")).alias("context"),
+    ).alias("s")
+    targets = examples.where(target).withColumnRenamed("segment", "own").alias("o")
+    e = sizes.join(
+        targets, F.col("s.conv_id").eqNullSafe(F.col("o.conv_id")) & (F.col("s.example") == F.col("o.example")), "left"
+    ).select("s.conv_id", F.col("s.last").alias("place"), "s.pieces", "s.context", "o.own", "o.loss_start", "o.loss_end").alias("e")
+    t = text.alias("t")
     joined = t.join(
         e, F.col("t.conv_id").eqNullSafe(F.col("e.conv_id")) & (F.col("t.place") == F.col("e.place")), "left"
-    ).select("t.conv_id", "t.place", "t.before", "t.segment", "e.loss_start", "e.loss_end")
+    ).select("t.conv_id", "t.place", "t.before", "t.segment", "e.own", "e.pieces", "e.context", "e.loss_start", "e.loss_end")
     ordered = joined.repartition(parts, "conv_id").sortWithinPartitions("conv_id", "place")
     schema = pa.schema(
         [("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()),
@@ -146,8 +162,9 @@ def read_back(text: DataFrame, examples: DataFrame) -> DataFrame:
 
         for part in batches:
             done = []
-            columns = (part.column(c).to_pylist() for c in ("conv_id", "before", "segment", "loss_start", "loss_end"))
-            for conv_id, before, segment, low, high in zip(*columns):
+            names = ("conv_id", "place", "before", "segment", "own", "pieces", "context", "loss_start", "loss_end")
+            columns = (part.column(c).to_pylist() for c in names)
+            for conv_id, place, before, segment, own, pieces, context, low, high in zip(*columns):
                 if state is None or conv_id != current:
                     if state is not None:
                         done.append(row(current, state))
@@ -160,7 +177,9 @@ def read_back(text: DataFrame, examples: DataFrame) -> DataFrame:
                 state[1] += 1
                 state[4] += len(segment)
                 if low is not None:
-                    target = unescape(segment[low - before : high - before])
+                    if (pieces, context) != (place + 1, before):
+                        raise ValueError(f"conversation {conv_id}: an example lacks part of its context")
+                    target = unescape(own[low - context : high - context])
                     state[2].update(target.encode())
                     state[3] += len(target)
                     state[5] += 1

@@ -1,6 +1,7 @@
 import hashlib
 from collections import defaultdict
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from samples import EXTRA
@@ -59,6 +60,22 @@ def test_examples_have_all_turns_before_and_one_target(spark):
     assert sorted(got, key=repr) == sorted(wanted, key=repr)
 
 
+def test_written_examples_hold_their_context(spark):
+    _, examples = chat.write_examples(table(spark, ROWS), new_path(spark, "chat-test"))
+    got = sorted(((r.conv_id, r.example, r.place) for r in examples.collect()), key=repr)
+    wanted = []
+    for conv, turns in ordered(ROWS).items():
+        replies = [n for n, (_, role, _) in enumerate(turns) if role == "assistant"]
+        wanted += [(conv, k, place) for k, last in enumerate(replies, 1) for place in range(last + 1)]
+    assert got == sorted(wanted, key=repr)
+
+
+def test_a_missing_turn_of_a_context_is_an_error(spark):
+    text, examples = chat.write_examples(table(spark, ROWS), new_path(spark, "chat-test"))
+    with pytest.raises(Exception, match="lacks part of its context"):
+        chat.read_back(text, examples.where("NOT (conv_id = 1 AND example = 2 AND place = 0)")).collect()
+
+
 @settings(max_examples=20, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(["\\", "<", "|", ">", "s", "/", "[", "INST]", "</s>", "<|end|>", "e"])).map("".join), max_size=30))
 def test_escapes_are_reversible(spark, texts):
