@@ -156,12 +156,14 @@ def extract_posts(pages: DataFrame) -> DataFrame:
         area(*html.POST_TITLE_SELECTORS).alias("title_html"),
         area(*html.POST_BODY_SELECTORS).alias("body_html"),
         area(*html.POST_DATE_SELECTORS).alias("date_html"),
-    ).where(F.col("body_html").isNotNull())
+    )
     posts = found.select(
         F.coalesce(html.inner_text(F.col("title_html")), F.lit("Untitled")).alias("title"),
         "url",
         F.col("body_html").alias("html"),
-        strip_space(of_name(html.to_markdown, "body_html")).alias("content"),
+        # A filter on what a generator gives stays above it.  Pushed down to the pages it would
+        # convert every page a second time; a page without a body has no words either.
+        F.explode(F.array(strip_space(of_name(html.to_markdown, "body_html")))).alias("content"),
         html.inner_text(F.col("date_html")).alias("publish_date"),
     )
     return posts.withColumn("word_count", count_words(F.col("content"))).where(

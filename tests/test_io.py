@@ -453,3 +453,10 @@ def test_chunks_of_gone_articles_and_new_stubs_go(spark):
     now = spark.createDataFrame([("a", "A", text, False), ("b", "B", "x", True)], fields)
     ids = lambda df: sorted({r.article_id for r in df.collect()})
     assert ids(first) == ["a", "b", "c"] and ids(run(now, first)) == ["a"] and ids(run(now, first, partial=True)) == ["a", "c"]
+
+
+def test_posts_are_converted_once(spark):
+    pages = spark.createDataFrame([("u", None), ("v", "<p>")], "url string, html string").repartition(2, "url")
+    plan = web.extract_posts(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert web.extract_posts(pages).count() == 0
