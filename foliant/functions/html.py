@@ -257,7 +257,30 @@ def _enter(place: Column, tag: Column) -> Column:
 def _flat(text: Column) -> Column:
     """Markdown of text without elements that hold blocks; white space is one space."""
     tables = F.when(text.rlike(r"(?i)<t[dhr]\b|<table\b"), _tables(text)).otherwise(text)
-    return let(tables, lambda t: F.when(F.contains(t, F.lit("<")), rewrite(t, TAG_RULES)).otherwise(t))
+    return let(tables, lambda t: F.when(F.contains(t, F.lit("<")), _tags(t)).otherwise(t))
+
+
+def _tags(text: Column) -> Column:
+    """Applies ``TAG_RULES``; a rule whose tags the text has not is left out.
+
+    No rule puts a tag together that was not there, so the tags are looked up once.
+    """
+    names = F.lower(F.array_join(F.regexp_extract_all(text, F.lit("<(/?[a-zA-Z][a-zA-Z0-9]*)"), F.lit(1)), "> <"))
+
+    def chain(found: Column) -> Column:
+        value = text
+        for pattern, replacement, *_ in TAG_RULES:
+            value = _if_tagged(value, found, pattern, replacement)
+        return value
+
+    return let(F.concat(F.lit("<"), names, F.lit(">")), chain)
+
+
+def _if_tagged(value: Column, found: Column, pattern: str, replacement: str) -> Column:
+    named = re.match(r"\(\?[is]+\) ?\??<(.+?)(?:\\b| ?\*)", pattern)
+    if not named:
+        return F.regexp_replace(value, pattern, replacement)
+    return let(value, lambda v: F.when(found.rlike(f"<{named[1]}>"), F.regexp_replace(v, pattern, replacement)).otherwise(v))
 
 
 def _structured(html: Column) -> Column:

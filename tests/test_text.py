@@ -320,3 +320,15 @@ def test_references_are_those_of_the_standard(spark):
             "&#x00000000041; &#xFFFFFFFFFFFFF;", "&NotEqualTilde;&fjlig; &lt&gt", "plain", "", "&#13;&#10;&&amp;", "a&b=c&d"]
     some += [f"&{n}x" for n in ("AElig", "hellip;", "not", "sup1", "CounterClockwiseContourIntegral;")]
     assert rendered(spark, html.unescape, {t: unescape(t) for t in some}) == {t: unescape(t) for t in some}
+
+
+def test_rules_left_out_for_want_of_tags_change_nothing(one):
+    from foliant.functions import html
+    from foliant.functions.text import rewrite
+
+    pages = [
+        "a <<BR/>hr> <p<br>b</P > <h2_x> </li  > <li-x>", "<a href='x'>y<b>z</a></ b> <", "<H1 a=1> t </h1><td>c</Td>",
+        "<code>é</code> <bré> <hr>< br><ahref=x></a>", "none > \n\n\n\n", "<a href=x>q</a><em>i</em><TABLE>",
+    ]
+    for page in pages:
+        assert one(html._tags(F.col("x")), x=page) == one(rewrite(F.col("x"), html.TAG_RULES), x=page)
