@@ -52,7 +52,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of every group of near copies: five words a shingle, similarity 0.8 or more.
 
-    Similarity is that of the sets of distinct shingles; every link is confirmed by them.
+    Similarity is that of the sets of distinct shingles; every link is confirmed by them.  Groups begin
+    with the links that ``simhash.link`` finds around its ring; candidates by shared shingles join what is left apart.
 
     That is the row with the smallest id (a null id comes last), then the smallest hash of
     its text.  Sets are grouped without the texts; the kept rows' keys

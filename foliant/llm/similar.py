@@ -7,11 +7,12 @@ few sets meet at a common passage.  SimHashes put the candidates of a set in ord
 shingles themselves.
 
 First come the links that chains of segments around a ring find between SimHashes
-(``simhash.link``); prefixes reach what is similar but farther apart.  A candidate is
+(``simhash.link``): they are confirmed, and large and small stars make the first groups of
+them.  Prefixes reach what is similar but farther apart, between those groups only.  A candidate is
 discarded unseen when it cannot be similar: a bit of a sketch is the parity of the shingles
 dealt to it, so two sketches differ in no more bits than their sets do in shingles.
 
-Groups grow in rounds.  Each round, every set that still has untried candidates outside
+Groups then grow in rounds.  Each round, every set that still has untried candidates outside
 its group offers the nearest of them, one more for every candidate of its that was refuted
 before.  So a group of alike sets is joined by a forest, not by all its pairs: what is
 confirmed grows with the sets and the refuted candidates.
@@ -343,6 +344,17 @@ def _after(state: DataFrame, tried: DataFrame) -> DataFrame:
     )
 
 
+def _ring(nodes: DataFrame, rows: DataFrame, marks: DataFrame, setup: Setup, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The links ``a``, ``b`` of the ring that their shingles confirm, and the sets of its ends."""
+    found = link(nodes.select("node", "w0", "n"), Ring(setup.words, 64, setup.near, ratio=0), block_rows)
+    ring = staged(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ring-links")
+    ends = ring.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = staged(_sets(ends, rows, marks, setup.words), "shingle-sets")
+    tried = staged(_tried(ring, sets, setup.similarity), "tried-pairs")
+    discard(ring)
+    return tried.where("linked").select("a", "b"), sets
+
+
 def near_duplicates(
     docs: DataFrame,
     setup: Setup = Setup(),
@@ -356,8 +368,8 @@ def near_duplicates(
     Rows are linked when the Jaccard similarity of their distinct shingles is at
     least ``setup.similarity``; groups are closed over any number of links.  Rows
     with equal sets are one group, rows without words too.  ``mark`` is a
-    64-bit hash of id and text.  Every candidate between two groups is tried before the
-    rounds end; those inside one group need no trial.
+    64-bit hash of id and text.  The ring makes the first groups; every candidate between two
+    groups is tried before the rounds end; those inside one group need no trial.
     """
     rows = text_rows(docs, key, text, F.col(mark).cast("long").alias("mark"))
     prints = staged(_prints(rows, setup), "shingle-prints")
@@ -369,30 +381,27 @@ def near_duplicates(
     shared = places.groupBy("key").agg(F.count("*").alias("rows")).where(F.col("rows") > 1)
     keyed = staged(places.join(shared.select("key"), "key").join(nodes, "node"), "shared-prefixes")
     discard(places)
+    linked, sets = _ring(nodes, rows, marks, setup, block_rows)
+    groups = components(linked, "ring-groups")
     none = {"d": F.lit(-1), "b": F.lit(0).cast("long"), "wanted": F.lit(1)}
-    state = staged(keyed.select("node", F.col("node").alias("root")).distinct().withColumns(none), "open-sets")
-    ring = link(nodes.select("node", "w0", "n"), Ring(setup.words, 64, setup.near, ratio=0), block_rows)
-    none = {"d": F.lit(-1), "of_a": F.lit(False), "of_b": F.lit(False)}
-    ring = ring.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().withColumns(none)
-    links, sets = [], None
+    opened = keyed.select("node").distinct().join(groups, "node", "left")
+    state = staged(opened.select("node", F.coalesce("root", "node").alias("root")).withColumns(none), "open-sets")
+    links, made = [linked], [sets]
     while True:
         offers = staged(_offers(keyed, state, setup, block_rows), "offers")
         if offers.isEmpty():
             break
         pairs = _pairs(offers)
-        if sets is None:
-            # Whatever has a candidate makes an offer in the first round, which tries the links of the ring too.
-            ring = staged(ring.join(pairs, ["a", "b"], "left_anti"), "ring-links")
-            pairs = pairs.unionByName(ring)
-            ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-            sets = staged(_sets(ends, rows, marks, setup.words), "shingle-sets")
+        if len(made) == 1:
+            # Whatever has a candidate outside its group makes an offer in the first round.
+            ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(sets, "node", "left_anti")
+            made.append(staged(_sets(ends, rows, marks, setup.words), "shingle-sets"))
+            sets = sets.unionByName(made[1])
         tried = staged(_tried(pairs, sets, setup.similarity), "tried-pairs")
         links.append(tried.where("linked").select("a", "b"))
         before, state = state, staged(_after(state, tried), "open-sets")
         discard(before, offers)
-    discard(keyed, state, offers, *([sets, ring] if sets is not None else []))
-    if not links:
-        return prints.select("mark", "doc_id", F.col("node").alias("root"))
+    discard(keyed, state, offers, *made)
     all_links = links[0]
     for more in links[1:]:
         all_links = all_links.unionByName(more)

@@ -171,3 +171,25 @@ def test_links_of_the_ring_are_tried(spark, monkeypatch):
     assert len({r.root for r in similar.near_duplicates(docs).collect()}) == 1
     assert made["ring-links"][0] >= 1
     assert len({r.root for r in similar.near_duplicates(docs, similar.Setup(near=1)).collect()}) == 1
+
+
+def test_groups_begin_with_the_ring(spark, monkeypatch):
+    """What the ring links makes no offers any more, and links it finds are still confirmed."""
+    made, whole = {}, similar.staged
+
+    def counted(df, name):
+        table = whole(df, name)
+        made.setdefault(name, []).append(table.count())
+        return table
+
+    monkeypatch.setattr(similar, "staged", counted)
+    long = words(3, 3000, 50_000)
+    rows = [(i, changed(long, [5 + 7 * i], "x")) for i in range(40)]
+    docs = documents(spark, rows).withColumn("mark", cp.F.xxhash64("doc_id", "text"))
+    assert len({r.root for r in similar.near_duplicates(docs).collect()}) == 1
+    assert made["ring-links"][0] >= 39 and made["offers"] == [0]
+    made.clear()
+    apart = [(i, words(90 + i, 300, 5000)) for i in range(30)]
+    docs = documents(spark, apart).withColumn("mark", cp.F.xxhash64("doc_id", "text"))
+    assert len({r.root for r in similar.near_duplicates(docs, similar.Setup(near=31)).collect()}) == 30
+    assert made["ring-links"][0] > 0
