@@ -22,16 +22,17 @@ _TARGET = rf"(?:<[^<>\n]*>|(?:{_ROUND}|\((?:{_ROUND}|\({_ROUND}*+\))*+\))*+)"
 _TITLE = r"""(?:\s++(?:"[^"]*+"|'[^']*+'|\([^()]*+\)))?+"""
 _APART = [
     r"\\[!-/:-@\[-`{-~]",
-    r"(?<!`)(`++)(?=[^`])(?:(?!(?<!`)\1(?!`))[\s\S])++\1(?!`)",
+    r"(?<!`)(`++)(?=[^`])(?:[^`]++|(?!(?<!`)\1(?!`))`)++\1(?!`)",
     r"<(?:https?://|mailto:)[^<>\s]++>",
     r"(?i:<(script|style)\b[\s\S]*?</\2\s*+>)|<!--[\s\S]*?-->|</?[a-zA-Z][^<>]*+>",
     rf"\]\(\s*+{_TARGET}{_TITLE}\s*+\)",
     r"(?<![\p{L}\p{N}_/\"'=(])https?://[^\s<>*_~\[\]`\"]*+(?:[*_~][^\s<>*_~\[\]`\"]++)*+",
 ]
-APART = "|".join(_APART)
+# All other signs are passed over without a look at the parts.
+APART = rf"(?=[\\`<\]h])(?:{'|'.join(_APART)})"
 
 # Texts without any of these have no marks.
-MARKED = r"[\\`<\[\]*_~]|https?://| {2,}\n"
+MARKS, MARKED = r"[\\`<\[\]*_~]", ["http://", "https://", "  \n"]
 
 _TOKENS = r"\*+|_+|~+|!?\[|\]|[^*_~\[\]!]+|!"
 _EDGE = "\ue000"
@@ -95,7 +96,8 @@ def _token(mark: Column | str, html: Column, size=0, opens=False, closes=False)
 
 def _plain(text: Column) -> Column:
     """Escaped text with its line breaks."""
-    return F.regexp_replace(F.regexp_replace(escape(text), r"(?: {2,}|\\)\n *", "<br>\n"), r"\n +", "\n")
+    breaks = r"(?: {2,}|\\)\n *"
+    return rewrite(escape(text), [(breaks, "<br>\n", "  \n"), (breaks, "<br>\n", "\\\n"), (r"\n +", "\n", "\n ")])
 
 
 def _run(token: Column, before: Column, behind: Column) -> Column:
@@ -149,6 +151,25 @@ def _tokens(text: Column) -> Column:
     return let(apart, laid)
 
 
+def _joined(tokens: Column) -> Column:
+    """The tokens with plain ones that follow each other as one, so a fold is as long as the marks."""
+
+    def with_places(marked: Column) -> Column:
+        def between(low: Column, high: Column) -> Column:
+            return _token("", F.array_join(F.transform(F.slice(tokens, low + 2, high - low - 1), lambda t: t["html"]), ""))
+
+        def one(at: Column, i: Column) -> Column:
+            before = F.coalesce(F.when(i > 0, F.get(marked, i - 1)), F.lit(-1))
+            own = F.array(F.get(tokens, at))
+            return F.when(at - before > 1, F.concat(F.array(between(before, at)), own)).otherwise(own)
+
+        last = F.coalesce(F.get(marked, F.size(marked) - 1), F.lit(-1))
+        return F.concat(F.flatten(F.transform(marked, one)), F.array(between(last, F.size(tokens))))
+
+    places = F.filter(F.transform(tokens, lambda t, i: F.when(t["mark"] != "", i)), lambda i: i.isNotNull())
+    return let(places, with_places)
+
+
 _FRAME = "struct<mark:string,size:int,of:int,both:boolean,html:string>"
 
 
@@ -267,4 +288,7 @@ def render(text: Column) -> Column:
     emphasised and deleted text and hard breaks are made; raw tags are dropped; other
     targets leave the text as it stands, and an image its description.
     """
-    return F.when(text.rlike(MARKED), let(_tokens(text), _folded)).otherwise(_plain(text))
+    marked = text.rlike(MARKS)
+    for part in MARKED:
+        marked = marked | F.contains(text, F.lit(part))
+    return F.when(marked, let(_tokens(text), lambda found: _folded(_joined(found)))).otherwise(_plain(text))

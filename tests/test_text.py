@@ -332,3 +332,27 @@ def test_rules_left_out_for_want_of_tags_change_nothing(one):
     ]
     for page in pages:
         assert one(html._tags(F.col("x")), x=page) == one(rewrite(F.col("x"), html.TAG_RULES), x=page)
+
+
+def test_plain_tokens_are_folded_as_one(one):
+    """A fold copies its state at every token; signs that are escaped make none."""
+    made = inline._joined(inline._tokens(F.col("x")))
+    marks = F.filter(made, lambda t: t["mark"] != "")
+    text = "**" + " ".join(["a \\* b"] * 500) + "** c"
+    assert one(F.size(made), x=text) <= 5 and one(F.size(marks), x=text) == 2
+    assert one(inline.render(F.col("x")), x=text) == "<strong>" + " ".join(["a * b"] * 500) + "</strong> c"
+    assert one(F.size(made), x="") == 1
+
+
+@pytest.mark.parametrize(
+    "text, html",
+    [
+        ("a\nb\n\n- c", "<p>a\nb</p>\n\n<ul>\n<li>c</li>\n</ul>"),
+        ("***\n\n- c", "<hr>\n\n<ul>\n<li>c</li>\n</ul>"),
+        ("a\n\n- c\n\n  d", "<p>a</p>\n\n<ul>\n<li><p>c</p>\n<p>d</p></li>\n</ul>"),
+        ("a ``b ` c`` d", "<p>a <code>b ` c</code> d</p>"),
+        ("a  \n b\\\n c", "<p>a<br>\nb<br>\nc</p>"),
+    ],
+)
+def test_shortcuts_of_blocks_change_nothing(one, text, html):
+    assert one(blocks.render(F.col("x")), x=text) == html
