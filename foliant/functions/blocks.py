@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import inline
-from .text import let
+from .text import let, rewrite
 
 _ITEM = r"\A( {0,3})([-*+]|\d{1,9}[.)])( +|\z)"
 _QUOTE = r"\A {0,3}> ?"
@@ -25,8 +25,13 @@ _UNDERLINE = r"\A {0,3}(?:=+|-+) *\z"
 _FENCE = r"\A {0,3}(`{3,}(?=[^`]*\z)|~{3,})"
 _STARTS = rf"{_QUOTE}|{_RULE}|{_HEADING}|{_FENCE}"
 
-# Lines that need the fold; all others are paragraphs between blank lines.
-_BLOCKS = r"(?m)^ {0,3}(?:[-*+](?: |$)|\d{1,9}[.)](?: |$)|>|#{1,6}(?: |$)|`{3}|~{3}|=+ *$|-+ *$|_ *_ *_)|^ {4}|\|"
+# Lines that need the fold, as those with a bar do; all others are paragraphs between blank lines.
+_BLOCKS = r"(?m)^(?: {0,3}(?:[-*+](?: |$)|\d{1,9}[.)](?: |$)|>|#{1,6}(?: |$)|`{3}|~{3}|=+ *$|-+ *$|_ *_ *_)| {4})"
+
+# What lines of the patterns above have as their first sign behind spaces.
+_ITEM_SIGNS, _QUOTE_SIGN, _RULE_SIGNS, _HEADING_SIGN, _FENCE_SIGNS = "-*+0123456789", ">", "-*_", "#", "`~"
+_START_SIGNS = _QUOTE_SIGN + _RULE_SIGNS + _HEADING_SIGN + _FENCE_SIGNS
+_UNDERLINE_SIGNS, _RULER_SIGNS = "=-", "|:-"
 
 # A row of bars and dashes between a table's head and its body.
 _RULER = r"\A *\|?[ :]*-[-: |]*\z"
@@ -85,7 +90,24 @@ def _tag(kind: Column) -> Column:
 
 
 def _indent(text: Column) -> Column:
-    return F.length(F.regexp_extract(text, r"\A *", 0))
+    return F.length(text) - F.length(F.ltrim(text))
+
+
+def _blank(text: Column) -> Column:
+    return F.ltrim(text) == ""
+
+
+def _fits(text: Column, pattern: str, signs: str) -> Column:
+    """Whether a pattern fits that begins with one of the signs; other lines skip it."""
+    return F.contains(F.lit(signs), F.substring(F.ltrim(text), 1, 1)) & text.rlike(pattern)
+
+
+def _quoted(text: Column) -> Column:
+    return F.ltrim(text).startswith(_QUOTE_SIGN) & (_indent(text) <= 3)
+
+
+def _fenced(state: Column) -> Column:
+    return F.substring(state["leaf"], 1, 1).isin("`", "~")
 
 
 def _finished(state: Column) -> Column:
@@ -127,16 +149,15 @@ def _matched(open_: Column, line: Column) -> Column:
     start = F.struct(line.alias("rest"), F.lit(0).alias("kept"), F.lit(True).alias("on"))
 
     def step(s: Column, c: Column) -> Column:
-        quoted = s["rest"].rlike(_QUOTE)
-        blank = s["rest"].rlike(r"\A *\z")
-        inside = blank | (_indent(s["rest"]) >= c["indent"])
-        on = s["on"] & F.when(c["kind"] == ">", quoted).otherwise(inside)
-        rest = F.when(c["kind"] == ">", F.regexp_replace(s["rest"], _QUOTE, "")).when(blank, F.lit("")).otherwise(
-            F.substring(s["rest"], c["indent"] + 1, F.length(s["rest"]))
-        )
-        return F.struct(
-            F.when(on, rest).otherwise(s["rest"]).alias("rest"), (s["kept"] + F.when(on, 1).otherwise(0)).cast("int").alias("kept"), on.alias("on")
-        )
+        def with_blank(b: Column) -> Column:
+            on = F.when(c["kind"] == ">", _quoted(s["rest"])).otherwise(b | (_indent(s["rest"]) >= c["indent"]))
+            rest = F.when(c["kind"] == ">", F.regexp_replace(s["rest"], _QUOTE, "")).when(b, F.lit("")).otherwise(
+                F.substring(s["rest"], c["indent"] + 1, F.length(s["rest"]))
+            )
+            inside = F.struct(rest.alias("rest"), (s["kept"] + 1).cast("int").alias("kept"), F.lit(True).alias("on"))
+            return F.when(on, inside).otherwise(F.struct(s["rest"].alias("rest"), s["kept"].alias("kept"), F.lit(False).alias("on")))
+
+        return F.when(s["on"], let(_blank(s["rest"]), with_blank)).otherwise(s)
 
     return F.aggregate(open_, start, step)
 
@@ -150,27 +171,41 @@ def _fresh(rest: Column, in_text: Column, next_: Column) -> Column:
     marks = F.length(F.regexp_extract(rest, r"\A(?: *(?:>|[-*+](?= |\z)|\d{1,9}[.)](?= |\z)))+", 0))
 
     def step(s: Column, _: Column) -> Column:
-        quote = s["rest"].rlike(_QUOTE)
         text = in_text & (F.size(s["new"]) == 0)
-        item = s["rest"].rlike(_ITEM) & ~s["rest"].rlike(_RULE) & (~text | s["rest"].rlike(r"\A {0,3}(?:[-*+]|1[.)]) +[^ ]"))
-        lead, mark, gap = (F.regexp_extract(s["rest"], _ITEM, n) for n in (1, 2, 3))
-        bare = F.length(s["rest"]) == F.length(lead) + F.length(mark) + F.length(gap)
-        width = F.length(lead) + F.length(mark) + F.when(bare | (F.length(gap) > 4), 1).otherwise(F.length(gap))
-        number = F.concat(F.substring(mark, -1, 1), F.regexp_replace(F.regexp_replace(mark, r"[.)]", ""), r"\A0+(?=\d)", ""))
-        kind = F.when(quote, ">").when(_bullet(mark), mark).otherwise(number)
-        one = F.struct(kind.alias("kind"), F.when(quote, 0).otherwise(width).cast("int").alias("indent"), (next_ + F.size(s["new"])).cast("int").alias("id"))
-        cut = F.when(quote, F.regexp_replace(s["rest"], _QUOTE, "")).otherwise(F.substring(s["rest"], width + 1, F.length(s["rest"])))
-        on = s["on"] & (quote | item)
-        return F.struct(
-            F.when(on, cut).otherwise(s["rest"]).alias("rest"), F.when(on, F.concat(s["new"], F.array(one))).otherwise(s["new"]).alias("new"), on.alias("on")
+        item = _fits(s["rest"], _ITEM, _ITEM_SIGNS) & ~_fits(s["rest"], _RULE, _RULE_SIGNS) & (~text | s["rest"].rlike(r"\A {0,3}(?:[-*+]|1[.)]) +[^ ]"))
+
+        def opened(kind, indent, cut: Column) -> Column:
+            one = F.struct(_lit(kind).alias("kind"), _lit(indent).cast("int").alias("indent"), (next_ + F.size(s["new"])).cast("int").alias("id"))
+            return F.struct(cut.alias("rest"), F.concat(s["new"], F.array(one)).alias("new"), F.lit(True).alias("on"))
+
+        def with_mark(p: Column) -> Column:
+            lead, mark, gap = p["lead"], p["mark"], p["gap"]
+            bare = F.length(s["rest"]) == lead + F.length(mark) + gap
+            number = F.concat(F.substring(mark, -1, 1), F.regexp_replace(F.regexp_replace(mark, r"[.)]", ""), r"\A0+(?=\d)", ""))
+            kind = F.when(_bullet(mark), mark).otherwise(number)
+            width = lead + F.length(mark) + F.when(bare | (gap > 4), 1).otherwise(gap)
+            return let(width, lambda w: opened(kind, w, F.substring(s["rest"], w + 1, F.length(s["rest"]))))
+
+        parts = F.struct(
+            _indent(s["rest"]).alias("lead"), F.regexp_extract(s["rest"], _ITEM, 2).alias("mark"),
+            F.length(F.regexp_extract(s["rest"], _ITEM, 3)).alias("gap"),
+        )
+        none = F.struct(s["rest"].alias("rest"), s["new"].alias("new"), F.lit(False).alias("on"))
+        return (
+            F.when(~s["on"], s)
+            .when(_quoted(s["rest"]), opened(">", 0, F.regexp_replace(s["rest"], _QUOTE, "")))
+            .when(item, let(parts, with_mark))
+            .otherwise(none)
         )
 
-    return F.when(marks > 0, F.aggregate(F.sequence(F.lit(1), marks), start, step)).otherwise(start)
+    signed = F.contains(F.lit(_QUOTE_SIGN + _ITEM_SIGNS), F.substring(F.ltrim(rest), 1, 1))
+    read = let(marks, lambda n: F.when(n > 0, F.aggregate(F.sequence(F.lit(1), n), start, step)).otherwise(start))
+    return F.when(signed, read).otherwise(start)
 
 
 def _leaf(state: Column, rest: Column) -> Column:
     """What is left of a line goes to the leaf; containers are as they should be."""
-    blank = rest.rlike(r"\A *\z")
+    blank = _blank(rest)
     text = state["text"]
     fence = F.regexp_extract(rest, _FENCE, 1)
 
@@ -178,59 +213,65 @@ def _leaf(state: Column, rest: Column) -> Column:
         heading = _part(F.concat(F.lit("h"), F.length(F.regexp_extract(rest, _HEADING, 1)).cast("string")), F.regexp_extract(rest, _HEADING, 2))
         return (
             F.when(blank, done)
-            .when(rest.rlike(_RULE), _state(done, out=F.concat(done["out"], _html("\n<hr>"))))
-            .when(rest.rlike(_HEADING), _state(done, out=F.concat(done["out"], heading)))
-            .when(rest.rlike(_FENCE), _state(done, leaf=fence, text=""))
+            .when(_fits(rest, _RULE, _RULE_SIGNS), _state(done, out=F.concat(done["out"], _html("\n<hr>"))))
+            .when(_fits(rest, _HEADING, _HEADING_SIGN), _state(done, out=F.concat(done["out"], heading)))
+            .when(_fits(rest, _FENCE, _FENCE_SIGNS), _state(done, leaf=fence, text=""))
             .when(_indent(rest) >= 4, _state(done, leaf="code", text=F.concat(F.substring(rest, 5, F.length(rest)), F.lit("\n"))))
-            .otherwise(_state(done, leaf="p", text=F.regexp_replace(rest, r"\A +", "")))
+            .otherwise(_state(done, leaf="p", text=F.ltrim(rest)))
         )
 
     level = F.when(F.contains(rest, F.lit("=")), "h1").otherwise("h2")
     titled = _state(state, out=F.concat(state["out"], _part(level, text)), leaf="", text="")
-    more = _state(state, text=F.concat(text, F.lit("\n"), F.regexp_replace(rest, r"\A +", "")))
-    ruler = F.contains(rest, F.lit("|")) & rest.rlike(_RULER)
-    fenced = state["leaf"].rlike("[`~]")
+    more = _state(state, text=F.concat(text, F.lit("\n"), F.ltrim(rest)))
+    ruler = F.contains(rest, F.lit("|")) & _fits(rest, _RULER, _RULER_SIGNS)
+    fenced = _fenced(state)
     ends = rest.rlike(r"\A {0,3}(?:`+|~+) *\z") & F.trim(rest).startswith(state["leaf"])
     whole = F.concat(text, F.substring(rest, F.when(state["leaf"] == "code", 5).otherwise(1), F.length(rest)), F.lit("\n"))
     return (
         F.when(fenced & ends, _finished(state))
         .when(fenced | ((state["leaf"] == "code") & (blank | (_indent(rest) >= 4))), _state(state, text=whole))
-        .when((state["leaf"] == "p") & ~blank & rest.rlike(_UNDERLINE), titled)
-        .when((state["leaf"] == "p") & ~blank & (ruler | ~rest.rlike(_STARTS)), more)
+        .when((state["leaf"] == "p") & ~blank & _fits(rest, _UNDERLINE, _UNDERLINE_SIGNS), titled)
+        .when((state["leaf"] == "p") & ~blank & (ruler | ~_fits(rest, _STARTS, _START_SIGNS)), more)
         .otherwise(let(_finished(state), after))
     )
 
 
 def _line(state: Column, line: Column) -> Column:
     def with_match(m: Column) -> Column:
-        fenced = state["leaf"].rlike("[`~]")
         whole = m["kept"] == F.size(state["open"])
         in_text = (state["leaf"] == "p") & whole & ~state["blank"]
-        verbatim = whole & (fenced | ((state["leaf"] == "code") & (_indent(m["rest"]) >= 4)))
+        verbatim = whole & (_fenced(state) | ((state["leaf"] == "code") & (_indent(m["rest"]) >= 4)))
         none = F.struct(m["rest"].alias("rest"), _none(_CONTAINER).alias("new"), F.lit(True).alias("on"))
         deep = (_indent(m["rest"]) >= 4) & (state["leaf"] != "p")
-        fresh = F.when(verbatim | deep | (in_text & m["rest"].rlike(rf"{_UNDERLINE}|{_RULER}")), none).otherwise(_fresh(m["rest"], in_text, state["next"]))
+        underlined = _fits(m["rest"], _UNDERLINE, _UNDERLINE_SIGNS) | _fits(m["rest"], _RULER, _RULER_SIGNS)
+        fresh = F.when(verbatim | deep | (in_text & underlined), none).otherwise(_fresh(m["rest"], in_text, state["next"]))
 
         def with_fresh(f: Column) -> Column:
-            blank = f["rest"].rlike(r"\A *\z") & (F.size(f["new"]) == 0)
             gone = F.slice(state["open"], m["kept"] + 1, F.size(state["open"]))
-            lazy = ~whole & (F.size(f["new"]) == 0) & (state["leaf"] == "p") & ~state["blank"] & ~blank & ~f["rest"].rlike(_STARTS)
-            first, outer = F.get(f["new"], 0), F.get(gone, 0)
+            kept = F.slice(state["open"], 1, m["kept"])
+            first, outer = F.get(f["new"], 0), F.get(state["open"], m["kept"])
             sibling = F.coalesce(_is_item(first) & _is_item(outer) & (_family(first["kind"]) == _family(outer["kind"])), F.lit(False))
+            facts = F.struct((_blank(f["rest"]) & (F.size(f["new"]) == 0)).alias("blank"), sibling.alias("sibling"))
+            return let(facts, lambda x: changed_by(f, gone, kept, outer, x["blank"], x["sibling"]))
+
+        def changed_by(f: Column, gone: Column, kept: Column, outer: Column, blank: Column, sibling: Column) -> Column:
+            lazy = ~whole & (F.size(f["new"]) == 0) & (state["leaf"] == "p") & ~state["blank"] & ~blank & ~_fits(f["rest"], _STARTS, _START_SIGNS)
             named = F.transform(
                 f["new"], lambda c, i: F.when((i == 0) & sibling, F.struct(c["kind"].alias("kind"), c["indent"].alias("indent"), outer["id"].alias("id"))).otherwise(c)
             )
-            kept = F.slice(state["open"], 1, m["kept"])
-            inner = F.get(kept, F.size(kept) - 1)
+            inner = F.get(state["open"], m["kept"] - 1)
             # A blank line before this one parts two blocks of the item or two items of the list around it.
             parted = F.when(sibling, outer["id"]).when(_is_item(inner), inner["id"])
             loose = F.when(state["blank"] & ~blank & parted.isNotNull(), F.concat(state["loose"], F.array(parted))).otherwise(state["loose"])
-            added = _state(state, text=F.concat(state["text"], F.lit("\n"), F.regexp_replace(f["rest"], r"\A +", "")))
-            moved = (F.size(gone) > 0) | (F.size(f["new"]) > 0)
+            added = _state(state, text=F.concat(state["text"], F.lit("\n"), F.ltrim(f["rest"])))
+            moved = ~whole | (F.size(f["new"]) > 0)
 
             def changed(done: Column) -> Column:
-                out = F.concat(done["out"], _closed(gone, sibling), _opened(named, sibling))
-                return _state(done, out=out, open=F.concat(kept, named), next=done["next"] + F.size(f["new"]))
+                def opened(new: Column) -> Column:
+                    out = F.concat(done["out"], _closed(gone, sibling), _opened(new, sibling))
+                    return _state(done, out=out, open=F.concat(kept, new), next=done["next"] + F.size(f["new"]))
+
+                return let(named, opened)
 
             ready = F.when(moved, let(_finished(state), changed)).otherwise(state)
             done = let(ready, lambda r: _leaf(r, f["rest"]))
@@ -243,6 +284,12 @@ def _line(state: Column, line: Column) -> Column:
     return let(_matched(state["open"], line), with_match)
 
 
+def _next_line(state: Column, line: Column) -> Column:
+    """What a line adds is put behind the parts at the end; a binding copies all that it holds."""
+    own = _state(state, out="")
+    return let(let(own, lambda s: _line(s, line)), lambda s: _state(s, out=F.concat(state["out"], s["out"])))
+
+
 # What is written: text before, a leaf's own text, what becomes of it, text behind.
 _WRITTEN = "struct<before:string,text:string,how:string,behind:string,depth:int>"
 
@@ -320,7 +367,7 @@ def _segment(text: Column) -> Column:
 
         return let(_finished(state), close)
 
-    return F.aggregate(F.split(text, "\n"), start, _line, ended)
+    return F.aggregate(F.split(text, "\n"), start, _next_line, ended)
 
 
 def _plains(text: Column) -> Column:
@@ -329,10 +376,24 @@ def _plains(text: Column) -> Column:
     return F.transform(some, lambda p: _write("\n\n<p>", p, "line", "</p>"))
 
 
+def _folded(text: Column) -> Column:
+    return F.contains(text, F.lit("|")) | text.rlike(_BLOCKS)
+
+
 def _parts(text: Column, fence: Column) -> Column:
     code = F.array(_write("\n\n<pre><code>", F.regexp_replace(text, r"\A[^\n]*\n?", ""), "code", "</code></pre>"))
     cut = F.split(text, r"\n(?: *\n)+(?=[^\s>*+\-=#\d|`~_])")
-    shown = F.flatten(F.transform(cut, lambda s: F.when(s.rlike(_BLOCKS), _segment(s)).otherwise(_plains(s))))
+
+    def blocks(s: Column) -> Column:
+        # A paragraph before the first blank line stands in no container; the fold begins behind it.
+        def behind(pair: Column) -> Column:
+            first, rest = F.get(pair, 0), F.get(pair, 1)
+            own = _folded(first) | first.rlike(r"(?m)^[ *]")
+            return F.when(own | rest.isNull(), _segment(s)).otherwise(F.concat(_plains(first), _segment(rest)))
+
+        return let(F.split(s, r"\n(?: *\n)+", 2), behind)
+
+    shown = F.flatten(F.transform(cut, lambda s: F.when(_folded(s), blocks(s)).otherwise(_plains(s))))
     return F.when(fence, code).otherwise(shown)
 
 
@@ -348,10 +409,12 @@ def render(markdown: Column) -> Column:
     parts = F.flatten(F.transform(F.split(tabs, r"(?m)^(?:```|~~~)"), lambda text, i: _parts(text, i % 2 == 1)))
 
     def show(p: Column) -> Column:
-        inner = F.when(p["how"] == "line", inline.render(F.regexp_replace(p["text"], r"\A\s+|\s+\z", "")))
+        inner = F.when(p["how"] == "line", inline.render(F.btrim(p["text"], F.lit(" \t\n\x0b\f\r"))))
         inner = inner.when(p["how"] == "code", inline.escape(p["text"])).otherwise("")
         return F.concat(p["before"], inner, p["behind"])
 
     laid = F.array_join(F.transform(parts, show), "")
-    close = F.regexp_replace(laid, r"(<li>)\n(?!<(?:[uo]l|blockquote))", "$1")
-    return F.regexp_replace(F.regexp_replace(close, r"\A\n+", ""), r"(</pre>)\n+(?=<[^/])", "$1")
+    return rewrite(
+        F.ltrim(laid, F.lit("\n")),
+        [(r"(<li>)\n(?!<(?:[uo]l|blockquote))", "$1", "<li>\n"), (r"(</pre>)\n+(?=<[^/])", "$1", "</pre>\n")],
+    )
