@@ -36,6 +36,20 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
     )
 
 
+def hooks(links: DataFrame) -> DataFrame:
+    """Columns ``node`` and ``root``, a smaller node of its component, from links ``a``, ``b``, in one step.
+
+    The root is the smallest node at most two links away; nodes without a smaller one there are
+    not listed.  Nodes with one root are connected; unlike with ``components``, a component may
+    keep several roots.
+    """
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = links.select(F.explode(ways).alias("way")).select("way.*")
+    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    reached = both.join(least, "a").groupBy(F.col("b").alias("node")).agg(F.min("m").alias("root"))
+    return reached.where("root < node")
+
+
 def _signature(pairs: DataFrame) -> tuple:
     """Number of links and an order-free checksum, to see whether a round changed any."""
     mark = F.xxhash64("a", "b").cast("decimal(20,0)")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import batch, discard, mapped, staged, text_rows
-from .graph import components
+from .graph import components, hooks
 from .simhash import BLOCK_ROWS, COMPARED_ROWS, WORDS_AT_ONCE, link
 from .simhash import Setup as Ring
 
@@ -326,7 +326,11 @@ def _tried(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def _after(state: DataFrame, tried: DataFrame) -> DataFrame:
-    """The sets that made offers, with their new groups and the last candidate each has tried."""
+    """The sets that made offers, with their new groups and the last candidate each has tried.
+
+    Groups are hung together in one step, so that one may still go by two roots: that costs
+    a trial more, while stars to the end would cost every round some passes more.
+    """
     sides = F.array(
         F.struct(F.col("of_a").alias("of"), F.col("a").alias("node"), F.col("b").alias("b")),
         F.struct(F.col("of_b").alias("of"), F.col("b").alias("node"), F.col("a").alias("b")),
@@ -335,7 +339,7 @@ def _after(state: DataFrame, tried: DataFrame) -> DataFrame:
     last = told.groupBy("node").agg(F.max(F.struct("d", "b")).alias("last"), F.count_if(~F.col("linked")).alias("refuted"))
     of, linked = state.select("node", "root"), tried.where("linked").select("a", "b")
     roots = linked.join(of.toDF("a", "x"), "a").join(of.toDF("b", "y"), "b")
-    moved = components(roots.select(F.col("x").alias("a"), F.col("y").alias("b")), "moved-groups")
+    moved = hooks(roots.select(F.col("x").alias("a"), F.col("y").alias("b")))
     joined = state.select("node", "root", "wanted").join(last, "node")
     joined = joined.join(moved.toDF("root", "moved"), "root", "left")
     return joined.select(

@@ -104,5 +104,11 @@ def test_components_of_a_chain_and_loops(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_hooks_join_only_what_is_linked(spark):
+    links = [(3, 2), (2, 1), (7, 9), (9, 8), (5, 5), (4, None)]
+    found = graph.hooks(spark.createDataFrame(links, "a long, b long"))
+    assert {r.node: r.root for r in found.collect()} == {3: 1, 2: 1, 9: 7, 8: 7}
+
+
 def test_empty_table(spark):
     assert simhash.near_duplicates(documents(spark, []), THREE).select(F.max("component_id")).first()[0] is None

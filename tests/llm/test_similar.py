@@ -1,11 +1,12 @@
 import re
+import time
 
 import corpus_pipeline as cp
 import numpy as np
 import pytest
 from samples import EDGE, documents, words
 
-from foliant.llm import similar
+from foliant.llm import common, similar
 
 
 def plain_shingles(text, size=5):
@@ -193,3 +194,47 @@ def test_groups_begin_with_the_ring(spark, monkeypatch):
     docs = documents(spark, apart).withColumn("mark", cp.F.xxhash64("doc_id", "text"))
     assert len({r.root for r in similar.near_duplicates(docs, similar.Setup(near=31)).collect()}) == 30
     assert made["ring-links"][0] > 0
+
+
+def test_rounds_hang_groups_together_without_stars(spark, monkeypatch):
+    """Stars run over the ring's links and over all links at the end, never inside a round."""
+    made, stars, whole, components = {}, [], similar.staged, similar.components
+
+    def counted(df, name):
+        table = whole(df, name)
+        made.setdefault(name, []).append(table.count())
+        return table
+
+    def noted(links, name):
+        stars.append(name)
+        return components(links, name)
+
+    monkeypatch.setattr(similar, "staged", counted)
+    monkeypatch.setattr(similar, "components", noted)
+    # Each text is similar to the next three only.
+    hub = words(7, 90, 5000)
+    rows = [(i, changed(hub, [i, i + 1], f"c{i}y")) for i in range(80)]
+    docs = documents(spark, rows).withColumn("mark", cp.F.xxhash64("doc_id", "text"))
+    found = {}
+    for r in similar.near_duplicates(docs).collect():
+        found.setdefault(r.root, set()).add(r.doc_id)
+    wanted = {}
+    for (doc_id, _), root in zip(rows, plain_roots(rows)):
+        wanted.setdefault(root, set()).add(doc_id)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, wanted.values()))
+    assert len(made["offers"]) > 2 and len(found) == 1 and stars == ["ring-groups", "similar-groups"]
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    def files():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return set(re.findall(r"/(shuffle_\w+)", disk.getAllFiles().mkString(" ")))
+
+    before, setting = files(), spark.conf.get(common._RELEASE, None)
+    table = common.staged(spark.range(1000).groupBy((cp.F.col("id") % 7).alias("k")).count(), "counts")
+    until = time.monotonic() + 5
+    while files() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not files() - before
+    assert spark.conf.get(common._RELEASE, None) == setting
+    assert {r["k"]: r["count"] for r in table.collect()} == {k: 143 if k < 6 else 142 for k in range(7)}
